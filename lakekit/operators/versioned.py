@@ -63,8 +63,7 @@ class VersionedTable:
             raise ValueError(f"{path} already holds a versioned table")
         key = [key] if isinstance(key, str) else list(key) if key else None
         settings = {"key": key, "partition_by": partition_by, "constraints": {}, "change_feed_from": 0 if change_feed else None}
-        cols = [{"name": f.name, "physical": f.name, "type": f.dataType.json(), "comment": (f.metadata or {}).get("comment")} for f in df.schema]
-        base = Commit(-1, None, "", {}, 0, cols, [], settings)
+        base = Commit(-1, None, "", {}, 0, _columns(df), [], settings)
         t._write(base, df, [], operation, dict(params or {}))
         return t
 
@@ -176,9 +175,10 @@ class VersionedTable:
         name = F.element_at(F.split("path", "/"), -2)
         return sorted(r[0] for r in files.select(name).distinct().collect())
 
-    def commit(self, df: DataFrame, operation: str = "WRITE", params: Mapping | None = None) -> int:
-        """Replace the whole content."""
-        return self._write(self._commit(), df, [], operation, dict(params or {}))
+    def commit(self, df: DataFrame, operation: str = "WRITE", params: Mapping | None = None, overwrite_schema: bool = False) -> int:
+        """Replace the whole content, and with ``overwrite_schema`` the columns too."""
+        columns = _columns(df) if overwrite_schema else None
+        return self._write(self._commit(), df, [], operation, dict(params or {}), columns)
 
     def append(self, rows: DataFrame, cols: Sequence[str] | None = None, operation: str = "APPEND", params: Mapping | None = None, merge_schema: bool = False) -> int:
         """Add rows as new part(s); old folders are not touched. ``merge_schema`` adds unknown columns."""
@@ -370,6 +370,10 @@ class VersionedTable:
         )
 
 
+def _columns(df: DataFrame) -> list[dict]:
+    return [{"name": f.name, "physical": f.name, "type": f.dataType.json(), "comment": (f.metadata or {}).get("comment")} for f in df.schema]
+
+
 def _ts(spark: SparkSession, t) -> datetime:
     return spark.range(1).select(F.lit(t).cast("timestamp")).first()[0]
 
