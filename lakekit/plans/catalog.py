@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-GROUPS = ["q_sources", "q_tables"]
+GROUPS = ["q_sources", "q_tables", "q_relational"]
 
 for _g in GROUPS:
     importlib.import_module(f"{__package__}.{_g}")
