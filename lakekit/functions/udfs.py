@@ -1,13 +1,12 @@
 """SQL functions and vectorised Python functions."""
 
-from __future__ import annotations
-
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def sql_function(spark: SparkSession, name: str, args: str, body: str, returns: str | None = None) -> None:
+def sql_function(spark: SparkSession, name: str, args: str, body: str, returns: "str | None" = None) -> None:
     """A temporary SQL function. Spark inlines its body into the query, so it is optimised with it."""
     ret = f" RETURNS {returns}" if returns else ""
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}){ret} RETURN {body}")
@@ -38,15 +37,13 @@ def model_function(predict: Callable, features: Sequence[str], returns: str = "d
     ``predict`` takes a pandas DataFrame with the feature columns and returns one value per row; batches
     travel by Arrow. The model is shipped with the function to every executor once per task.
     """
-    import pandas as pd
-
     names = list(features)
 
-    @F.pandas_udf(returns)
-    def apply(*cols: pd.Series) -> pd.Series:
-        return pd.Series(predict(pd.concat(cols, axis=1, keys=names)))
+    def apply(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for cols in batches:
+            yield pd.Series(predict(pd.concat(cols, axis=1, keys=names)))
 
-    return apply
+    return F.pandas_udf(apply, returns)
 
 
 def register_model(spark: SparkSession, name: str, predict: Callable, features: Sequence[str], returns: str = "double"):

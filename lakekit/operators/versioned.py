@@ -188,7 +188,7 @@ class VersionedTable:
         columns = list(c.columns)
         if merge_schema:
             names = {x["name"] for x in columns}
-            columns += [{"name": f.name, "physical": self._physical(c, f.name), "type": f.dataType.json(), "comment": None} for f in rows.schema if f.name not in names]
+            columns += [{**x, "physical": self._physical(c, x["name"])} for x in _columns(rows) if x["name"] not in names]
         return self._write(c, rows, c.parts, operation, dict(params or {}), columns)
 
     def _touched(self, c: Commit, hits: DataFrame) -> list:
@@ -370,8 +370,19 @@ class VersionedTable:
         )
 
 
+def _nullable(t: T.DataType) -> T.DataType:
+    """Stored columns may hold NULL at every level, as parquet does."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in t])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_nullable(t.elementType), True)
+    if isinstance(t, T.MapType):
+        return T.MapType(t.keyType, _nullable(t.valueType), True)
+    return t
+
+
 def _columns(df: DataFrame) -> list[dict]:
-    return [{"name": f.name, "physical": f.name, "type": f.dataType.json(), "comment": (f.metadata or {}).get("comment")} for f in df.schema]
+    return [{"name": f.name, "physical": f.name, "type": _nullable(f.dataType).json(), "comment": (f.metadata or {}).get("comment")} for f in df.schema]
 
 
 def _ts(spark: SparkSession, t) -> datetime:
