@@ -18,6 +18,7 @@ from ..sources.files import key_share
 from .skew import HOT_FLOOR, HOT_SHARE, ordered_scan
 
 MAX_CATEGORIES = 10_000
+MISSING = "(missing)"  # the encoder refuses an empty category name
 
 
 # --- features ---------------------------------------------------------------------------------------
@@ -72,8 +73,8 @@ def split(df: DataFrame, key: str | Sequence[str], weights: Mapping[str, float]
 
 
 class Preprocessor:
-    """Numeric columns: to number, mean for missing, population z-score. Categorical columns: empty string
-    for missing, one-hot with all zeros for unseen values. Other columns pass through."""
+    """Numeric columns: to number, mean for missing, population z-score. Categorical columns: a category for
+    missing or empty, one-hot with all zeros for unseen values. Other columns pass through."""
 
     def __init__(self, label: str | None = None, exclude: Sequence[str] = ()):
         self.label, self.exclude = label, list(exclude)
@@ -89,7 +90,7 @@ class Preprocessor:
             wide = [c for c in self.categorical if n[c] > MAX_CATEGORIES]
             if wide:
                 raise ValueError(f"too many values to one-hot: {wide}")
-            cat = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in self.categorical])
+            cat = df.select(*[_category(c).alias(c) for c in self.categorical])
             idx = StringIndexer(inputCols=self.categorical, outputCols=[f"_i_{c}" for c in self.categorical], handleInvalid="keep").fit(cat)
             hot = OneHotEncoder(inputCols=[f"_i_{c}" for c in self.categorical], outputCols=[f"_h_{c}" for c in self.categorical], dropLast=True)
             self.encoder = PipelineModel([idx, hot.fit(idx.transform(cat))])
@@ -101,7 +102,7 @@ class Preprocessor:
         if self.encoder:
             # the encoder reads the column names it was fitted on; keep the originals aside
             x = x.withColumnsRenamed({c: f"_keep_{c}" for c in self.categorical})
-            x = x.withColumns({c: F.coalesce(F.col(f"_keep_{c}"), F.lit("")) for c in self.categorical})
+            x = x.withColumns({c: _category(f"_keep_{c}") for c in self.categorical})
             x = self.encoder.transform(x).drop(*self.categorical, *[f"_i_{c}" for c in self.categorical])
             x = x.withColumnsRenamed({f"_keep_{c}": c for c in self.categorical})
             parts += [f"_h_{c}" for c in self.categorical]
@@ -109,6 +110,11 @@ class Preprocessor:
         return x.select(*df.columns, out)
 
 
+def _category(c: str):
+    """A missing value and an empty string are one category of their own."""
+    return F.coalesce(F.when(F.col(c) != "", F.col(c)), F.lit(MISSING))
+
+
 def numeric_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of every column after the mean has replaced missing values: one
     aggregate, one row to the driver."""
