@@ -41,6 +41,7 @@ def model_function(predict: Callable, features: Sequence[str], returns: str = "d
 
     def apply(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for cols in batches:
+            cols = cols if isinstance(cols, tuple) else (cols,)  # one column comes without a tuple
             yield pd.Series(predict(pd.concat(cols, axis=1, keys=names)))
 
     return F.pandas_udf(apply, returns)
