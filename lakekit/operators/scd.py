@@ -2,9 +2,10 @@
 
 ``apply_changes`` is the batch form over a whole log. Type 1 is a plain aggregate (newest row per key),
 so a hot key is combined on the map side. Type 2 and null carry use ``ordered_scan``.
-Changes with equal key and sequence are one change: ``tie_by`` orders them (default: change type, then
-every other column) and the last one wins, with NULLs filled from the earlier ones when
-``ignore_null_updates`` is set.
+Changes with equal key and sequence are one change: ``tie_by`` orders them and the last one wins, with NULLs
+filled from the earlier ones when ``ignore_null_updates`` is set. Without ``tie_by`` the order is the change
+type, then every other column; when NULL updates are ignored, a hash of the row stands for the other columns,
+since the position of every column's newest value has to be kept.
 """
 
 from __future__ import annotations
@@ -38,11 +39,15 @@ def _orderable(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if ok(df.schema[n].dataType)]
 
 
-def _tie(df: DataFrame, keys, seq, tie_by) -> list[str]:
+def _with_tie(df: DataFrame, keys, seq, tie_by, ignore_null: bool) -> tuple[DataFrame, list[str]]:
     if tie_by is not None:
-        return _names(tie_by)
+        return df, _names(tie_by)
     rest = [c for c in df.columns if c not in keys and c not in seq and c != "_del"]
-    return _orderable(df, sorted(rest, key=lambda c: (c != "_change_type", c)))
+    kind = [c for c in rest if c == "_change_type"]
+    if not ignore_null:
+        return df, _orderable(df, kind + [c for c in rest if c not in kind])
+    hashed = _orderable(df, sorted(rest)) or list(keys)
+    return df.withColumn("_rowhash", F.xxhash64(*hashed)), [*kind, "_rowhash"]
 
 
 def apply_changes(
@@ -80,19 +85,21 @@ def scd1_state(
     ignore_null_updates: bool = False,
     tie_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key: ``_top`` (position and row of the newest change, deletes included), ``_del_at``
-    (position of the newest delete) and, when NULL updates are ignored, ``_v`` with position and value of
-    the newest non-NULL entry of every column."""
+    """One row per key: ``_top`` (position and row of the newest change, deletes included) and, when NULL
+    updates are ignored, ``_del_at`` (position of the newest delete) and ``_v`` with position and value of the
+    newest non-NULL entry of every column."""
     dele = F.coalesce(_expr(delete_when), F.lit(False)) if delete_when is not None else F.lit(False)
-    df = changes.withColumn("_del", dele)
-    tie = _tie(df, keys, seq, tie_by)
-    pos = F.struct(*[F.col(c) for c in [*seq, *tie]])
+    df, tie = _with_tie(changes.withColumn("_del", dele), keys, seq, tie_by, ignore_null_updates)
+    pos_cols = [*seq, *[c for c in tie if c not in seq]]
+    pos = F.struct(*pos_cols)
     rest = [c for c in changes.columns if c not in keys]
-    agg = [
-        F.max_by(F.struct(pos.alias("p"), F.col("_del").alias("d"), F.struct(*rest).alias("row")), pos).alias("_top"),
-        F.max(F.when(F.col("_del"), pos)).alias("_del_at"),
-    ]
+    other = [c for c in rest if c not in pos_cols]
+    # every column once: the position, the delete mark, the other columns
+    top = F.struct(*pos_cols, "_del", *other)
+    newest = F.max(top) if len(_orderable(changes, other)) == len(other) else F.max_by(top, pos)
+    agg = [newest.alias("_top")]
     if ignore_null_updates:
+        agg.append(F.max(F.when(F.col("_del"), pos)).alias("_del_at"))
         vals = []
         for c in rest:
             live = F.col(c).isNotNull() & ~F.col("_del")
@@ -104,27 +111,36 @@ def scd1_state(
 def scd1_merge(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge two states made by ``scd1_state`` with the same arguments."""
     u = a.unionByName(b)
-    agg = [F.max_by("_top", F.col("_top.p")).alias("_top"), F.max("_del_at").alias("_del_at")]
+    pos = F.struct(*[F.col("_top")[c] for c in _top_fields(a)[0]])
+    agg = [F.max_by("_top", pos).alias("_top")]
     if "_v" in a.columns:
+        agg.append(F.max("_del_at").alias("_del_at"))
         fields = a.schema["_v"].dataType.fieldNames()
         agg.append(F.struct(*[F.max_by(F.col("_v")[c], F.col("_v")[c]["p"]).alias(c) for c in fields]).alias("_v"))
     return u.groupBy(*keys).agg(*agg)
 
 
+def _top_fields(state: DataFrame) -> tuple[list[str], list[str]]:
+    """(columns of the position, other columns) of ``_top``"""
+    names = state.schema["_top"].dataType.fieldNames()
+    at = names.index("_del")
+    return names[:at], names[at + 1:]
+
+
 def scd1_view(state: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Current rows of a type 1 state."""
-    live = state.where(~F.col("_top.d"))
-    fields = state.schema["_top"].dataType["row"].dataType.fieldNames()
+    live = state.where(~F.col("_top._del"))
+    pos, other = _top_fields(state)
     out = []
     for c in columns:
-        if c not in fields:
+        if c not in pos and c not in other:
             out.append(F.col(c))
         elif "_v" in state.columns:
             v = F.col("_v")[c]
             ok = F.col("_del_at").isNull() | (v["p"] > F.col("_del_at"))
             out.append(F.when(ok, v["x"]).alias(c))
         else:
-            out.append(F.col("_top.row")[c].alias(c))
+            out.append(F.col("_top")[c].alias(c))
     return live.select(*out)
 
 
@@ -133,7 +149,7 @@ def scd1_view(state: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _scd2(changes, keys, seq, delete_when, ignore_null, except_cols, tie_by, hot_floor, hot_share) -> DataFrame:
     df = changes.withColumn("_del", F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False))
-    tie = _tie(df, keys, seq, tie_by)
+    df, tie = _with_tie(df, keys, seq, tie_by, ignore_null)
     payload = [c for c in changes.columns if c not in keys and c not in except_cols]
     df = df.withColumn("_seq", F.col(seq[0]) if len(seq) == 1 else F.struct(*seq))
     # value columns are scanned under their own name so the tie columns stay untouched

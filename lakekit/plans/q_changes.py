@@ -31,7 +31,7 @@ select l_orderkey, l_linenumber, l_partkey, l_extendedprice from
 """)
 def c01(spark, d):
     log = load(spark, d, "lineitem").select(*LI_KEY, *LI_REST)
-    return scd.apply_changes(log, LI_KEY, "l_shipdate").select(*LI_KEY, "l_partkey", "l_extendedprice")
+    return scd.apply_changes(log, LI_KEY, "l_shipdate", tie_by=["l_extendedprice", "l_partkey", "l_quantity", "l_suppkey"]).select(*LI_KEY, "l_partkey", "l_extendedprice")
 
 
 @query("c02_composite_sequence", """

@@ -24,6 +24,7 @@ COUNTRIES = ["FR", "USA", "SPAIN"]
 COMPLETED, PENDING, MEMBER, READY_MIX, NO_NOTES = 0.9, 0.7, 0.2, 0.7, 0.8
 MAX_MEMBER = 100
 MAX_PRODUCTS = 10_000
+STORE_DAYS_PER_TASK = 16  # about 10,000 orders
 
 
 def uniform(seed: int, tag: str, *keys) -> Column:
@@ -61,6 +62,8 @@ def gen_orders(
         raise ValueError("the product list is a literal in the plan; give 1 to 10,000 products")
     days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day")
     slots = stores.select("store_id", "country", days)
+    # the few rows here grow a thousandfold below: spread them first, by a number that AQE does not lower
+    slots = slots.repartition(-(-slots.count() // STORE_DAYS_PER_TASK) or 1, "store_id", "day")
     slots = slots.select("*", F.explode(F.sequence(F.lit(hours[0]), F.lit(hours[1]))).alias("hour"))
     slots = slots.select("*", F.explode(F.sequence(F.lit(0), F.lit(50), F.lit(10))).alias("minute"))
     if holidays is not None:

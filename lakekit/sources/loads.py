@@ -77,3 +77,5 @@ def copy_into(
         else:
             VersionedTable.create(df, table.path, operation="COPY", params=params)
         loaded += len(batch)
+        if len(batch) < FILES_PER_COMMIT:
+            return loaded
