@@ -38,7 +38,8 @@ def closure(edge: DataFrame, start: DataFrame | Sequence[str], downstream: bool
     level is checkpointed, so the plan does not grow and a lost executor does not restart the walk.
     """
     a, b = ("source", "target") if downstream else ("target", "source")
-    step = edge.select(F.col(a).alias("node"), F.col(b).alias("next")).where("node is not null and next is not null").distinct()
+    step = edge.select(F.col(a).alias("node"), F.col(b).alias("next")).where("node is not null and next is not null")
+    step = materialize(step.distinct())  # every level joins it
     if not isinstance(start, DataFrame):
         start = edge.sparkSession.createDataFrame([(s,) for s in start], "node string")
     front = start.select("node").distinct().withColumn("depth", F.lit(0))

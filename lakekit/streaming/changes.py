@@ -16,48 +16,81 @@ def _bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
+def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]):
+    """Join condition on equal keys, NULL keys included."""
+    cond = None
+    for k in keys:
+        c = a[k].eqNullSafe(b[f"_k_{k}"])
+        cond = c if cond is None else cond & c
+    return cond
+
+
 class ChangeTarget:
     """Keeps a dimension up to date from micro-batches in any order.
 
     Type 1 stores the mergeable state of ``scd1_state`` (deletes and column positions included), so late
-    rows, late deletes and late NULL updates give the same result as the whole log at once. Type 2 stores
-    the changes themselves and derives the intervals when read. The state is split into buckets of keys and
-    a batch rewrites only the buckets it touches; the batch number is part of the commit, so a repeated
-    batch changes nothing.
+    rows, late deletes and late NULL updates give the same result as the whole log at once. Type 2 keeps the
+    changes themselves and, beside them, the intervals; a batch recomputes the intervals of its own keys.
+    Both are split into buckets of keys, and only buckets that hold a key of the batch are rewritten. The
+    batch number is part of every commit, so a batch that comes again after a failure changes nothing.
+    Choose ``buckets`` so that one bucket is a few files (thousands for a very large dimension).
     """
 
-    def __init__(self, spark, path: str, keys, sequence_by, schema: str, delete_when: str | None = None,
+    def __init__(self, spark, path: str, keys, sequence_by, schema, delete_when: str | None = None,
                  ignore_null_updates: bool = False, except_cols: Sequence[str] = (), scd_type: int = 1, tie_by=None, buckets: int = 64):
-        self.spark, self.table = spark, VersionedTable(spark, path)
+        self.spark, self.table, self.log = spark, VersionedTable(spark, f"{path}/state"), VersionedTable(spark, f"{path}/log")
         self.keys, self.seq = scd._names(keys), scd._names(sequence_by)
         self.schema, self.delete_when, self.ignore_null = schema, delete_when, ignore_null_updates
         self.except_cols, self.scd_type, self.tie_by, self.buckets = list(except_cols), scd_type, tie_by, buckets
 
+    def _has(self, table: VersionedTable, batch_id: int) -> bool:
+        if not table.exists():
+            return False
+        done = table.history().select(F.max(F.get_json_object("params", "$.batch").cast("long"))).first()[0]
+        return done is not None and batch_id <= done
+
+    def _save(self, table: VersionedTable, df: DataFrame, touched: list[int], batch_id: int) -> None:
+        params = {"batch": batch_id}
+        if table.exists():
+            table.replace_parts(df, touched, "BATCH", params)
+        else:
+            VersionedTable.create(df, table.path, partition_by=BUCKET, operation="BATCH", params=params)
+
+    def _scd2(self, changes: DataFrame) -> DataFrame:
+        return scd.apply_changes(changes, self.keys, self.seq, self.delete_when, self.ignore_null, self.except_cols, 2, self.tie_by)
+
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         """For ``foreachBatch``."""
+        if self._has(self.table, batch_id):
+            return
+        batch = _bucket(batch, self.keys, self.buckets).persist()
+        try:
+            touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+            if touched:
+                (self._batch2 if self.scd_type == 2 else self._batch1)(batch, touched, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _batch1(self, batch: DataFrame, touched: list[int], batch_id: int) -> None:
+        state = scd.scd1_state(batch.drop(BUCKET), self.keys, self.seq, self.delete_when, self.ignore_null, self.tie_by)
         if self.table.exists():
-            done = self.table.history().select(F.max(F.get_json_object("params", "$.batch").cast("long"))).first()[0]
-            if done is not None and batch_id <= done:
-                return
-        params = {"batch": batch_id}
-        if self.scd_type == 2:
-            rows = _bucket(batch, self.keys, self.buckets)
-            if self.table.exists():
-                self.table.append(rows, operation="BATCH", params=params)
+            old = self.table.read().where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+            state = scd.scd1_merge(old, state, self.keys)
+        self._save(self.table, _bucket(state, self.keys, self.buckets), touched, batch_id)
+
+    def _batch2(self, batch: DataFrame, touched: list[int], batch_id: int) -> None:
+        if not self._has(self.log, batch_id):
+            if self.log.exists():
+                self.log.append(batch, operation="BATCH", params={"batch": batch_id})
             else:
-                VersionedTable.create(rows, self.table.path, partition_by=BUCKET, operation="BATCH", params=params)
-            return
-        state = scd.scd1_state(batch, self.keys, self.seq, self.delete_when, self.ignore_null, self.tie_by)
-        state = _bucket(state, self.keys, self.buckets)
-        if not self.table.exists():
-            VersionedTable.create(state, self.table.path, partition_by=BUCKET, operation="BATCH", params=params)
-            return
-        touched = [r[0] for r in _bucket(batch.select(*self.keys), self.keys, self.buckets).select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        old = self.table.read().where(F.col(BUCKET).isin(touched))
-        merged = _bucket(scd.scd1_merge(old.drop(BUCKET), state.drop(BUCKET), self.keys), self.keys, self.buckets)
-        self.table.replace_parts(merged, touched, "BATCH", params)
+                VersionedTable.create(batch, self.log.path, partition_by=BUCKET, operation="BATCH", params={"batch": batch_id})
+        keys = batch.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys]).distinct()
+        log = self.log.read().where(F.col(BUCKET).isin(touched))
+        fresh = self._scd2(log.join(keys, _same(log, keys, self.keys), "left_semi").drop(BUCKET))
+        if self.table.exists():
+            old = self.table.read().where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+            fresh = old.join(keys, _same(old, keys, self.keys), "left_anti").unionByName(fresh)
+        self._save(self.table, _bucket(fresh, self.keys, self.buckets), touched, batch_id)
 
     def run(self, sdf: DataFrame, checkpoint: str):
         """Apply everything available in the stream and stop."""
@@ -67,11 +100,10 @@ class ChangeTarget:
 
     def read(self) -> DataFrame:
         """The dimension as it stands."""
-        cols = self.spark.createDataFrame([], self.schema).columns
+        empty = self.spark.createDataFrame([], self.schema)
         if not self.table.exists():
-            return scd.apply_changes(self.spark.createDataFrame([], self.schema), self.keys, self.seq, self.delete_when,
-                                     self.ignore_null, self.except_cols, self.scd_type, self.tie_by)
+            return scd.apply_changes(empty, self.keys, self.seq, self.delete_when, self.ignore_null, self.except_cols, self.scd_type, self.tie_by)
+        state = self.table.read().drop(BUCKET)
         if self.scd_type == 2:
-            return scd.apply_changes(self.table.read().select(*cols), self.keys, self.seq, self.delete_when,
-                                     self.ignore_null, self.except_cols, 2, self.tie_by)
-        return scd.scd1_view(self.table.read().drop(BUCKET), [c for c in cols if c not in self.except_cols])
+            return state
+        return scd.scd1_view(state, [c for c in empty.columns if c not in self.except_cols])

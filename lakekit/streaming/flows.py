@@ -102,7 +102,8 @@ class Flow:
             return VersionedTable(self.spark, self._path(name)).read()
         if kind == "changes":
             return self._targets[name].read()
-        return self.spark.read.parquet(self._path(name))
+        r = self.spark.read.schema(self._done[name]) if name in self._done else self.spark.read
+        return r.parquet(self._path(name))
 
     def read_stream(self, name: str) -> DataFrame:
         """The rows of a streaming dataset that the reader has not seen yet."""
