@@ -23,16 +23,20 @@ def all_hold(rules: Rules) -> Column:
     return out
 
 
+def counters(rules: Rules, drop: Sequence[str] = ()) -> list[Column]:
+    """Aggregates: rows, violations of every rule, rows that violate a rule in ``drop``."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs += [F.count_if(~holds(r)).alias(f"failed_{i}") for i, r in enumerate(rules.values())]
+    return [*aggs, F.count_if(~all_hold({k: rules[k] for k in drop})).alias("dropped")]
+
+
 def observe(df: DataFrame, name: str, rules: Rules, drop: Sequence[str] = ()) -> DataFrame:
-    """Count passes and violations while the rows flow by, in batch and in streams; no second pass.
+    """Count passes and violations of a stream while its rows flow by; no second pass.
 
-    The counts arrive with the query's progress or through an ``Observation``. A task that has to be run
-    again may be counted again, so use ``metrics`` where exact numbers matter.
+    The counts arrive with the progress of the query under ``name``. A task that has to be run again may be
+    counted again, so use ``metrics`` on stored rows where exact numbers matter.
     """
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    aggs += [F.count_if(~holds(r)).alias(f"failed_{i}") for i, r in enumerate(rules.values())]
-    aggs.append(F.count_if(~all_hold({k: rules[k] for k in drop})).alias("dropped"))
-    return df.observe(name, *aggs)
+    return df.observe(name, *counters(rules, drop))
 
 
 def metrics(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:

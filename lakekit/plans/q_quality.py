@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation
-
 from ..operators import ml as M, quality as Q
+from ..streaming.files import stream_files
 from ..streaming.flows import Flow
 from . import gold
 from .registry import F, load, query, workdir
@@ -25,10 +24,13 @@ def _orders(spark, d):
 select count(*) as n_rows, count(*) filter (not ({OK1})) as failed_0, count(*) filter (not ({OK2})) as failed_1 from orders
 """)
 def q01(spark, d):
-    obs, path = Observation(), workdir(spark, "q01")
-    Q.observe(_orders(spark, d), obs, RULES).write.parquet(path)
-    got = obs.get
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).withColumns({f"failed_{i}": F.lit(got[f"failed_{i}"]).cast("long") for i in range(2)})
+    base = workdir(spark, "q01")
+    flow = Flow(spark, f"{base}/flow")
+    _orders(spark, d).write.parquet(f"{base}/in")
+    flow.stream(name="clean", expect=RULES)(lambda: stream_files(spark, f"{base}/in", "parquet", "o_orderkey long, o_orderstatus string, o_totalprice double"))
+    flow.update()
+    failed = {r.name: r.failed_records for r in Q.event_metrics(flow.event_log()).collect()}
+    return flow.read("clean").agg(F.count(F.lit(1)).alias("n_rows")).withColumns({f"failed_{i}": F.lit(failed[k]).cast("long") for i, k in enumerate(RULES)})
 
 
 @query("q02_drop_row", f"select o_orderkey, o_orderstatus, o_totalprice from orders where {OK1} and {OK2}")

@@ -25,10 +25,11 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import quality
 from ..operators.versioned import VersionedTable
+from ..session import materialize
 from .changes import ChangeTarget
 
 EVENT_DDL = "id string, timestamp timestamp, event_type string, flow string, details string"
@@ -153,9 +154,7 @@ class Flow:
     def _checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/g{self._generation}/{name}"
 
-    def _guard(self, d: Dataset, df: DataFrame, observe) -> DataFrame:
-        if d.rules:
-            df = quality.observe(df, observe, d.rules, list(d.expect_or_drop))
+    def _enforce(self, d: Dataset, df: DataFrame) -> DataFrame:
         if d.expect_or_drop:
             df = quality.drop_violations(df, d.expect_or_drop)
         if d.expect_or_fail:
@@ -163,22 +162,30 @@ class Flow:
         return df
 
     def _run_table(self, d: Dataset, df: DataFrame) -> None:
-        obs = Observation(f"rules_{d.name}")
-        out = self._guard(d, df, obs)
+        """Counts are taken from stored rows, so the query runs once and retries do not distort them: from the
+        table itself, or where rows are dropped from a checkpoint of all rows."""
+        if d.expect_or_drop:
+            df = materialize(df)
+        out = self._enforce(d, df)
         t = VersionedTable(self.spark, self._path(d.name))
         if t.exists():
             t.commit(out, "REFRESH", overwrite_schema=True)
         else:
             VersionedTable.create(out, t.path, operation="REFRESH")
         self._done[d.name] = df.schema
-        self._progress(d, t._commit().n_rows, [obs.get] if d.rules else [])
+        seen = []
+        if d.rules:
+            rows = df if d.expect_or_drop else t.read()
+            seen = [rows.agg(*quality.counters(d.rules, list(d.expect_or_drop))).first().asDict()]
+        self._progress(d, t._commit().n_rows, seen)
 
     def _run_stream(self, d: Dataset, df: DataFrame) -> None:
         if not df.isStreaming:
             raise ValueError(f"{d.name}: a streaming dataset must return a streaming DataFrame")
         path, name = self._path(d.name), f"rules_{d.name}"
         self.spark.createDataFrame([], df.schema).write.mode("ignore").parquet(path)  # readable before the first row
-        w = self._guard(d, df, name).writeStream.format("parquet").option("checkpointLocation", self._checkpoint(d.name))
+        counted = quality.observe(df, name, d.rules, list(d.expect_or_drop)) if d.rules else df
+        w = self._enforce(d, counted).writeStream.format("parquet").option("checkpointLocation", self._checkpoint(d.name))
         self._start(w, d, lambda w: w.start(path), df, name)
 
     def _run_changes(self, d: Dataset, df: DataFrame) -> None:
