@@ -27,39 +27,47 @@ def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def hot_limit(sizes: DataFrame, floor: int = HOT_FLOOR, share: float = HOT_SHARE) -> tuple[int, int, bool]:
-    """(limit, total rows, whether some key exceeds the limit)."""
-    total, most = sizes.agg(F.sum("_n"), F.max("_n")).first()
+def hot_keys(sizes: DataFrame, keys: Sequence[str], floor: int = HOT_FLOOR, share: float = HOT_SHARE) -> tuple[list, int]:
+    """(keys with more rows than both limits, total rows) in one pass over the counts.
+
+    At most total / floor candidates are gathered, and at most 1 / share of them are hot.
+    """
+    big = F.collect_list(F.when(F.col("_n") > floor, F.struct("_n", *keys)))
+    total, candidates = sizes.agg(F.sum("_n"), big).first()
     limit = max(floor, int((total or 0) * share))
-    return limit, total or 0, bool(most and most > limit)
+    return [tuple(c)[1:] for c in candidates if c._n > limit], total or 0
+
+
+def _same_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys; NULL is a key like any other."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b[f"_k_{k}"])
+    return cond
 
 
-def _stretch_bounds(df: DataFrame, keys: Sequence[str], seq: Column, sizes: DataFrame, limit: int, total: int) -> tuple[DataFrame, int]:
+def _stretch_bounds(df: DataFrame, keys: Sequence[str], seq: Column, hot: list, total: int) -> DataFrame:
     """One row per hot key with its number ``_hot`` and the sorted cut points of its sequence, as a local table.
 
     At most 1 / HOT_SHARE keys times STRETCHES values: small enough to be joined by broadcast always.
     """
-    hot = sizes.filter(F.col("_n") > limit).select(*keys)
-    picked = df.select(*keys, seq.alias("_s")).join(hot, list(keys), "left_semi").where(F.col("_s").isNotNull())
+    spark = df.sparkSession
+    fields = [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
+    numbered = spark.createDataFrame([(i, *h) for i, h in enumerate(hot)], T.StructType([T.StructField("_hot", T.IntegerType()), *fields]))
+    rows = df.select(*keys, seq.alias("_s"))
+    rows = rows.join(F.broadcast(numbered), _same_key(rows, numbered, keys)).where(F.col("_s").isNotNull())
     frac = min(1.0, SAMPLE_ROWS / max(total, 1))
     if frac < 1.0:
-        picked = picked.sample(False, frac, 7)
+        rows = rows.sample(False, frac, 7)
+    cut = lambda i: F.element_at("_v", F.ceil(i * F.size("_v") / F.lit(STRETCHES)).cast("int"))
     cuts = (
-        picked.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("_s")).alias("_v"))
-        .select(
-            *keys,
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.lit(STRETCHES - 1)),
-                    lambda i: F.element_at("_v", F.ceil(i * F.size("_v") / F.lit(STRETCHES)).cast("int")),
-                )
-            ).alias("_cuts"),
-        )
+        rows.groupBy("_hot").agg(F.sort_array(F.collect_list("_s")).alias("_v"))
+        .select("_hot", F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(STRETCHES - 1)), cut)).alias("_cuts"))
+    )
+    return spark.createDataFrame(
+        [(r._hot, *hot[r._hot], r._cuts) for r in cuts.collect()],
+        T.StructType([T.StructField("_hot", T.IntegerType()), *fields, T.StructField("_cuts", cuts.schema["_cuts"].dataType)]),
     )
-    rows = [(i, *r) for i, r in enumerate(cuts.collect())]
-    schema = T.StructType([T.StructField("_hot", T.IntegerType()), *cuts.schema.fields])
-    return df.sparkSession.createDataFrame(rows, schema), len(rows)
 
 
 def add_stretch(df: DataFrame, keys: Sequence[str], seq: Column, floor: int = HOT_FLOOR, share: float = HOT_SHARE) -> tuple[DataFrame, int]:
@@ -67,11 +75,10 @@ def add_stretch(df: DataFrame, keys: Sequence[str], seq: Column, floor: int = HO
 
     Returns (df, number of hot keys); with none, df comes back unchanged.
     """
-    sizes = key_sizes(df, keys)
-    limit, total, any_hot = hot_limit(sizes, floor, share)
-    if not any_hot:
+    hot, total = hot_keys(key_sizes(df, keys), keys, floor, share)
+    if not hot:
         return df, 0
-    cuts, n_hot = _stretch_bounds(df, keys, seq, sizes, limit, total)
+    cuts = _stretch_bounds(df, keys, seq, hot, total)
     cuts = cuts.withColumn(
         "_coarse",
         F.transform(
@@ -79,16 +86,25 @@ def add_stretch(df: DataFrame, keys: Sequence[str], seq: Column, floor: int = HO
             lambda i: F.try_element_at("_cuts", i * CHUNK),
         ),
     )
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(cuts[k])
-        cond = c if cond is None else cond & c
-    j = df.withColumn("_s", seq).join(F.broadcast(cuts), cond, "left").select(df["*"], "_hot", "_s", "_cuts", "_coarse")
+    left = df.withColumn("_s", seq)
+    j = left.join(F.broadcast(cuts), _same_key(left, cuts, keys), "left").drop(*[f"_k_{k}" for k in keys])
     at = F.size(F.filter("_coarse", lambda x: x <= F.col("_s")))
     j = j.withColumn("_c", at)
     fine = F.size(F.filter(F.slice("_cuts", F.col("_c") * CHUNK + 1, F.lit(CHUNK)), lambda x: x <= F.col("_s")))
     blk = F.when(F.col("_cuts").isNull(), F.lit(None)).when(F.col("_s").isNull(), 0).otherwise(F.col("_c") * CHUNK + fine)
-    return j.withColumn("_blk", blk.cast("int")).drop("_s", "_cuts", "_coarse", "_c"), n_hot
+    return j.withColumn("_blk", blk.cast("int")).drop("_s", "_cuts", "_coarse", "_c"), len(hot)
+
+
+def _cut_position(df: DataFrame, seq: Sequence[str], tie: Sequence[str]) -> Column:
+    """What stretches are cut by: the sequence and the first tie columns of fixed width, so that many rows
+    with one sequence value can be cut as well while the cut points stay small."""
+    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    cols = list(seq)
+    for t in tie:
+        if not isinstance(df.schema[t].dataType, fixed) or len(cols) == len(seq) + 2:
+            break
+        cols.append(t)
+    return F.col(cols[0]) if len(cols) == 1 else F.when(F.col(cols[0]).isNotNull(), F.struct(*cols))
 
 
 def ordered_scan(
@@ -112,7 +128,7 @@ def ordered_scan(
     """
     lead, last, running = dict(lead or {}), dict(last or {}), dict(running or {})
     order = [*seq, *tie]
-    seq_col = F.col(seq[0]) if len(seq) == 1 else F.struct(*seq)
+    seq_col = _cut_position(df, seq, tie)
     if reset:
         for c in set(last.values()):
             df = df.withColumn(c, F.when(~F.coalesce(F.col(reset), F.lit(False)), F.col(c)))

@@ -62,6 +62,8 @@ class Flow:
         self._edges: set[tuple[str, str]] = set()
         self._targets: dict[str, ChangeTarget] = {}
         self._continuous: str | None = None
+        # every micro-batch of an update counts, not only the last hundred
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
 
     # --- declarations -------------------------------------------------------------------------------
 
@@ -184,7 +186,7 @@ class Flow:
             raise ValueError(f"{d.name}: a streaming dataset must return a streaming DataFrame")
         path, name = self._path(d.name), f"rules_{d.name}"
         self.spark.createDataFrame([], df.schema).write.mode("ignore").parquet(path)  # readable before the first row
-        counted = quality.observe(df, name, d.rules, list(d.expect_or_drop)) if d.rules else df
+        counted = quality.observe(df, name, d.rules, list(d.expect_or_drop))
         w = self._enforce(d, counted).writeStream.format("parquet").option("checkpointLocation", self._checkpoint(d.name))
         self._start(w, d, lambda w: w.start(path), df, name)
 
@@ -204,9 +206,9 @@ class Flow:
             return
         q.awaitTermination()
         progress = q.recentProgress
-        rows = sum(p.numInputRows for p in progress)
         seen = [p.observedMetrics[observed].asDict() for p in progress if observed and observed in (p.observedMetrics or {})]
-        self._progress(d, rows - sum(m["dropped"] for m in seen), seen)
+        rows = sum(m["rows"] - m["dropped"] for m in seen) if observed else sum(p.numInputRows for p in progress)
+        self._progress(d, rows, seen)
 
     # --- event log ----------------------------------------------------------------------------------
 

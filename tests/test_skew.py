@@ -75,6 +75,8 @@ def test_null_keys_and_null_sequences_are_kept(spark):
         got = skew.ordered_scan(df, ["k"], ["s"], ["t"], lead={"n": "t"}, hot_floor=floor, hot_share=0.0)
         assert got.count() == 501
         assert got.where("n is null").count() == 2  # the last row of both keys
+    cut, n_hot = skew.add_stretch(df, ["k"], F.col("s"), floor=10, share=0.0)
+    assert n_hot == 1 and cut.where("k is null").select("_blk").distinct().count() > 100  # a hot NULL key is cut too
 
 
 def test_auc_is_exact_when_scores_are_cut(spark):
@@ -104,3 +106,11 @@ def test_as_of_join_equals_brute_force(spark):
         assert {x.i: x.v for x in got.collect()} == want
         inner = scd.as_of_join(f, hist, "k", "t", how="inner", hot_floor=floor, hot_share=0.0)
         assert {x.i for x in inner.collect()} == {i for i, v in want.items() if v is not None}
+
+
+def test_one_sequence_value_is_cut_by_the_tie(spark):
+    df = spark.range(2000).select(F.lit(0).alias("k"), F.lit(5).alias("s"), F.col("id").alias("t"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    cut, n_hot = skew.add_stretch(df, ["k"], skew._cut_position(df, ["s"], ["t"]), floor=10, share=0.0)
+    assert n_hot == 1 and cut.groupBy("_blk").count().agg(F.max("count")).first()[0] < 10
+    got = skew.ordered_scan(df, ["k"], ["s"], ["t"], last={"lv": "v"}, lead={"n": "t"}, hot_floor=10, hot_share=0.0)
+    assert got.where("lv <> t - t % 7 or (n <> t + 1 and n is not null)").isEmpty() and got.where("n is null").count() == 1
