@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
-
 from ..functions import scalar as X, udfs as D
-from ..operators import changes as C, governance as GV, ml as M, profile as PR
+from ..operators import governance as GV, ml as M, profile as PR
 from ..operators.skew import ordered_scan
 from . import gold
-from .registry import F, day_text, load, money, query, ts_text
+from .registry import F, day_text, load, money, query, ts_text, workdir
 
 # --- projections and filters ------------------------------------------------------------------------
 
@@ -83,8 +81,6 @@ def p10(spark, d):
 
 @query("p11_partition_filter", "select o_orderkey, o_orderpriority from orders where o_orderpriority = '2-HIGH' and o_totalprice > 300000")
 def p11(spark, d):
-    from .registry import workdir
-
     path = workdir(spark, "p11")
     load(spark, d, "orders").hint("rebalance", "o_orderpriority").write.partitionBy("o_orderpriority").parquet(path)
     return spark.read.parquet(path).where("o_orderpriority = '2-HIGH' and o_totalprice > 300000").select("o_orderkey", "o_orderpriority")
@@ -332,8 +328,6 @@ def o01(spark, d):
 
 @query("o02_sort_on_write", "select count(*) as n, true as sorted from orders")
 def o02(spark, d):
-    from .registry import workdir
-
     path = workdir(spark, "o02")
     load(spark, d, "orders").sortWithinPartitions("o_orderdate", "o_orderkey").write.parquet(path)
     r = spark.read.parquet(path).select("o_orderdate", "o_orderkey", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))

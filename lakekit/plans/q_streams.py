@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from ..functions import udfs as D
 from ..functions.nested import parse_items
-from ..operators import quality as Q
 from ..sources import generate as G
 from ..streaming.files import run_available_now, stream_files
 from ..streaming.flows import Flow
-from . import gold
 from .registry import F, load, query, workdir
 
 EVENT_DDL = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"

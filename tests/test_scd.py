@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakekit.operators import scd
 from lakekit.streaming.changes import ChangeTarget
