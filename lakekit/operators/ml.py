@@ -142,6 +142,12 @@ def z_score(c: str, stats: Mapping[str, tuple[float, float]]):
 # --- classifiers ------------------------------------------------------------------------------------
 
 
+def keep_for_training(df: DataFrame) -> DataFrame:
+    """Spread the rows evenly in partitions of the size AQE advises and keep them: trainers pass over them
+    many times, so one shuffle pays off when the input has few or uneven partitions."""
+    return df.hint("rebalance").persist()
+
+
 def random_forest(label: str = "label", features: str = "features", trees: int = 20, depth: int = 8, seed: int = 42) -> RandomForestClassifier:
     """Entropy, at least 50 rows per leaf (so a node that is split has at least 100), no bootstrap."""
     return RandomForestClassifier(labelCol=label, featuresCol=features, impurity="entropy", minInstancesPerNode=50, bootstrap=False, numTrees=trees, maxDepth=depth, seed=seed)

@@ -19,10 +19,13 @@ def _base(spark, d):
                     F.col("o_orderpriority").alias("kind"), (F.col("o_orderstatus") == "F").cast("int").alias("label"))
 
 
-def _items(spark, d):
+ITEM_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+
+
+def _items(spark, d, key=()):
     """Order items with a label that depends on the features, so that models have something to learn."""
     li = load(spark, d, "lineitem")
-    return li.select(*NUM, F.col("l_linestatus").alias("kind"), (F.col("l_extendedprice") / F.col("l_quantity") > 2000).cast("int").alias("label"))
+    return li.select(*key, *NUM, F.col("l_linestatus").alias("kind"), (F.col("l_extendedprice") / F.col("l_quantity") > 2000).cast("int").alias("label"))
 
 
 @query("m01_feature_table", """
@@ -89,11 +92,10 @@ def m07(spark, d):
 
 def _fitted(spark, d, make):
     """(model, preprocessing, prepared training rows, prepared validation rows, validation rows)"""
-    items = _items(spark, d)
-    items = M.split(items, items.columns, {"train": 0.7, "valid": 0.3})
-    train, valid = items.where("split = 'train'").drop("split"), items.where("split = 'valid'").drop("split")
+    items = M.split(_items(spark, d, ITEM_KEY), ITEM_KEY, {"train": 0.7, "valid": 0.3})
+    train, valid = [items.where(F.col("split") == s).drop("split", *ITEM_KEY) for s in ("train", "valid")]
     prep = M.Preprocessor("label").fit(train)
-    tr = prep.transform(train).select("features", "label").persist()  # read once per iteration by the trainers
+    tr = M.keep_for_training(prep.transform(train).select("features", "label"))
     model = make(tr).fit(tr)
     return model, prep, tr, prep.transform(valid), valid
 
