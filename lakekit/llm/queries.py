@@ -26,12 +26,12 @@ def query(name: str, sql: str | None = None):
 @query("op9_quality_rules", r"""
 with w as (
   select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
-l as (select *, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from w),
+l as (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from w),
 win as (select rid, i, ws[i:i + 4] as g from (select rid, ws, unnest(generate_series(1, len(ws) - 4)) as i from w)),
 dup as (select rid, i from (select rid, i, count(*) over (partition by rid, g) as k from win) where k > 1),
 cov as (select rid, sum(least(5, coalesce(nxt - i, 5))) as n from (select rid, i, lead(i) over (partition by rid order by i) as nxt from dup) group by rid),
 c as (
-  select l.rid, doc_id, lang, source, len(ws) as n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0) as word_chars,
+  select l.rid, doc_id, lang, source, len(ws) as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) as word_chars,
     length(t) - length(translate(t, '#*$%&|<>', '')) as n_symbols, len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(n, 0) as n_repeat_words, len(ls) as n_lines
   from l left join cov using (rid)),
 v as (
