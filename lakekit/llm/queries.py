@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import langid, quality, topk
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,27 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op5_exact_top_k", """
+with v as (
+  select row_number() over () as uid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)
+select query_id, rank::int as rank, vec_id, score from (
+  select q.vec_id as query_id, r.vec_id, list_inner_product(q.v, r.v)::bigint as score,
+    row_number() over (partition by q.uid order by list_inner_product(q.v, r.v) desc, r.vec_id) as rank
+  from v q join v r on q.uid <> r.uid where q.vec_id % 100 = 0)
+where rank <= 10
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold("doc_id", 5) == 0).alias("held_out"))
+    model = langid.train(docs.where(~F.col("held_out")))
+    return langid.predict(docs, model, keep=("doc_id", "held_out"))
+
+
 @query("op9_quality_rules", r"""
 with w as (
   select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
