@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, quality, secrets, topk
+from . import langid, pieces_codec, quality, secrets, token_trees, topk
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,21 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def own_edits(text: str = "text", doc_id: str = "doc_id"):
+    """Three edits of every document, from its own id and length: a deletion, an insertion and a replacement."""
+    n = F.length(F.coalesce(F.col(text), F.lit("")))
+    mark = F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), 1, 12)
+    e = lambda start, deleted, inserted: F.struct(F.floor(start).cast("int").alias("start"), F.lit(deleted).alias("deleted"), inserted.alias("inserted"))
+    return F.array(e(n / 3, 5, F.lit("")), e(n / 2, 0, F.concat(F.lit(" rev "), mark, F.lit("\n"))), e(3 * n / 4, 7, F.lit("'s  new  ")))
+
+
+@query("op1_edited_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trees = token_trees.build(table(spark, sf_dir, "documents"))
+    edited = token_trees.edit(trees.withColumn("edits", own_edits()))
+    return edited.select("doc_id", "n_before", "n_tokens", F.length("text").cast("long").alias("n_chars"), "n_encoded_again")
+
+
 @query("op5_exact_top_k", """
 with v as (
   select row_number() over () as uid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
@@ -88,3 +103,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secret_scan")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
+
+
+@query("op8_sentencepiece")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_codec.encode(table(spark, sf_dir, "documents"))
