@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, pieces_codec, quality, secrets, token_trees, topk
+from . import jaccard, langid, pieces_codec, quality, secrets, token_trees, topk
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op2_shingle_jaccard_groups")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf_dir, "documents"))
+
+
 def own_edits(text: str = "text", doc_id: str = "doc_id"):
     """Three edits of every document, from its own id and length: a deletion, an insertion and a replacement."""
     n = F.length(F.coalesce(F.col(text), F.lit("")))
