@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from . import jaccard, langid, pieces_codec, quality, secrets, token_trees, topk
+from . import fixity, jaccard, langid, mixing, pieces_codec, quality, secrets, token_trees, topk
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,81 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited.select("doc_id", "n_before", "n_tokens", F.length("text").cast("long").alias("n_chars"), "n_encoded_again")
 
 
+PAGES_PER_FILE = 500
+
+
+def archives(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Archive files of 500 pages each, and a replica with changed and lost records and one record too many in some files."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    part = F.floor(F.col("page_id") / PAGES_PER_FILE)
+    records = pages.select(F.concat(F.lit("crawl-"), part.cast("string")).alias("file"), part.alias("part"), F.col("page_id"), F.col("page_id").cast("string").alias("record_id"), fixity.response(F.col("page_id"), F.col("url"), F.col("html")).alias("content"))
+    w = W.partitionBy("file").orderBy("page_id").rowsBetween(W.unboundedPreceding, -1)
+    records = records.withColumn("offset", F.coalesce(F.sum(F.octet_length("content")).over(w), F.lit(0)).cast("long"))
+    n = F.col("page_id")
+    kept = records.where(n % 89 != 5)
+    damaged = kept.withColumn("content", F.when(n % 41 == 7, F.overlay("content", F.lit("#"), F.floor(F.length("content") / 2).cast("int"))).otherwise(F.col("content")))
+    ends = records.where(F.col("part") % 7 == 3).groupBy("file").agg(F.max("offset").alias("o")).select("file", F.lit("extra").alias("record_id"), (F.col("o") + 100_000_000).alias("offset"), F.lit("late").alias("content"))
+    columns = ["file", "offset", "record_id", "content"]
+    return records.select(*columns), damaged.select(*columns).unionByName(ends.select(*columns))
+
+
+@query("op3_merkle_fixity", r"""
+with r as (
+  select 'crawl-' || (page_id // 500)::varchar as file, page_id // 500 as part, page_id, page_id::varchar as record_id,
+    'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id::varchar || '>' || chr(13) || chr(10)
+    || 'Content-Length: ' || strlen(coalesce(html, ''))::varchar || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) as content
+  from pages),
+a as (select *, coalesce(sum(strlen(content)) over (partition by file order by page_id rows between unbounded preceding and 1 preceding), 0)::bigint as o from r),
+b as (
+  select file, o, record_id, case when page_id % 41 = 7 then substr(content, 1, length(content) // 2 - 1) || '#' || substr(content, length(content) // 2 + 1) else content end as content from a where page_id % 89 <> 5
+  union all select file, max(o) + 100000000, 'extra', 'late' from a where part % 7 = 3 group by file)
+select coalesce(a.file, b.file) as file, coalesce(a.o, b.o) as "offset", coalesce(a.record_id, b.record_id) as record_id,
+  case when a.o is null then 'extra' when b.o is null then 'missing' else 'changed' end as status,
+  strlen(a.content) as length, sha256(a.content) as digest, strlen(b.content) as found_length, sha256(b.content) as found
+from a full join b on a.file = b.file and a.o = b.o and a.record_id = b.record_id
+where a.content is distinct from b.content
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixity.audit(*archives(spark, sf_dir))
+
+
+#: A source's domain: its number modulo 4.
+DOMAIN = "concat('d', cast(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4 as string))"
+WEIGHTS = {"domain": "case domain when 'd0' then 4 when 'd1' then 3 when 'd2' then 2 else 1 end", "lang": "case lang when 'en' then 2 else 1 end"}
+
+
+@query("op4_source_mixture", r"""
+with t as (
+  select doc_id, text, lang, source, 'd' || (try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4)::varchar as domain, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as tokens from documents),
+u as (select * from t where tokens > 0),
+leaf as (select domain, lang, source, sum(tokens)::bigint as tokens, sum(tokens)::bigint * 3 as cap from u group by all),
+total as (select floor(sum(tokens) * 0.6::double)::bigint as b from leaf),
+d0 as (select domain, sum(cap) as cap, case domain when 'd0' then 4 when 'd1' then 3 when 'd2' then 2 else 1 end as w from leaf group by domain),
+d1 as (select *, (select b from total) as b, cap / w::double as full_, sum(cap) over () as c, sum(w) over () as ws,
+  coalesce(sum(cap) over (order by cap / w::double, coalesce(domain, '') rows between unbounded preceding and 1 preceding), 0) as before, coalesce(sum(w) over (order by cap / w::double, coalesce(domain, '') rows between unbounded preceding and 1 preceding), 0) as passed from d0),
+d2 as (select *, max(case when (b - before) / (ws - passed)::double <= full_ then (b - before) / (ws - passed)::double end) over () as level from d1),
+d as (select domain, (case when b >= c then cap else least(cap, floor(w * level + 1e-6)) end)::bigint as b from d2),
+l0 as (select domain, lang, sum(cap) as cap, case lang when 'en' then 2 else 1 end as w from leaf group by all),
+l1 as (select l0.*, d.b, cap / w::double as full_, sum(cap) over (partition by l0.domain) as c, sum(w) over (partition by l0.domain) as ws,
+  coalesce(sum(cap) over (partition by l0.domain order by cap / w::double, coalesce(lang, '') rows between unbounded preceding and 1 preceding), 0) as before, coalesce(sum(w) over (partition by l0.domain order by cap / w::double, coalesce(lang, '') rows between unbounded preceding and 1 preceding), 0) as passed
+  from l0 join d on l0.domain is not distinct from d.domain),
+l2 as (select *, max(case when (b - before) / (ws - passed)::double <= full_ then (b - before) / (ws - passed)::double end) over (partition by domain) as level from l1),
+l as (select domain, lang, (case when b >= c then cap else least(cap, floor(w * level + 1e-6)) end)::bigint as b from l2),
+s1 as (select leaf.*, l.b, cap / 1::double as full_, sum(cap) over (partition by leaf.domain, leaf.lang) as c, count(*) over (partition by leaf.domain, leaf.lang) as ws,
+  coalesce(sum(cap) over (partition by leaf.domain, leaf.lang order by cap, coalesce(source, '') rows between unbounded preceding and 1 preceding), 0) as before, row_number() over (partition by leaf.domain, leaf.lang order by cap, coalesce(source, '')) - 1 as passed
+  from leaf join l on leaf.domain is not distinct from l.domain and leaf.lang is not distinct from l.lang),
+s2 as (select *, max(case when (b - before) / (ws - passed)::double <= full_ then (b - before) / (ws - passed)::double end) over (partition by domain, lang) as level from s1),
+plan as (select domain, lang, source, tokens, (case when b >= c then cap else least(cap, floor(level + 1e-6)) end)::bigint as budget from s2),
+e as (select u.*, budget // plan.tokens as epochs, budget % plan.tokens as rest from u join plan on u.domain is not distinct from plan.domain and u.lang is not distinct from plan.lang and u.source is not distinct from plan.source),
+o as (select *, sum(tokens) over (partition by domain, lang, source order by md5('1:' || epochs::varchar || ':' || coalesce(doc_id::varchar, '')), doc_id, md5(coalesce(text, '')) range between unbounded preceding and current row) as upto from e)
+select doc_id, domain, tokens, (epochs + case when upto <= rest then 1 else 0 end)::bigint as copies from o where epochs + case when upto <= rest then 1 else 0 end > 0
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    got = mixing.choose(docs, 0.6, DOMAIN, weights=WEIGHTS, epochs=3)
+    return got.select(F.col("c0").alias("doc_id"), F.col("_domain").alias("domain"), F.col("_tokens").alias("tokens"), F.col("_copies").alias("copies"))
+
+
 @query("op5_exact_top_k", """
 with v as (
   select row_number() over () as uid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
