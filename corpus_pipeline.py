@@ -18,18 +18,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id (operator 2).
-
-    Of rows that repeat that id one is kept, the first by its text and then by its other columns; rows without id or words are kept as they are."""
-    groups = jaccard.groups(docs)
-    lost = groups.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias("_lost")).distinct()
-    left = docs.join(lost, F.col("doc_id") == F.col("_lost"), "left_anti")
-    return left.dropDuplicates(docs.columns) if _repeats(docs) else left
-
-
-def _repeats(docs: DataFrame) -> bool:
-    n = docs.agg(F.count("doc_id").alias("n"), F.approx_count_distinct("doc_id").alias("d")).first()
-    return n.n > 2 * n.d
+    """One document of each group of near copies, the one with the smallest id (operator 2)."""
+    return jaccard.keep_one(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

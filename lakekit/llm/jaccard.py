@@ -364,10 +364,14 @@ class Join:
         pairs = e.join(o, (F.col("h") == F.col("h2")) & (F.col("root") != F.col("root2")) & (F.col("node") < F.col("node2")) & fits("n", "n2"))
         return pairs.select(F.col("node").alias("a"), F.col("node2").alias("b"))
 
+    def named(self) -> DataFrame:
+        """node, root, and the smallest id of the node, for every node."""
+        roots = self.roots().withColumnsRenamed({"node": "v"})
+        return stored(self.nodes.join(roots, F.col("node") == F.col("v"), "left").select("node", "doc", F.coalesce("root", "node").alias("root")), "roots")
+
     def groups(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row."""
-        roots = self.roots().withColumnsRenamed({"node": "v"})
-        named = self.nodes.join(roots, F.col("node") == F.col("v"), "left").select("node", "doc", F.coalesce("root", "node").alias("root"))
+        named = self.named()
         least = named.groupBy("root").agg(F.min("doc").alias("least")).withColumnRenamed("root", "r")
         ids = named.join(least, F.col("root") == F.col("r")).select(F.col("node").alias("v"), "least")
         out = self.rows.join(ids, (F.col("node") == F.col("v")) & (F.col("n") > 0), "left")
@@ -376,3 +380,38 @@ class Join:
 
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     return Join(docs, text, doc_id).groups()
+
+
+def _tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in pieces(batches, "text"):
+        sets = sets_of(b.column("text"))
+        yield pa.record_batch([*b.columns, pa.array([len(x) for x in sets], pa.int64()), pa.array([node_of(x)[0] for x in sets], pa.int64())], names=[*b.schema.names, "_n", "_node"])
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The documents with all their columns, less all but one of every group: the one with the smallest id stays (NULL comes last).
+
+    Texts are not shuffled: rows are told by their id, and those to drop are taken out by an anti join. Rows whose id is NULL or repeated
+    are told by id and set instead; of rows equal in both, any one stays. Documents without words all stay.
+    """
+    names = docs.columns
+    plain = docs.toDF(*["text" if n == text else "doc_id" if n == doc_id else f"c{i}" for i, n in enumerate(names)])
+    join = Join(plain)
+    best = join.rows.where("n > 0").select("doc_id", F.col("node").alias("k")).distinct()
+    named = join.named().select("node", "root")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
+    best = best.join(named, F.col("k") == F.col("node")).groupBy("root").agg(F.min(place).alias("b")).select(F.col("b.doc_id").alias("bid"), F.col("b.k").alias("bnode"))
+    best = stored(best, "kept")
+    many = stored(join.rows.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("mid")), "repeated")
+    mine = (F.col("doc_id").eqNullSafe(F.col("bid"))) & (F.col("node") == F.col("bnode"))
+    lost = join.rows.where("n > 0").join(best, mine, "left_anti").select(F.col("doc_id").alias("gone")).union(many.select("mid"))
+    lost = stored(lost.distinct(), "lost")
+    few = lost.count() <= 1 << 20  # 16 MB at most
+    out = plain.join(F.broadcast(lost) if few else lost, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    if many.count():
+        again = plain.join(many, F.col("doc_id").eqNullSafe(F.col("mid")), "left_semi")
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in again.schema.fields)
+        again = again.mapInArrow(_tagged, f"{ddl}, _n long, _node long")
+        stay = again.join(best, F.col("doc_id").eqNullSafe(F.col("bid")) & (F.col("_node") == F.col("bnode")), "left_semi").dropDuplicates(["doc_id", "_node"])
+        out = out.unionByName(stay.where("_n > 0").drop("_n", "_node")).unionByName(again.where("_n = 0").drop("_n", "_node"))
+    return out.toDF(*names)
