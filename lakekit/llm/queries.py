@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from . import fixity, jaccard, langid, mixing, pieces_codec, quality, secrets, token_trees, topk
+from . import ctw, fixity, jaccard, langid, mixing, pieces_codec, quality, secrets, token_trees, topk
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,6 +132,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+@query("op6_context_tree")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 @query("op7_language_id")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold("doc_id", 5) == 0).alias("held_out"))
