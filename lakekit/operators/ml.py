@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.scalar import h_concentration, log_ratio
 from ..sources.files import key_share
-from .skew import HOT_FLOOR, HOT_SHARE, ordered_scan
+from .skew import ordered_scan
 
 MAX_CATEGORIES = 10_000
 MISSING = "(missing)"  # the encoder refuses an empty category name
@@ -209,19 +209,19 @@ def score(model, df: DataFrame, out: str = "probability_1") -> DataFrame:
 # --- evaluation -------------------------------------------------------------------------------------
 
 
-def auc(df: DataFrame, label: str, score_col: str = "probability_1", hot_floor: int = HOT_FLOOR, hot_share: float = HOT_SHARE) -> float:
-    return auc_frame(df, label, score_col, hot_floor, hot_share).first()[0]
+def auc(df: DataFrame, label: str, score_col: str = "probability_1", ranges: int | None = None) -> float:
+    return auc_frame(df, label, score_col, ranges).first()[0]
 
 
-def auc_frame(df: DataFrame, label: str, score_col: str, hot_floor: int = HOT_FLOOR, hot_share: float = HOT_SHARE) -> DataFrame:
+def auc_frame(df: DataFrame, label: str, score_col: str, ranges: int | None = None) -> DataFrame:
     """Exact ROC AUC with ties counted half, as one row.
 
     Rows are first counted per distinct score; the running count of negatives over the ordered scores is
-    an ordered scan of one key, cut into stretches when there are many scores.
+    an ordered scan of one key, which is dealt to many ranges.
     """
     y = (F.col(label) == 1).cast("long")
     per = df.groupBy(F.col(score_col).alias("s")).agg(F.sum(y).alias("p"), F.sum(1 - y).alias("n")).withColumn("g", F.lit(0))
-    c = ordered_scan(per, ["g"], ["s"], running={"upto": "n"}, hot_floor=hot_floor, hot_share=hot_share)
+    c = ordered_scan(per, ["g"], ["s"], running={"upto": "n"}, ranges=ranges)
     wins = F.sum(F.col("p").cast("double") * (F.col("upto") - F.col("n") / 2.0))
     return c.agg((wins / (F.sum("p").cast("double") * F.sum("n").cast("double"))).alias("auc"))
 

@@ -5,7 +5,7 @@ so a hot key is combined on the map side. Type 2 and null carry use ``ordered_sc
 Changes with equal key and sequence are one change: ``tie_by`` orders them and the last one wins, with NULLs
 filled from the earlier ones when ``ignore_null_updates`` is set. Without ``tie_by`` the order is the change
 type, then every other column; when NULL updates are ignored, a hash of the row stands for the other columns,
-since the position of every column's newest value has to be kept.
+since the position of every column's newest value has to be kept. A NULL sequence is the earliest one.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .skew import HOT_FLOOR, HOT_SHARE, ordered_scan
+from .skew import ordered_scan
 
 START, END = "__START_AT", "__END_AT"
 
@@ -59,8 +59,7 @@ def apply_changes(
     except_cols: Sequence[str] = (),
     scd_type: int = 1,
     tie_by: str | Sequence[str] | None = None,
-    hot_floor: int = HOT_FLOOR,
-    hot_share: float = HOT_SHARE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Apply ``changes`` (a batch DataFrame holding the whole log) and return the dimension."""
     keys, seq = _names(keys), _names(sequence_by)
@@ -69,7 +68,7 @@ def apply_changes(
         return scd1_view(state, [c for c in changes.columns if c not in except_cols])
     if scd_type != 2:
         raise ValueError("scd_type must be 1 or 2")
-    return _scd2(changes, keys, seq, _expr(delete_when), ignore_null_updates, list(except_cols), tie_by, hot_floor, hot_share)
+    return _scd2(changes, keys, seq, _expr(delete_when), ignore_null_updates, list(except_cols), tie_by, ranges)
 
 
 # --- type 1 -----------------------------------------------------------------------------------------
@@ -147,7 +146,7 @@ def scd1_view(state: DataFrame, columns: Sequence[str]) -> DataFrame:
 # --- type 2 -----------------------------------------------------------------------------------------
 
 
-def _scd2(changes, keys, seq, delete_when, ignore_null, except_cols, tie_by, hot_floor, hot_share) -> DataFrame:
+def _scd2(changes, keys, seq, delete_when, ignore_null, except_cols, tie_by, ranges) -> DataFrame:
     df = changes.withColumn("_del", F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False))
     df, tie = _with_tie(df, keys, seq, tie_by, ignore_null)
     payload = [c for c in changes.columns if c not in keys and c not in except_cols]
@@ -158,11 +157,11 @@ def _scd2(changes, keys, seq, delete_when, ignore_null, except_cols, tie_by, hot
         df = df.withColumns({f"_p_{c}": F.col(c) for c in payload})
         last = {f"_o_{c}": f"_p_{c}" for c in payload}
     s = ordered_scan(
-        df, keys, seq, tie, lead={"_next": "_seq"}, last=last, reset="_del" if ignore_null and delete_when is not None else None,
-        hot_floor=hot_floor, hot_share=hot_share,
+        df.withColumn("_one", F.lit(1)), keys, seq, tie, lead={"_next": "_seq", "_after": "_one"}, last=last, reset="_del" if ignore_null and delete_when is not None else None,
+        ranges=ranges,
     )
-    # of changes with the same sequence only the last one opens or closes an interval
-    s = s.where(~F.col("_seq").eqNullSafe(F.col("_next")) & ~F.col("_del"))
+    # of changes with the same sequence only the last one opens or closes an interval; the last row of a key has no next one
+    s = s.where((F.col("_after").isNull() | ~F.col("_seq").eqNullSafe(F.col("_next"))) & ~F.col("_del"))
     val = (lambda c: F.col(f"_o_{c}").alias(c)) if ignore_null else F.col
     return s.select(*keys, *[val(c) for c in payload], F.col("_seq").alias(START), F.col("_next").alias(END))
 
@@ -179,14 +178,13 @@ def as_of_join(
     end: str = END,
     columns: Sequence[str] | None = None,
     how: str = "left",
-    hot_floor: int = HOT_FLOOR,
-    hot_share: float = HOT_SHARE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Give every fact the dimension row valid at its time (``start <= ts < end``, open end = current).
 
     Facts and interval starts are merged into one ordered scan per key, so the work is linear in the
     rows; a range join would compare every fact of a key with every interval of that key.
-    Intervals of one key must not overlap, which holds for type 2 output.
+    Intervals of one key must not overlap, which holds for type 2 output. A NULL key matches nothing, as in an equi join.
     """
     keys = _names(keys)
     columns = list(columns) if columns is not None else [c for c in history.columns if c not in keys and c not in (start, end)]
@@ -195,8 +193,11 @@ def as_of_join(
     )
     fact = facts.select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), F.struct(*facts.columns).alias("_fact"))
     both = dim.unionByName(fact, allowMissingColumns=True)
-    s = ordered_scan(both, keys, ["_t"], ["_side"], last={"_cur": "_dim"}, hot_floor=hot_floor, hot_share=hot_share)
-    valid = F.col("_cur").isNotNull() & (F.col("_cur._e").isNull() | (F.col("_t") < F.col("_cur._e")))
+    s = ordered_scan(both, keys, ["_t"], ["_side"], last={"_cur": "_dim"}, ranges=ranges)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    valid = known & F.col("_cur").isNotNull() & (F.col("_cur._e").isNull() | (F.col("_t") < F.col("_cur._e")))
     s = s.where(F.col("_side") == 1).withColumn("_ok", F.coalesce(valid, F.lit(False)))
     if how == "inner":
         s = s.where("_ok")

@@ -1,9 +1,10 @@
 """Ordered scans per key that stay balanced when one key holds a large share of the rows.
 
-``lead``, "last known value" and running sums need the rows of a key in order. A plain window sends a
-key to one task, which fails when a key holds a third of the table. Here such hot keys are cut into
-stretches of their sequence; each stretch is an ordinary window partition, and a small table with one
-row per stretch carries the state across the cuts. Keys that are not hot keep the plain window.
+``lead``, "last known value" and running sums need the rows of a key in order. A plain window sends a key to one
+task, which fails when a key holds a third of the table. Here the rows are dealt out by ranges of (key, sequence, tie, row hash), so every
+range is about as large as any other, whatever the keys; a key may run over many ranges. The rows are written once with the number of
+their range and scanned inside it. Only the first and the last key of a range can go on in another one: for these a table with one
+row per range and key, at most two per range, carries the state across the borders. The same path serves tables of all sizes and keys of all shares.
 """
 
 from __future__ import annotations
@@ -12,99 +13,42 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-# A key is hot when it holds more rows than both limits allow. The share bounds the number of hot keys
-# (at most 1 / HOT_SHARE), so every table below about hot keys is bounded whatever the input size.
-HOT_SHARE = 1 / 2000
-HOT_FLOOR = 1_000_000
-STRETCHES = 1024
-CHUNK = 32
-SAMPLE_ROWS = 2_000_000
-CARRY_BROADCAST_ROWS = 200_000
+from ..session import workdir
 
 
-def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key; map-side combined, so a hot key costs one row per map task."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-
-
-def hot_keys(sizes: DataFrame, keys: Sequence[str], floor: int = HOT_FLOOR, share: float = HOT_SHARE) -> tuple[list, int]:
-    """(keys with more rows than both limits, total rows) in one pass over the counts.
-
-    At most total / floor candidates are gathered, and at most 1 / share of them are hot.
-    """
-    big = F.collect_list(F.when(F.col("_n") > floor, F.struct("_n", *keys)))
-    total, candidates = sizes.agg(F.sum("_n"), big).first()
-    limit = max(floor, int((total or 0) * share))
-    return [tuple(c)[1:] for c in candidates if c._n > limit], total or 0
-
-
-def _same_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    """Equal keys; NULL is a key like any other."""
+def _same(a: Sequence[str], b: Sequence[str]) -> Column:
+    """Equal columns; NULL is a value like any other."""
     cond = F.lit(True)
-    for k in keys:
-        cond = cond & a[k].eqNullSafe(b[f"_k_{k}"])
+    for x, y in zip(a, b):
+        cond = cond & F.col(x).eqNullSafe(F.col(y))
     return cond
 
 
-def _stretch_bounds(df: DataFrame, keys: Sequence[str], seq: Column, hot: list, total: int) -> DataFrame:
-    """One row per hot key with its number ``_hot`` and the sorted cut points of its sequence, as a local table.
+def _hashable(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _hashable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_hashable(f.dataType) for f in t.fields)
+    return not isinstance(t, (T.MapType, T.VariantType))
 
-    At most 1 / HOT_SHARE keys times STRETCHES values: small enough to be joined by broadcast always.
-    """
+
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """The rows with the number ``_p`` of their range in (keys, order, row hash); written once, so numbers and rows stay together."""
     spark = df.sparkSession
-    fields = [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
-    numbered = spark.createDataFrame([(i, *h) for i, h in enumerate(hot)], T.StructType([T.StructField("_hot", T.IntegerType()), *fields]))
-    rows = df.select(*keys, seq.alias("_s"))
-    rows = rows.join(F.broadcast(numbered), _same_key(rows, numbered, keys)).where(F.col("_s").isNotNull())
-    frac = min(1.0, SAMPLE_ROWS / max(total, 1))
-    if frac < 1.0:
-        rows = rows.sample(False, frac, 7)
-    cut = lambda i: F.element_at("_v", F.ceil(i * F.size("_v") / F.lit(STRETCHES)).cast("int"))
-    cuts = (
-        rows.groupBy("_hot").agg(F.sort_array(F.collect_list("_s")).alias("_v"))
-        .select("_hot", F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(STRETCHES - 1)), cut)).alias("_cuts"))
-    )
-    return spark.createDataFrame(
-        [(r._hot, *hot[r._hot], r._cuts) for r in cuts.collect()],
-        T.StructType([T.StructField("_hot", T.IntegerType()), *fields, T.StructField("_cuts", cuts.schema["_cuts"].dataType)]),
-    )
-
-
-def add_stretch(df: DataFrame, keys: Sequence[str], seq: Column, floor: int = HOT_FLOOR, share: float = HOT_SHARE) -> tuple[DataFrame, int]:
-    """Add ``_hot`` (number of the hot key) and ``_blk`` (its stretch); both NULL for ordinary keys.
-
-    Returns (df, number of hot keys); with none, df comes back unchanged.
-    """
-    hot, total = hot_keys(key_sizes(df, keys), keys, floor, share)
-    if not hot:
-        return df, 0
-    cuts = _stretch_bounds(df, keys, seq, hot, total)
-    cuts = cuts.withColumn(
-        "_coarse",
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.size("_cuts") / CHUNK).cast("int"))),
-            lambda i: F.try_element_at("_cuts", i * CHUNK),
-        ),
-    )
-    left = df.withColumn("_s", seq)
-    j = left.join(F.broadcast(cuts), _same_key(left, cuts, keys), "left").drop(*[f"_k_{k}" for k in keys])
-    at = F.size(F.filter("_coarse", lambda x: x <= F.col("_s")))
-    j = j.withColumn("_c", at)
-    fine = F.size(F.filter(F.slice("_cuts", F.col("_c") * CHUNK + 1, F.lit(CHUNK)), lambda x: x <= F.col("_s")))
-    blk = F.when(F.col("_cuts").isNull(), F.lit(None)).when(F.col("_s").isNull(), 0).otherwise(F.col("_c") * CHUNK + fine)
-    return j.withColumn("_blk", blk.cast("int")).drop("_s", "_cuts", "_coarse", "_c"), len(hot)
-
-
-def _cut_position(df: DataFrame, seq: Sequence[str], tie: Sequence[str]) -> Column:
-    """What stretches are cut by: the sequence and the first tie columns of fixed width, so that many rows
-    with one sequence value can be cut as well while the cut points stay small."""
-    fixed = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
-    cols = list(seq)
-    for t in tie:
-        if not isinstance(df.schema[t].dataType, fixed) or len(cols) == len(seq) + 2:
-            break
-        cols.append(t)
-    return F.col(cols[0]) if len(cols) == 1 else F.when(F.col(cols[0]).isNotNull(), F.struct(*cols))
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fixed = [c for c in df.columns if _hashable(df.schema[c].dataType)]
+    cut = df.withColumn("_h", F.xxhash64(*fixed)).repartitionByRange(n, *keys, *order, "_h").withColumn("_p", F.spark_partition_id()).drop("_h")
+    path = workdir(spark, "ranges")
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
+
+
+def borders(src: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(_p, keys) of the first and the last key of every range, where the key is in more than one; at most two rows per range."""
+    k = F.struct(*keys)
+    ends = src.groupBy("_p").agg(F.array_distinct(F.array(F.min(k), F.max(k))).alias("_e")).select("_p", F.explode("_e").alias("_k")).select("_p", *[F.col("_k")[c].alias(c) for c in keys])
+    many = ends.groupBy(*keys).count().where("count > 1").select(*[F.col(c).alias(f"_m_{c}") for c in keys])
+    return ends.join(many, _same(keys, [f"_m_{c}" for c in keys]), "left_semi")
 
 
 def ordered_scan(
@@ -116,70 +60,58 @@ def ordered_scan(
     last: Mapping[str, str] | None = None,
     running: Mapping[str, str] | None = None,
     reset: str | None = None,
-    hot_floor: int = HOT_FLOOR,
-    hot_share: float = HOT_SHARE,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Scan the rows of every key in ``seq``, ``tie`` order and add columns.
+    """Scan the rows of every key in ``seq``, ``tie`` order and add columns; NULLs come first.
 
     ``lead``     {new: column}  the column on the next row of the key
     ``last``     {new: column}  last non-NULL value so far, this row included; rows whose boolean
                                 ``reset`` column is true forget everything before and hold no value
     ``running``  {new: column}  running sum, this row included
+    ``ranges``   how many ranges to deal the rows to; the session's shuffle partitions if not given
     """
     lead, last, running = dict(lead or {}), dict(last or {}), dict(running or {})
-    order = [*seq, *tie]
-    seq_col = _cut_position(df, seq, tie)
+    keys, columns = list(keys), df.columns
+    order = list(dict.fromkeys([*seq, *tie]))
     if reset:
         for c in set(last.values()):
             df = df.withColumn(c, F.when(~F.coalesce(F.col(reset), F.lit(False)), F.col(c)))
+    src = ranged(df, keys, order, ranges)
     rst = F.coalesce(F.col(reset), F.lit(False)).cast("long") if reset else F.lit(0).cast("long")
-    src, split = add_stretch(df, keys, seq_col, hot_floor, hot_share)
 
-    part = [*keys, "_blk"] if split else list(keys)
-    w = W.partitionBy(*part).orderBy(*order)
+    w = W.partitionBy("_p", *keys).orderBy(*order)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = src
     add = {f"_lead_{n}": F.lead(c).over(w) for n, c in lead.items()}
     add |= {f"_run_{n}": F.sum(c).over(upto) for n, c in running.items()}
-    if last:
-        add["_life"] = F.sum(rst).over(upto) if reset else F.lit(0).cast("long")
-    if split:
-        add["_end"] = F.lead(F.lit(True)).over(w).isNull()
-    out = out.withColumns(add)
+    add |= {"_end": F.lead(F.lit(True)).over(w).isNull(), "_life": F.sum(rst).over(upto) if reset else F.lit(0).cast("long")}
+    out = src.withColumns(add)
     if last:
         # same partitioning and order as above: a second window step without a second sort
-        out = out.withColumns(
-            {f"_last_{n}": F.last(F.when(F.col(c).isNotNull(), F.struct("_life", F.col(c).alias("v"))), True).over(upto) for n, c in last.items()}
-        )
+        out = out.withColumns({f"_last_{n}": F.last(F.when(F.col(c).isNotNull(), F.struct("_life", F.col(c).alias("v"))), True).over(upto) for n, c in last.items()})
         out = out.withColumns({f"_last_{n}": F.when(F.col(f"_last_{n}._life") == F.col("_life"), F.col(f"_last_{n}.v")) for n in last})
-    if not split:
-        out = out.withColumnsRenamed(
-            {f"_lead_{n}": n for n in lead} | {f"_run_{n}": n for n in running} | {f"_last_{n}": n for n in last}
-        )
-        return out.drop("_life")
-
-    carry = _carry(src.where(F.col("_hot").isNotNull()), order, rst, lead, last, running)
-    if split * STRETCHES <= CARRY_BROADCAST_ROWS:
-        carry = F.broadcast(carry)
-    j = out.join(carry, (out["_hot"] == carry["_h"]) & (out["_blk"] == carry["_b"]), "left")
-    res = {n: F.when(out["_end"], carry[f"_c_lead_{n}"]).otherwise(out[f"_lead_{n}"]) for n in lead}
-    res |= {n: out[f"_run_{n}"] + F.coalesce(carry[f"_c_run_{n}"], F.lit(0)) for n in running}
-    res |= {n: F.coalesce(out[f"_last_{n}"], F.when(out["_life"] == 0, carry[f"_c_last_{n}"])) for n in last}
-    return j.select(*[out[c] for c in df.columns], *[v.alias(n) for n, v in res.items()])
-
-
-def _carry(hot: DataFrame, order, rst: Column, lead, last, running) -> DataFrame:
-    """State at the start of each stretch: one row per hot key and stretch (bounded, see HOT_SHARE)."""
+
+    carry = _carry(src, keys, order, rst, lead, last, running)
+    j = out.join(carry, (F.col("_p") == F.col("_cp")) & _same(keys, [f"_ck_{k}" for k in keys]), "left")
+    res = {n: F.when(F.col("_end") & F.col("_cp").isNotNull(), F.col(f"_c_lead_{n}")).otherwise(F.col(f"_lead_{n}")) for n in lead}
+    res |= {n: F.when(F.col(f"_run_{n}").isNull(), F.col(f"_c_run_{n}")).otherwise(F.col(f"_run_{n}") + F.coalesce(F.col(f"_c_run_{n}"), F.lit(0))) for n in running}
+    res |= {n: F.coalesce(F.col(f"_last_{n}"), F.when(F.col("_life") == 0, F.col(f"_c_last_{n}"))) for n in last}
+    return j.select(*columns, *[v.alias(n) for n, v in res.items()])
+
+
+def _carry(src: DataFrame, keys, order, rst: Column, lead, last, running) -> DataFrame:
+    """State at the start of every range for the keys that run over its borders: one row per (_p, key) of ``borders``."""
+    edge = borders(src, keys).select(F.col("_p").alias("_bp"), *[F.col(k).alias(f"_b_{k}") for k in keys])
+    rows = src.join(edge, (F.col("_p") == F.col("_bp")) & _same(keys, [f"_b_{k}" for k in keys]), "left_semi")
     pos = F.struct(*order)
     agg = [F.sum(rst).alias("_resets"), F.max(F.when(rst > 0, pos)).alias("_rpos")]
     agg += [F.min_by(F.struct(F.col(c).alias("v")), pos).alias(f"_f_{n}") for n, c in lead.items()]
     agg += [F.sum(c).alias(f"_s_{n}") for n, c in running.items()]
     agg += [F.max_by(F.struct(pos.alias("p"), F.col(c).alias("v")), F.when(F.col(c).isNotNull(), pos)).alias(f"_t_{n}") for n, c in last.items()]
-    s = hot.groupBy("_hot", "_blk").agg(*agg)
-    w = W.partitionBy("_hot").orderBy("_blk")
+    s = rows.groupBy("_p", *keys).agg(*agg)
+    w = W.partitionBy(*keys).orderBy("_p")
     before = w.rowsBetween(W.unboundedPreceding, -1)
     s = s.withColumn("_lend", F.sum("_resets").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    cols = [F.col("_hot").alias("_h"), F.col("_blk").alias("_b")]
+    cols = [F.col("_p").alias("_cp"), *[F.col(k).alias(f"_ck_{k}") for k in keys]]
     for n in lead:
         cols.append(F.lead(F.col(f"_f_{n}.v")).over(w).alias(f"_c_lead_{n}"))
     for n in running:

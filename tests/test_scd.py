@@ -106,7 +106,7 @@ def test_shuffled_micro_batches_equal_the_whole_log(spark, new_dir, scd_type):
 def test_intervals_do_not_overlap_when_hot(spark):
     df = spark.createDataFrame(random_feed(5, 600), DDL)
     plain = as_set(apply(df, 2))
-    assert as_set(apply(df, 2, hot_floor=10, hot_share=0.0)) == plain
+    assert as_set(apply(df, 2, ranges=12)) == plain
     by_key = {}
     for r in plain:
         by_key.setdefault(r[0], []).append((r[3], r[4]))

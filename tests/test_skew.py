@@ -35,24 +35,43 @@ def skewed_rows(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("seed,floor,share", [(1, 10**6, 1.0), (2, 50, 0.1), (3, 5, 0.0)])
-def test_scan_equals_brute_force(spark, seed, floor, share):
+@pytest.mark.parametrize("seed,ranges", [(1, 1), (2, 7), (3, 60)])
+def test_scan_equals_brute_force(spark, seed, ranges):
     rows = skewed_rows(3000, seed)
     df = spark.createDataFrame(rows, "k int, s int, t int, v string, reset boolean").withColumn("one", F.col("reset").cast("long"))
-    got = skew.ordered_scan(df, ["k"], ["s"], ["t"], lead={"nxt": "s"}, last={"lv": "v"}, running={"run": "one"}, reset="reset", hot_floor=floor, hot_share=share)
+    got = skew.ordered_scan(df, ["k"], ["s"], ["t"], lead={"nxt": "s"}, last={"lv": "v"}, running={"run": "one"}, reset="reset", ranges=ranges)
     got = {(r.k, r.s, r.t): (r.nxt, r.lv, r.run) for r in got.collect()}
     assert got == brute(rows)
 
 
-def test_hot_key_is_cut(spark):
+def test_ranges_are_even_and_few_keys_cross(spark):
     df = spark.createDataFrame(skewed_rows(3000, 4), "k int, s int, t int, v string, reset boolean")
-    cut, n_hot = skew.add_stretch(df, ["k"], F.col("s"), floor=200, share=0.1)
-    assert n_hot == 1
-    sizes = cut.groupBy("k", "_blk").count()
-    assert sizes.where("k = 0").count() > 100
-    assert sizes.where("k = 0").agg(F.max("count")).first()[0] < 100
-    assert cut.where("k <> 0 and _blk is not null").isEmpty()
-    assert cut.count() == 3000
+    src = skew.ranged(df, ["k"], ["s", "t"], 30)
+    sizes = [r["count"] for r in src.groupBy("_p").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 250
+    assert src.where("k = 0").select("_p").distinct().count() >= 8
+    assert skew.borders(src, ["k"]).count() <= 60
+
+
+@pytest.mark.parametrize("tie", ["number", "text"])
+@pytest.mark.parametrize("seq", ["one value", "NULL", "own"])
+def test_one_key_holds_all_rows(spark, seq, tie):
+    n = 2000
+    s = {"one value": F.lit(5), "NULL": F.lit(None).cast("int"), "own": F.col("id").cast("int")}[seq]
+    t = F.col("id") if tie == "number" else F.lpad(F.col("id").cast("string"), 6, "0")
+    df = spark.range(n).select(F.lit(0).alias("k"), s.alias("s"), t.alias("t"), F.col("id"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
+    sizes = [r["count"] for r in skew.ranged(df, ["k"], ["s", "t"], 20).groupBy("_p").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) < n / 5
+    got = skew.ordered_scan(df, ["k"], ["s"], ["t"], last={"lv": "v"}, lead={"n": "id"}, ranges=20)
+    assert got.count() == n
+    assert got.where("lv <> id - id % 7 or lv is null or (n <> id + 1 and n is not null)").isEmpty() and got.where("n is null").count() == 1
+
+
+def test_three_hundred_hot_keys(spark):
+    df = spark.range(6000).select((F.col("id") % 300).alias("k"), F.col("id").alias("s"), F.lit(1).alias("one"))
+    got = skew.ordered_scan(df, ["k"], ["s"], lead={"n": "s"}, running={"run": "one"}, ranges=450)
+    assert got.where("run <> s div 300 + 1 or (n <> s + 300 and n is not null)").isEmpty()
+    assert got.where("n is null").count() == 300
 
 
 @pytest.mark.parametrize("make", ["string", "struct"])
@@ -63,7 +82,7 @@ def test_other_sequence_types(spark, make):
     df = df.withColumn("x", F.lpad(F.col("s").cast("string"), 6, "0")) if make == "string" else df.withColumn("x", F.col("s"))
     if make == "struct":
         seq = ["x", "t"]
-    got = skew.ordered_scan(df, ["k"], seq, ["t"], last={"lv": "v"}, reset="reset", hot_floor=50, hot_share=0.0)
+    got = skew.ordered_scan(df, ["k"], seq, ["t"], last={"lv": "v"}, reset="reset", ranges=25)
     want = brute(rows)
     assert {(r.k, r.s, r.t): r.lv for r in got.collect()} == {k: v[1] for k, v in want.items()}
 
@@ -71,12 +90,10 @@ def test_other_sequence_types(spark, make):
 def test_null_keys_and_null_sequences_are_kept(spark):
     rows = [(None, i if i % 5 else None, i, str(i), False) for i in range(500)] + [(1, 1, 1, "a", False)]
     df = spark.createDataFrame(rows, "k int, s int, t int, v string, reset boolean")
-    for floor in (10**6, 10):
-        got = skew.ordered_scan(df, ["k"], ["s"], ["t"], lead={"n": "t"}, hot_floor=floor, hot_share=0.0)
+    for ranges in (1, 20):
+        got = skew.ordered_scan(df, ["k"], ["s"], ["t"], lead={"n": "t"}, ranges=ranges)
         assert got.count() == 501
         assert got.where("n is null").count() == 2  # the last row of both keys
-    cut, n_hot = skew.add_stretch(df, ["k"], F.col("s"), floor=10, share=0.0)
-    assert n_hot == 1 and cut.where("k is null").select("_blk").distinct().count() > 100  # a hot NULL key is cut too
 
 
 def test_auc_is_exact_when_scores_are_cut(spark):
@@ -86,7 +103,7 @@ def test_auc_is_exact_when_scores_are_cut(spark):
     want = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
     df = spark.createDataFrame(rows, "y int, s double")
     assert abs(ml.auc(df, "y", "s") - want) < 1e-12
-    assert abs(ml.auc(df, "y", "s", hot_floor=20, hot_share=0.0) - want) < 1e-12
+    assert abs(ml.auc(df, "y", "s", ranges=30) - want) < 1e-12
 
 
 def test_as_of_join_equals_brute_force(spark):
@@ -101,16 +118,20 @@ def test_as_of_join_equals_brute_force(spark):
         newest = max(before, key=lambda x: x[1]) if before else None
         want[i] = None if newest is None or newest[3] else newest[2]
     f = spark.createDataFrame(facts, "k int, t int, i int")
-    for floor in (10**6, 40):
-        got = scd.as_of_join(f, hist, "k", "t", hot_floor=floor, hot_share=0.0)
+    for ranges in (1, 15):
+        got = scd.as_of_join(f, hist, "k", "t", ranges=ranges)
         assert {x.i: x.v for x in got.collect()} == want
-        inner = scd.as_of_join(f, hist, "k", "t", how="inner", hot_floor=floor, hot_share=0.0)
+        inner = scd.as_of_join(f, hist, "k", "t", how="inner", ranges=ranges)
         assert {x.i for x in inner.collect()} == {i for i, v in want.items() if v is not None}
 
 
-def test_one_sequence_value_is_cut_by_the_tie(spark):
-    df = spark.range(2000).select(F.lit(0).alias("k"), F.lit(5).alias("s"), F.col("id").alias("t"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("v"))
-    cut, n_hot = skew.add_stretch(df, ["k"], skew._cut_position(df, ["s"], ["t"]), floor=10, share=0.0)
-    assert n_hot == 1 and cut.groupBy("_blk").count().agg(F.max("count")).first()[0] < 10
-    got = skew.ordered_scan(df, ["k"], ["s"], ["t"], last={"lv": "v"}, lead={"n": "t"}, hot_floor=10, hot_share=0.0)
-    assert got.where("lv <> t - t % 7 or (n <> t + 1 and n is not null)").isEmpty() and got.where("n is null").count() == 1
+def test_change_without_sequence_is_kept(spark):
+    log = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, 5, "c"), (3, 1, "d")], "k int, s int, v string")
+    got = {(r.k, r.v, r["__START_AT"], r["__END_AT"]) for r in scd.apply_changes(log, "k", "s", except_cols=["s"], scd_type=2).collect()}
+    assert got == {(1, "a", None, None), (2, "b", None, 5), (2, "c", 5, None), (3, "d", 1, None)}
+
+
+def test_null_key_matches_nothing(spark):
+    hist = spark.createDataFrame([(None, "x", 0, None), (1, "y", 0, None)], "k int, v string, __START_AT int, __END_AT int")
+    facts = spark.createDataFrame([(None, 5), (1, 5)], "k int, t int")
+    assert {(r.k, r.v) for r in scd.as_of_join(facts, hist, "k", "t").collect()} == {(None, None), (1, "y")}
