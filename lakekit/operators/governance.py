@@ -35,9 +35,9 @@ def own_permissions(permissions: DataFrame, principal: str | None = None, user:
 
 
 def permission_filter(df: DataFrame, permissions: DataFrame, on: str, principal: str | None = None, user: str = "analyst_email", value: str = "country_filter", keep: Sequence[str] = ("gdpr_filter",)) -> DataFrame:
-    """Rows the reader's permission rows allow, with the permission's flags. One result row per permission
-    row that allows it, as an inner join gives."""
-    p = own_permissions(permissions, principal, user).select(F.col(value).alias("_allowed"), *keep)
+    """Rows the reader's permission rows allow, once each, with the permission's flags. Of several permission
+    rows for one value the largest flag wins, so a row that one of them masks has no open copy."""
+    p = own_permissions(permissions, principal, user).groupBy(F.col(value).alias("_allowed")).agg(*[F.max(k).alias(k) for k in keep])
     return df.join(p, F.col(on) == F.col("_allowed")).drop("_allowed")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,11 +32,12 @@ def column_edges(target: str, mapping: Mapping[str, Sequence[str]], schemas: Map
     return schemas[target].sparkSession.createDataFrame(rows, "source string, source_column string, target string, target_column string")
 
 
-def closure(edge: DataFrame, start: DataFrame | Sequence[str], downstream: bool = True, max_depth: int = 100) -> DataFrame:
+def closure(edge: DataFrame, start: DataFrame | Sequence[str], downstream: bool = True, max_depth: int | None = None) -> DataFrame:
     """Every node reachable from ``start`` with its smallest distance; cycles and diamonds are visited once.
 
     One join per level: the new nodes of a level against the edges, minus the nodes already seen. Each
     level is checkpointed, so the plan does not grow and a lost executor does not restart the walk.
+    The walk ends when a level brings nothing new; a ``max_depth`` that is reached before is an error.
     """
     a, b = ("source", "target") if downstream else ("target", "source")
     step = edge.select(F.col(a).alias("node"), F.col(b).alias("next")).where("node is not null and next is not null")
@@ -44,12 +46,14 @@ def closure(edge: DataFrame, start: DataFrame | Sequence[str], downstream: bool
         start = edge.sparkSession.createDataFrame([(s,) for s in start], "node string")
     front = start.select("node").distinct().withColumn("depth", F.lit(0))
     seen = front
-    for d in range(1, max_depth + 1):
+    for d in count(1):
         nxt = front.join(step, "node").select(F.col("next").alias("node")).distinct()
         front = materialize(nxt.join(seen, "node", "left_anti").withColumn("depth", F.lit(d)))
         if front.isEmpty():
             break
-        seen = seen.unionByName(front)
+        if max_depth is not None and d > max_depth:
+            raise ValueError(f"nodes are more than {max_depth} steps away")
+        seen = materialize(seen.unionByName(front)) if d % 16 == 0 else seen.unionByName(front)
     return seen.where("depth > 0")
 
 

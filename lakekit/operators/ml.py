@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -17,7 +17,6 @@ from ..functions.scalar import h_concentration, log_ratio
 from ..sources.files import key_share
 from .skew import ordered_scan
 
-MAX_CATEGORIES = 10_000
 MISSING = "(missing)"  # the encoder refuses an empty category name
 
 
@@ -74,22 +73,20 @@ def split(df: DataFrame, key: str | Sequence[str], weights: Mapping[str, float]
 
 class Preprocessor:
     """Numeric columns: to number, mean for missing, population z-score. Categorical columns: a category for
-    missing or empty, one-hot with all zeros for unseen values. Other columns pass through."""
+    missing or empty, one-hot with all zeros for unseen values. Columns named in ``hashed`` ({column: buckets}) are
+    hashed to that many indicators instead, which needs no list of their values: for columns with very many. Other
+    columns pass through."""
 
-    def __init__(self, label: str | None = None, exclude: Sequence[str] = ()):
-        self.label, self.exclude = label, list(exclude)
+    def __init__(self, label: str | None = None, exclude: Sequence[str] = (), hashed: Mapping[str, int] | None = None):
+        self.label, self.exclude, self.hashed = label, list(exclude), dict(hashed or {})
 
     def fit(self, df: DataFrame) -> "Preprocessor":
         use = [f for f in df.schema if f.name != self.label and f.name not in self.exclude]
         self.numeric = [f.name for f in use if isinstance(f.dataType, T.NumericType)]
-        self.categorical = [f.name for f in use if isinstance(f.dataType, T.StringType)]
+        self.categorical = [f.name for f in use if isinstance(f.dataType, T.StringType) and f.name not in self.hashed]
         self.stats = numeric_stats(df, self.numeric)
         self.encoder = None
         if self.categorical:
-            n = df.agg(*[F.approx_count_distinct(c).alias(c) for c in self.categorical]).first()
-            wide = [c for c in self.categorical if n[c] > MAX_CATEGORIES]
-            if wide:
-                raise ValueError(f"too many values to one-hot: {wide}")
             cat = df.select(*[_category(c).alias(c) for c in self.categorical])
             idx = StringIndexer(inputCols=self.categorical, outputCols=[f"_i_{c}" for c in self.categorical], handleInvalid="keep").fit(cat)
             hot = OneHotEncoder(inputCols=[f"_i_{c}" for c in self.categorical], outputCols=[f"_h_{c}" for c in self.categorical], dropLast=True)
@@ -106,6 +103,9 @@ class Preprocessor:
             x = self.encoder.transform(x).drop(*self.categorical, *[f"_i_{c}" for c in self.categorical])
             x = x.withColumnsRenamed({f"_keep_{c}": c for c in self.categorical})
             parts += [f"_h_{c}" for c in self.categorical]
+        for c, buckets in self.hashed.items():
+            x = FeatureHasher(inputCols=[f"_c_{c}"], outputCol=f"_b_{c}", numFeatures=buckets).transform(x.withColumn(f"_c_{c}", _category(c)))
+            parts.append(f"_b_{c}")
         x = VectorAssembler(inputCols=parts, outputCol=out).transform(x)
         return x.select(*df.columns, out)
 
@@ -183,17 +183,21 @@ def search(train: DataFrame, trials: int = 5, parallelism: int = 10, label: str
 
 
 def compare(train: DataFrame, valid: DataFrame, models: Mapping[str, object], label: str = "label", time_limit: float | None = None) -> DataFrame:
-    """Fit every model on the same split and rank by validation AUC; models left when the time is up are skipped."""
+    """Fit every model on the same split and rank by validation AUC: one row per model, with a status.
+
+    Models whose turn comes after ``time_limit`` seconds are not fitted and say so; they have no AUC and come last.
+    """
     import time
 
     start, rows = time.monotonic(), []
     for name, est in models.items():
         if time_limit is not None and time.monotonic() - start > time_limit:
-            break
+            rows.append((name, None, "not fitted: time limit"))
+            continue
         m = est.fit(train)
-        rows.append((name, auc(score(m, valid), label)))
-    df = train.sparkSession.createDataFrame(rows, "model string, auc double")
-    return df.orderBy(F.desc("auc"), "model")
+        rows.append((name, auc(score(m, valid), label), "fitted"))
+    df = train.sparkSession.createDataFrame(rows, "model string, auc double, status string")
+    return df.orderBy(F.desc_nulls_last("auc"), "model")
 
 
 def score(model, df: DataFrame, out: str = "probability_1") -> DataFrame:
@@ -213,14 +217,14 @@ def auc(df: DataFrame, label: str, score_col: str = "probability_1", ranges: int
     return auc_frame(df, label, score_col, ranges).first()[0]
 
 
-def auc_frame(df: DataFrame, label: str, score_col: str, ranges: int | None = None) -> DataFrame:
-    """Exact ROC AUC with ties counted half, as one row.
+def auc_frame(df: DataFrame, label: str, score_col: str, ranges: int | None = None, weight: str | None = None) -> DataFrame:
+    """Exact ROC AUC with ties counted half, as one row; ``weight`` names a column of whole numbers if a row stands for several.
 
     Rows are first counted per distinct score; the running count of negatives over the ordered scores is
     an ordered scan of one key, which is dealt to many ranges.
     """
-    y = (F.col(label) == 1).cast("long")
-    per = df.groupBy(F.col(score_col).alias("s")).agg(F.sum(y).alias("p"), F.sum(1 - y).alias("n")).withColumn("g", F.lit(0))
+    y, times = (F.col(label) == 1).cast("long"), F.col(weight) if weight else F.lit(1)
+    per = df.groupBy(F.col(score_col).alias("s")).agg(F.sum(y * times).alias("p"), F.sum((1 - y) * times).alias("n")).withColumn("g", F.lit(0))
     c = ordered_scan(per, ["g"], ["s"], running={"upto": "n"}, ranges=ranges)
     wins = F.sum(F.col("p").cast("double") * (F.col("upto") - F.col("n") / 2.0))
     return c.agg((wins / (F.sum("p").cast("double") * F.sum("n").cast("double"))).alias("auc"))
@@ -244,10 +248,9 @@ def classification_metrics(df: DataFrame, label: str, prediction: str = "predict
     )
 
 
-def partial_dependence(model, prep: Preprocessor, df: DataFrame, feature: str, grid: Sequence[float], rows: int = 100, seed: int = 42) -> DataFrame:
-    """Mean predicted probability while one feature is set to every grid value, over a sample of rows."""
-    pick = df.orderBy(F.xxhash64(F.lit(seed), F.struct(*df.columns))).limit(rows)
+def partial_dependence(model, prep: Preprocessor, df: DataFrame, feature: str, grid: Sequence[float], ) -> DataFrame:
+    """Mean predicted probability over all rows while one feature is set to every grid value."""
     typ = df.schema[feature].dataType
-    wide = pick.withColumn("_g", F.explode(F.array(*[F.lit(float(g)) for g in grid]))).withColumn(feature, F.col("_g").cast(typ))
+    wide = df.withColumn("_g", F.explode(F.array(*[F.lit(float(g)) for g in grid]))).withColumn(feature, F.col("_g").cast(typ))
     s = score(model, prep.transform(wide))
     return s.groupBy(F.col("_g").alias("grid")).agg(F.avg("probability_1").alias("mean_probability"), F.count(F.lit(1)).alias("n"))

@@ -128,22 +128,22 @@ def f18(spark, d):
 
 
 def _doc():
-    book = lambda isbn: F.struct(F.col("p_name").alias("title"), isbn.alias("isbn"))
-    store = F.struct(
-        F.struct(F.col("p_brand").alias("color"), F.col("p_size").alias("price")).alias("bicycle"),
-        F.array(book(F.lit(None).cast("string")), book(F.col("p_type")), book(F.lit("x"))).alias("book"),
+    valve = lambda code: F.struct(F.col("p_name").alias("tag"), code.alias("code"))
+    plant = F.struct(
+        F.struct(F.col("p_brand").alias("maker"), F.col("p_size").alias("watts")).alias("motor"),
+        F.array(valve(F.lit(None).cast("string")), valve(F.col("p_type")), valve(F.lit("x"))).alias("valves"),
     )
-    return F.to_json(F.struct(store.alias("store"), F.col("p_name").alias("owner"), F.col("p_partkey").alias("zip code"), F.col("p_type").alias("fb:testid"))).alias("raw")
+    return F.to_json(F.struct(plant.alias("plant"), F.col("p_name").alias("site"), F.col("p_partkey").alias("opened on"), F.col("p_type").alias("iot:uid"))).alias("raw")
 
 
 @query("f19_json_paths", """
-select p_partkey, p_name as owner, '{"color":"' || p_brand || '","price":' || p_size || '}' as bicycle, cast(p_partkey as varchar) as zip, p_type as testid,
-  '{"title":"' || p_name || '","isbn":"x"}' as third from part
+select p_partkey, p_name as site, '{"maker":"' || p_brand || '","watts":' || p_size || '}' as motor, cast(p_partkey as varchar) as opened, p_type as uid,
+  '{"tag":"' || p_name || '","code":"x"}' as third from part
 """)
 def f19(spark, d):
     r = load(spark, d, "part").select("p_partkey", _doc())
     p = lambda path: N.json_path("raw", path)
-    return r.select("p_partkey", p("$.owner").alias("owner"), p("$.store.bicycle").alias("bicycle"), p("$['zip code']").alias("zip"), p("$['fb:testid']").alias("testid"), p("$.store.book[2]").alias("third"))
+    return r.select("p_partkey", p("$.site").alias("site"), p("$.plant.motor").alias("motor"), p("$['opened on']").alias("opened"), p("$['iot:uid']").alias("uid"), p("$.plant.valves[2]").alias("third"))
 
 
 @query("f20_json_wildcard", """
@@ -151,7 +151,7 @@ select p_partkey, cast(3 as integer) as n_kept, cast(2 as integer) as n_dropped,
 """)
 def f20(spark, d):
     r = load(spark, d, "part").select("p_partkey", _doc())
-    r = r.select("p_partkey", N.json_paths("raw", "$.store.book", "isbn").alias("kept"), N.json_paths("raw", "$.store.book", "isbn", keep_missing=False).alias("dropped"))
+    r = r.select("p_partkey", N.json_paths("raw", "$.plant.valves", "code").alias("kept"), N.json_paths("raw", "$.plant.valves", "code", keep_missing=False).alias("dropped"))
     return r.select("p_partkey", F.size("kept").alias("n_kept"), F.size("dropped").alias("n_dropped"), F.col("kept")[0].alias("first_kept"), F.col("dropped")[0].alias("first_dropped"), F.col("kept")[1].alias("second_kept"))
 
 
@@ -246,11 +246,11 @@ def d01(spark, d):
     return spark.sql("select p_partkey, lk_blue() as color from lk_part")
 
 
-@query("d02_sql_function_expression", "select p_partkey, printf('%02X', least(greatest(0, p_size * 8 - 30), 255)) as h from part")
+@query("d02_sql_function_expression", "select p_partkey, p_brand || ' no. ' || cast(p_size % 7 as varchar) as h from part")
 def d02(spark, d):
-    D.sql_function(spark, "lk_to_hex", "x INT", "lpad(hex(least(greatest(0, x), 255)), 2, 0)")
+    D.sql_function(spark, "lk_mark", "brand STRING, size INT", "brand || ' no. ' || cast(size % 7 as string)")
     load(spark, d, "part").createOrReplaceTempView("lk_part")
-    return spark.sql("select p_partkey, lk_to_hex(p_size * 8 - 30) as h from lk_part")
+    return spark.sql("select p_partkey, lk_mark(p_brand, p_size) as h from lk_part")
 
 
 @query("d03_sql_function_lookup", "select l_orderkey, l_linenumber, l_partkey, p_name as name from lineitem left join part on l_partkey = p_partkey")
@@ -262,10 +262,13 @@ def d03(spark, d):
     return spark.sql("select l_orderkey, l_linenumber, l_partkey, lk_part_name(l_partkey) as name from lk_lineitem")
 
 
-@query("d04_values_without_arguments", "select c_custkey, true as known from customer")
+@query("d04_values_without_arguments", """
+select c_custkey, ['FR', 'USA', 'SPAIN'][1 + cast(floor(cast(('0x' || substr(md5('42|country|' || c_custkey), 1, 8)) as bigint) / 4294967296.0 * 3) as bigint)] as country from customer
+""")
 def d04(spark, d):
     c = load(spark, d, "customer")
-    return c.select("c_custkey", pick(["FR", "USA", "SPAIN"], uniform(42, "country", "c_custkey")).isin("FR", "USA", "SPAIN").alias("known"))
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("42"), F.lit("country"), F.col("c_custkey").cast("string"))), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    return c.select("c_custkey", pick(["FR", "USA", "SPAIN"], u).alias("country"))
 
 
 MODEL_SQL = "select l_orderkey, l_linenumber, l_partkey, round(1 / (1 + exp(-(0.05 * l_quantity - 2 * l_discount - 0.5))), 6) as prediction from lineitem"

@@ -151,7 +151,7 @@ select (select count(*) from supplier) as stores, cast(12 as bigint) as slots, t
 def x09(spark, d):
     s, p = load(spark, d, "supplier", "part")
     stores = s.select(F.col("s_name").alias("store_id"), F.lit("AU").alias("country"))
-    products = sorted(r[0] for r in p.select("p_brand").distinct().limit(G.MAX_PRODUCTS + 1).collect())
+    products = sorted(r[0] for r in p.select("p_brand").distinct().collect())
     b = G.more_orders(stores, "2024-01-08", products, 1).withColumn("b", F.lit(1)).unionByName(G.more_orders(stores, "2024-01-08", products, 2).withColumn("b", F.lit(2)))
     per = b.groupBy("b", "ts").agg(F.count_distinct("store_id").alias("st"), F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"))
     return per.agg(F.lit(stores.count()).cast("long").alias("stores"), F.count(F.lit(1)).alias("slots"), (F.max("st") == 1).alias("one_store_each"), F.bool_and(F.col("n") == F.col("ids")).alias("ids_unique"))

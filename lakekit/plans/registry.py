@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..session import load, workdir
 
@@ -38,4 +38,4 @@ def money(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
-__all__ = ["QUERIES", "ORACLES", "query", "ts_text", "day_text", "money", "load", "workdir", "F"]
+__all__ = ["QUERIES", "ORACLES", "query", "ts_text", "day_text", "money", "load", "workdir", "F", "W"]

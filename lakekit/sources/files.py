@@ -40,12 +40,19 @@ def json_text_to_df(df: DataFrame, col: str, schema: str | T.StructType, keep: S
 
 
 def with_rescued(df_text: DataFrame, schema: str | T.StructType, col: str = "value") -> DataFrame:
-    """Parse JSON text by a schema and keep every field outside it as JSON in ``_rescued_data`` (else NULL)."""
+    """Parse JSON text by a schema and keep what it cannot hold as JSON in ``_rescued_data`` (else NULL).
+
+    That is every field outside the schema, every value of a wrong type (its column is NULL), and of a text that is
+    no JSON object the whole text, under the name ``_malformed``.
+    """
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    known = [F.lit(f.name) for f in st.fields]
-    extra = F.map_filter(F.from_json(col, "map<string,string>"), lambda k, v: ~F.array_contains(F.array(*known), k))
     rest = [c for c in df_text.columns if c != col]
-    out = df_text.select(*rest, F.from_json(col, st).alias("_j"), extra.alias("_x"))
+    out = df_text.select(*rest, F.from_json(col, st).alias("_j"), F.from_json(col, "map<string,string>").alias("_m"), F.col(col).alias("_t"))
+    # an entry of the map that has its value in the column of its name
+    typed = lambda k, v: F.coalesce(*[F.when(k == f.name, F.col("_j")[f.name].isNotNull() | v.isNull()) for f in st.fields], F.lit(False))
+    bad = F.col("_m").isNull() & (F.trim(F.col("_t")) != "")
+    lost = F.when(bad, F.create_map(F.lit("_malformed"), F.col("_t"))).otherwise(F.map_filter("_m", lambda k, v: ~typed(k, v)))
+    out = out.withColumn("_x", lost)
     return out.select(*rest, "_j.*", F.when(F.size("_x") > 0, F.to_json("_x")).alias("_rescued_data"))
 
 
@@ -55,7 +62,7 @@ def with_provenance(df: DataFrame) -> DataFrame:
 
 
 def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", files: int | None = None, options: Mapping | None = None) -> None:
-    """Write files. ``files`` sets their number: fewer than the partitions merges without a shuffle.
+    """Write files. ``files`` sets their number, by an even shuffle.
 
     One file means one writing task, so ask for that only with small outputs.
     """
@@ -129,16 +136,16 @@ def correction_rows(df: DataFrame, state_col: str, ts_col: str, pending: str = "
 
 
 def export_slice(df: DataFrame, base: str, location: str, date: str, loc_col: str = "location", date_col: str = "ts_date") -> str:
-    """One location and day to a folder of its own as JSON."""
+    """One location and day to a folder of its own as JSON; as many files as the rows need."""
     path = f"{base}/{location}/{date}/daily_sales"
-    write_files(slice_rows(df, location, date, loc_col, date_col).drop(date_col), path, "json", files=1)
+    write_files(slice_rows(df, location, date, loc_col, date_col).drop(date_col).hint("rebalance"), path, "json")
     return path
 
 
 def export_corrections(df: DataFrame, base: str, location: str, date: str, state_col: str = "state", ts_col: str = "ts", loc_col: str = "location", date_col: str = "ts_date") -> str:
     path = f"{base}/{location}/{date}/updated_daily_sales"
     out = correction_rows(slice_rows(df, location, date, loc_col, date_col), state_col, ts_col)
-    write_files(out.drop(date_col), path, "json", files=1)
+    write_files(out.drop(date_col).hint("rebalance"), path, "json")
     return path
 
 

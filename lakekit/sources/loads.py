@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.versioned import VersionedTable
 
 FILE_KEY = ["path", "length", "modificationTime"]
-# names of files a load passes to the reader at once; a longer list is loaded in several commits
-FILES_PER_COMMIT = 20_000
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -53,29 +51,31 @@ def copy_into(
 ) -> int:
     """Load the files of ``src`` that no earlier load has taken; returns the number of files loaded.
 
-    The names of the files and the rows become visible by one commit, so a load that failed can be
-    repeated, and a repeated load adds nothing. The table is created by its first load. Schema inference
-    looks at the new files only. ``select`` is a projection applied to the loaded rows.
+    The names of the files and the rows become visible by one commit, whatever their number, so a load that
+    failed can be repeated, and a repeated load adds nothing. The names are written by Spark; the driver holds
+    them once, as the reader's own file index does. The table is created by its first load. Schema inference
+    looks at the new files only; with ``merge_schema`` the files of a load may differ in their columns, and
+    columns that the table lacks are added. The table's types hold: a value that cannot be cast fails the
+    load. ``select`` is a projection applied to the loaded rows.
     """
-    spark, loaded = table.spark, 0
-    while True:
-        batch = new_files(table, src, glob).orderBy("path").limit(FILES_PER_COMMIT).collect()
-        if not batch:
-            return loaded
-        r = spark.read.format(fmt).options(**dict(options or {}))
-        if schema:
-            r = r.schema(schema)
-        df = r.load([f.path for f in batch])
-        if select:
-            df = df.selectExpr(*select)
-        load = uuid.uuid4().hex[:12]
-        names = spark.createDataFrame(batch, "path string, length long, modificationTime timestamp")
-        names.coalesce(1).write.parquet(f"{table.path}/loads/_load={load}")
-        params = {"load": load, "files": len(batch), "source": src}
-        if table.exists():
-            table.append(df, operation="COPY", params=params, merge_schema=merge_schema)
-        else:
-            VersionedTable.create(df, table.path, operation="COPY", params=params)
-        loaded += len(batch)
-        if len(batch) < FILES_PER_COMMIT:
-            return loaded
+    spark = table.spark
+    load = uuid.uuid4().hex[:12]
+    names = f"{table.path}/loads/_load={load}"
+    new_files(table, src, glob).write.parquet(names)  # not a part of the table until the commit that names it
+    paths = [r.path for r in spark.read.parquet(names).select("path").orderBy("path").toLocalIterator()]
+    if not paths:
+        return 0
+    r = spark.read.format(fmt).options(**dict(options or {}))
+    if merge_schema:
+        r = r.option("mergeSchema", "true")
+    if schema:
+        r = r.schema(schema)
+    df = r.load(paths)
+    if select:
+        df = df.selectExpr(*select)
+    params = {"load": load, "files": len(paths), "source": src}
+    if table.exists():
+        table.append(df, operation="COPY", params=params, merge_schema=merge_schema)
+    else:
+        VersionedTable.create(df, table.path, operation="COPY", params=params)
+    return len(paths)

@@ -31,6 +31,8 @@ class ChangeTarget:
     Type 1 stores the mergeable state of ``scd1_state`` (deletes and column positions included), so late
     rows, late deletes and late NULL updates give the same result as the whole log at once. Type 2 keeps the
     changes themselves and, beside them, the intervals; a batch recomputes the intervals of its own keys.
+    Batches are told by stream and number; a stream with a new checkpoint reads everything again, and a change that
+    comes twice is one change.
     Both are split into buckets of keys, and only buckets that hold a key of the batch are rewritten. The
     batch number is part of every commit, so a batch that comes again after a failure changes nothing.
     Choose ``buckets`` so that one bucket is a few files (thousands for a very large dimension).
@@ -43,14 +45,22 @@ class ChangeTarget:
         self.schema, self.delete_when, self.ignore_null = schema, delete_when, ignore_null_updates
         self.except_cols, self.scd_type, self.tie_by, self.buckets = list(except_cols), scd_type, tie_by, buckets
 
+    def _stream(self) -> str:
+        """The query that a batch number belongs to; a new checkpoint is a new query, whose numbers begin at 0 again."""
+        return self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
     def _has(self, table: VersionedTable, batch_id: int) -> bool:
         if not table.exists():
             return False
-        done = table.history().select(F.max(F.get_json_object("params", "$.batch").cast("long"))).first()[0]
+        mine = F.coalesce(F.get_json_object("params", "$.stream"), F.lit("")) == self._stream()
+        done = table.history().where(mine).select(F.max(F.get_json_object("params", "$.batch").cast("long"))).first()[0]
         return done is not None and batch_id <= done
 
+    def _params(self, batch_id: int) -> dict:
+        return {"batch": batch_id, "stream": self._stream()}
+
     def _save(self, table: VersionedTable, df: DataFrame, touched: list[int], batch_id: int) -> None:
-        params = {"batch": batch_id}
+        params = self._params(batch_id)
         if table.exists():
             table.replace_parts(df, touched, "BATCH", params)
         else:
@@ -81,9 +91,9 @@ class ChangeTarget:
     def _batch2(self, batch: DataFrame, touched: list[int], batch_id: int) -> None:
         if not self._has(self.log, batch_id):
             if self.log.exists():
-                self.log.append(batch, operation="BATCH", params={"batch": batch_id})
+                self.log.append(batch, operation="BATCH", params=self._params(batch_id))
             else:
-                VersionedTable.create(batch, self.log.path, partition_by=BUCKET, operation="BATCH", params={"batch": batch_id})
+                VersionedTable.create(batch, self.log.path, partition_by=BUCKET, operation="BATCH", params=self._params(batch_id))
         keys = batch.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys]).distinct()
         log = self.log.read().where(F.col(BUCKET).isin(touched))
         fresh = self._scd2(log.join(keys, _same(log, keys, self.keys), "left_semi").drop(BUCKET))

@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 def stored_schema(spark: SparkSession, schema_dir: str, path: str, fmt: str, options: Mapping | None = None, nested_as_text: bool = False) -> T.StructType:
@@ -37,12 +37,26 @@ def stream_files(
     options: Mapping | None = None,
     nested_as_text: bool = False,
     max_files: int | None = None,
+    rescue: bool = False,
 ) -> DataFrame:
-    """A stream of the files that arrive under ``path``; each file is read once per checkpoint."""
+    """A stream of the files that arrive under ``path``; each file is read once per checkpoint.
+
+    ``rescue`` (JSON) adds ``_rescued_data`` with all that the kept schema cannot hold: new fields, values of another
+    type, malformed records. Without it these are lost, as with any fixed schema.
+    """
     if schema is None:
         if schema_dir is None:
             raise ValueError("give a schema, or a folder to keep the inferred one in")
         schema = stored_schema(spark, schema_dir, path, fmt, options, nested_as_text)
+    if rescue:
+        if fmt != "json":
+            raise ValueError("only JSON can be rescued")
+        from ..sources.files import with_rescued
+
+        r = spark.readStream
+        if max_files:
+            r = r.option("maxFilesPerTrigger", max_files)
+        return with_rescued(r.text(path), schema)
     r = spark.readStream.format(fmt).schema(schema).options(**dict(options or {}))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -67,7 +81,3 @@ def run_available_now(sdf: DataFrame, path: str, checkpoint: str, table: str | N
     if not continuous:
         q.awaitTermination()
     return q
-
-
-def with_processing_time(sdf: DataFrame) -> DataFrame:
-    return sdf.withColumn("processed_at", F.current_timestamp())

@@ -19,6 +19,7 @@ first and records the edge, so the order follows from the reads.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
@@ -26,6 +27,7 @@ from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators import quality
 from ..operators.versioned import VersionedTable
@@ -52,6 +54,25 @@ class Dataset:
         return {**self.expect, **self.expect_or_drop}
 
 
+class _Watch(StreamingQueryListener):
+    """Adds up what the micro-batches of a flow's streams report, however many they are."""
+
+    def __init__(self, flow: "Flow"):
+        self.flow = flow
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.flow._report(str(event.progress.runId), event.progress)
+
+    def onQueryTerminated(self, event) -> None:
+        self.flow._run(str(event.runId))["over"].set()
+
+
 class Flow:
     def __init__(self, spark: SparkSession, root: str, config: Mapping[str, str] | None = None):
         self.spark, self.root, self.config = spark, root.rstrip("/"), dict(config or {})
@@ -62,8 +83,10 @@ class Flow:
         self._edges: set[tuple[str, str]] = set()
         self._targets: dict[str, ChangeTarget] = {}
         self._continuous: str | None = None
-        # every micro-batch of an update counts, not only the last hundred
-        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+        self._generation = self._event_count("full_refresh")
+        self._watch: _Watch | None = None
+        self._runs: dict[str, dict] = {}
+        self._lock = threading.Lock()
 
     # --- declarations -------------------------------------------------------------------------------
 
@@ -126,6 +149,9 @@ class Flow:
         if full_refresh:
             self._event("user_action", None, {"action": "full_refresh"})
         self._generation = self._event_count("full_refresh")
+        if self._watch is None:
+            self._watch = _Watch(self)
+            self.spark.streams.addListener(self._watch)
         self._done, self._edges, self._targets, self._continuous, self.queries = {}, set(), {}, continuous, []
         for name in self.datasets:
             self._refresh(name)
@@ -136,6 +162,20 @@ class Flow:
     def stop(self) -> None:
         for q in self.queries:
             q.stop()
+            self._run(str(q.runId))["over"].wait(30)
+        if self._watch is not None:
+            self.spark.streams.removeListener(self._watch)
+            self._watch = None
+
+    def catch_up(self) -> None:
+        """For a continuous run: wait until the streams have taken what has arrived, then compute the live tables anew."""
+        for q in self.queries:
+            q.processAllAvailable()
+        for name, d in self.datasets.items():
+            if d.kind == "table":
+                self._done.pop(name, None)
+        for name in self.datasets:
+            self._refresh(name)
 
     def _refresh(self, name: str) -> None:
         if name in self._done:
@@ -201,14 +241,41 @@ class Flow:
         w = w.trigger(processingTime=self._continuous) if self._continuous else w.trigger(availableNow=True)
         q = start(w)
         self._done[d.name] = df.schema
+        run = self._run(str(q.runId))
+        with self._lock:
+            run |= {"dataset": d, "observed": observed, "log": bool(self._continuous)}
+            early, run["waiting"] = run["waiting"], []
+        for p in early:
+            self._report(str(q.runId), p)
         if self._continuous:
             self.queries.append(q)
             return
         q.awaitTermination()
-        progress = q.recentProgress
-        seen = [p.observedMetrics[observed].asDict() for p in progress if observed and observed in (p.observedMetrics or {})]
-        rows = sum(m["rows"] - m["dropped"] for m in seen) if observed else sum(p.numInputRows for p in progress)
-        self._progress(d, rows, seen)
+        run["over"].wait(30)  # the last reports come with the end of the query
+        self._progress(d, run["rows"], run["seen"])
+
+    def _run(self, run_id: str) -> dict:
+        with self._lock:
+            return self._runs.setdefault(run_id, {"dataset": None, "observed": None, "log": False, "rows": 0, "seen": [], "waiting": [], "over": threading.Event()})
+
+    def _report(self, run_id: str, p) -> None:
+        """One micro-batch: added to its run, and in a continuous run written to the event log."""
+        run = self._run(run_id)
+        with self._lock:
+            if run["dataset"] is None:
+                run["waiting"].append(p)
+                return
+        name = run["observed"]
+        seen = [p.observedMetrics[name].asDict()] if name and name in (p.observedMetrics or {}) else []
+        rows = sum(m["rows"] - m["dropped"] for m in seen) if name else p.numInputRows
+        if run["log"]:
+            if p.numInputRows:
+                self._progress(run["dataset"], rows, seen)
+            return
+        with self._lock:
+            run["rows"] += rows
+            # counts only add up, so one dictionary stands for all micro-batches
+            run["seen"] = [{k: sum(m[k] for m in run["seen"] + seen) for k in seen[0]}] if seen else run["seen"]
 
     # --- event log ----------------------------------------------------------------------------------
 

@@ -26,10 +26,11 @@ def test_one_hot_and_unseen(spark):
     assert prep.transform(train).where("kind is null").count() == 1
 
 
-def test_wide_category_is_refused(spark):
-    df = spark.range(60000).select(F.col("id").cast("string").alias("kind"))
-    with pytest.raises(ValueError, match="too many values"):
-        M.Preprocessor().fit(df)
+def test_wide_category_is_hashed_on_request(spark):
+    df = spark.range(30000).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("kind"), F.col("id").alias("x"))
+    x = M.Preprocessor(hashed={"kind": 64}).fit(df).transform(df)
+    assert x.first().features.size == 65
+    assert M.Preprocessor().fit(df.limit(12000)).transform(df.limit(12000)).first().features.size == 12001
 
 
 def test_feature_table_needs_a_unique_key(spark):
@@ -75,9 +76,11 @@ def test_search_and_comparison(data):
     assert trials.count() == 2 and trials.where("auc > 0.9").count() == 2
     c = M.compare(x, x, {"lr": M.logistic(), "rf": M.random_forest(trees=3, depth=3)})
     assert c.count() == 2 and c.first().auc >= c.collect()[1].auc
+    late = M.compare(x, x, {"lr": M.logistic(), "rf": M.random_forest(trees=3, depth=3)}, time_limit=0).collect()
+    assert {r.model for r in late} == {"lr", "rf"} and late[-1].auc is None and late[-1].status.startswith("not fitted")
 
 
 def test_partial_dependence_rises(data):
     d, prep, x = data
     pd = M.partial_dependence(M.logistic().fit(x), prep, d, "x", [-1.5, 0.0, 1.5]).orderBy("grid").collect()
-    assert [r.n for r in pd] == [100] * 3 and pd[0].mean_probability < pd[1].mean_probability < pd[2].mean_probability
+    assert [r.n for r in pd] == [3000] * 3 and pd[0].mean_probability < pd[1].mean_probability < pd[2].mean_probability
