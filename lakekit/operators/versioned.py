@@ -4,8 +4,9 @@ Every commit writes its new rows to a folder of its own, ``data/_write=<id>`` (b
 partition value), and then one record that lists the *parts* the version consists of. A part is one such
 folder. Appends add a part; update, delete and merge rewrite only the parts that hold a touched row and keep
 the other folders, so the cost follows the touched partitions, not the table. Readers only see versions with
-a record; a failed commit leaves an unlisted folder and nothing else. The record of a version is written with
-"error if it exists": of two writers that race for a version the second fails.
+a record; a failed commit leaves an unlisted folder and nothing else, and a refused one removes its folder. A
+writer that finds the record of its version present fails, but the check and the write are two steps: one writer at
+a time.
 """
 
 from __future__ import annotations
@@ -128,6 +129,8 @@ class VersionedTable:
             if with_part:
                 value = F.col(pcol).cast("string") if pcol else F.lit(None).cast("string")
                 df = df.withColumn("_part", F.struct(F.lit(base).alias("base"), F.col("_write").alias("write"), value.alias("value")))
+            if pcol:
+                df = _decoded(df, pcol)
             df = df.select(*cols, *(["_part"] if with_part else []))
             out = df if out is None else out.unionByName(df)
         if out is None:
@@ -153,6 +156,7 @@ class VersionedTable:
         folder = f"{self.path}/data/_write={write}"
         phys = C.conform(df, c.schema()).select(*[F.col(x["name"]).alias(x["physical"]) for x in columns])
         if pcol:
+            phys = _encoded(phys, pcol)
             # rows of one partition value are spread over several tasks when AQE finds the value too large
             phys.hint("rebalance", pcol).write.partitionBy(pcol).parquet(folder)
         else:
@@ -163,6 +167,7 @@ class VersionedTable:
         got = self._rows(c, new, with_part=True).groupBy("_part.value").agg(F.count(F.lit(1)).alias("_n"), *bad.values()).collect()
         failed = {k: n_bad for k in bad if (n_bad := sum(r[k] for r in got))}
         if failed:
+            _remove(self.spark, folder)
             raise ValueError(f"constraint violated (rows): {failed}")
         rows = {r.value: r._n for r in got}
         c.parts += [(*p[:3], rows[_folder_value(p[2])]) for p in new if rows.get(_folder_value(p[2]))]
@@ -231,7 +236,8 @@ class VersionedTable:
     def replace_parts(self, df: DataFrame, values: Sequence, operation: str = "REPLACE", params: Mapping | None = None) -> int:
         """Replace the content of the given partition values by ``df``."""
         c = self._commit()
-        gone = {None if v is None else str(v) for v in values}
+        text = any(x["physical"] == c.settings.get("partition_by") and x["type"] == '"string"' for x in c.columns)
+        gone = {None if v is None else _code(str(v)) if text else str(v) for v in values}
         keep = [p for p in c.parts if _folder_value(p[2]) not in gone]
         return self._write(c, df, keep, operation, dict(params or {}))
 
@@ -381,6 +387,35 @@ def _nullable(t: T.DataType) -> T.DataType:
     return t
 
 
+# A folder name cannot be empty: Spark writes an empty text as if it were NULL. So folders carry '=' for it, and texts
+# that begin with '=' get one more.
+
+
+def _code(text: str) -> str:
+    return "=" + text if text == "" or text.startswith("=") else text
+
+
+def _encoded(df: DataFrame, pcol: str) -> DataFrame:
+    if not isinstance(df.schema[pcol].dataType, T.StringType):
+        return df
+    x = F.col(pcol)
+    return df.withColumn(pcol, F.when((x == "") | x.startswith("="), F.concat(F.lit("="), x)).otherwise(x))
+
+
+def _decoded(df: DataFrame, pcol: str) -> DataFrame:
+    if not isinstance(df.schema[pcol].dataType, T.StringType):
+        return df
+    x = F.col(pcol)
+    return df.withColumn(pcol, F.when(x.startswith("="), F.substr(x, F.lit(2))).otherwise(x))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete the files of a write that was refused."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _columns(df: DataFrame) -> list[dict]:
     return [{"name": f.name, "physical": f.name, "type": _nullable(f.dataType).json(), "comment": (f.metadata or {}).get("comment")} for f in df.schema]
 

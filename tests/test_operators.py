@@ -159,6 +159,11 @@ def test_lineage(spark):
     assert rows(L.closure(e, ["menu"])) == [("dinner", 1), ("dp", 1)]  # the start is not repeated when a cycle returns to it
     assert rows(L.closure(e, ["dp"], downstream=False)) == [("dinner", 1), ("menu", 1), ("price", 1)]
     assert L.closure(e, ["nothing"]).isEmpty()
+    chain = spark.range(130).selectExpr("concat('n', id) as source", "concat('n', id + 1) as target")
+    far = L.closure(chain, ["n0"])
+    assert far.count() == 130 and far.agg(F.max("depth")).first()[0] == 130
+    with pytest.raises(ValueError, match="more than 5 steps"):
+        L.closure(chain, ["n0"], max_depth=5)
     grants = spark.createDataFrame([("u", "dinner")], "user string, name string")
     assert rows(L.redact(L.closure(e, ["menu"]), grants, "u")) == [("REDACTED", 1), ("dinner", 1)]
     menu = spark.createDataFrame([(1, "a", "b", "c")], "recipe_id int, app string, main string, desert string")

@@ -103,6 +103,21 @@ def test_shuffled_micro_batches_equal_the_whole_log(spark, new_dir, scd_type):
     assert as_set(t.read()) == whole
 
 
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_stream_with_a_new_checkpoint_goes_on(spark, new_dir, scd_type):
+    src, out = new_dir("src"), new_dir("target")
+    ddl = "id int, v int, s int"
+    target = lambda: ChangeTarget(spark, out, "id", "s", spark.createDataFrame([], ddl).schema, scd_type=scd_type, buckets=4)
+    stream = lambda: spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).json(src)
+    for i in range(3):
+        spark.createDataFrame([(i, i, 1)], ddl).coalesce(1).write.mode("append").json(src)
+    target().run(stream(), new_dir("checkpoint"))
+    spark.createDataFrame([(9, 9, 1)], ddl).coalesce(1).write.mode("append").json(src)
+    t = target()
+    t.run(stream(), new_dir("checkpoint"))
+    assert {r.id for r in t.read().collect()} == {0, 1, 2, 9} and t.read().count() == 4
+
+
 def test_intervals_do_not_overlap_when_hot(spark):
     df = spark.createDataFrame(random_feed(5, 600), DDL)
     plain = as_set(apply(df, 2))

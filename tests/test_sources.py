@@ -39,7 +39,44 @@ def test_csv_inference(spark, new_dir):
 
 def test_rescued_fields(spark):
     df = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": 2, "c": {"d": 1}, "e": 5}',), ("not json",)], "value string")
-    assert rows(S.with_rescued(df, "a int, b string")) == sorted([(1, "x", None), (2, None, '{"c":"{\\"d\\":1}","e":"5"}'), (None, None, None)], key=repr)
+    assert rows(S.with_rescued(df, "a int, b string")) == sorted([(1, "x", None), (2, None, '{"c":"{\\"d\\":1}","e":"5"}'), (None, None, '{"_malformed":"not json"}')], key=repr)
+
+
+def test_rescued_values_of_a_wrong_type(spark):
+    df = spark.createDataFrame([('{"a": "one", "b": "x"}',), ('{"a": null, "b": "y"}',), ("",), (None,)], "value string")
+    assert rows(S.with_rescued(df, "a int, b string")) == sorted([(None, "x", '{"a":"one"}'), (None, "y", None), (None, None, None), (None, None, None)], key=repr)
+
+
+def test_stream_rescues_what_its_schema_cannot_hold(spark, new_dir):
+    src, kept, out = new_dir("src"), new_dir("schema"), new_dir("out")
+    put(src, '{"a": 1}\n', "one.json")
+    run = lambda: SF.run_available_now(SF.stream_files(spark, src, "json", schema_dir=kept, rescue=True), out, out + "-checkpoint")
+    run()
+    put(src, '{"a": 2, "new": "n"}\n{"a": "two"}\nbroken\n', "two.json")
+    run()
+    want = [(1, None), (2, '{"new":"n"}'), (None, '{"a":"two"}'), (None, '{"_malformed":"broken"}')]
+    assert rows(spark.read.parquet(out).select("a", "_rescued_data")) == sorted(want, key=repr)
+
+
+def test_one_load_of_two_schemas(spark, new_dir):
+    src = new_dir("src")
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(f"{src}/one")
+    spark.createDataFrame([(2, "b", 0.5)], "id int, v string, w double").write.parquet(f"{src}/two")
+    t = VersionedTable(spark, new_dir())
+    assert copy_into(t, src, "parquet", merge_schema=True) > 1
+    assert rows(t.read().select("id", "v", "w")) == sorted([(1, "a", None), (2, "b", 0.5)], key=repr)
+    assert t.history().count() == 1
+
+
+def test_exported_slices_read_back(spark, new_dir):
+    df = spark.range(2000).selectExpr("id", "concat('S', id % 2) as location", "date '2024-01-01' + cast(id % 3 as int) as ts_date", "if(id % 5 = 0, 'PENDING', 'DONE') as state", "1700000000 + id as ts")
+    base = new_dir("export")
+    path = S.export_slice(df, base, "S1", "2024-01-02")
+    back = spark.read.json(path)
+    want = df.where("location = 'S1' and ts_date = '2024-01-02'")
+    assert rows(back.select("id", "state")) == rows(want.select("id", "state")) and "exported_ts" in back.columns
+    path = S.export_corrections(df, base, "S1", "2024-01-02")
+    assert rows(spark.read.json(path).select("id", "state")) == rows(want.where("state = 'PENDING'").selectExpr("id", "'CANCELED' as state"))
 
 
 def test_copy_into_is_idempotent(spark, new_dir):

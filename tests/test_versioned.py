@@ -1,5 +1,6 @@
 """Versioned datasets: the life of a small store table, and properties of the change functions."""
 
+import os
 import glob
 import random
 
@@ -66,6 +67,7 @@ def test_constraint_rejects_and_writes_nothing(spark, new_dir, stores):
     with pytest.raises(ValueError, match="constraint"):
         t.append(spark.createDataFrame([(None, "x", "y")], DDL))
     assert t.version == before and t.read().count() == 4
+    assert len([f for f in os.listdir(f"{t.path}/data") if f.startswith("_write=")]) == 1  # the refused rows are gone
     with pytest.raises(ValueError):
         t.add_constraint("short", "length(name) < 3")
 
@@ -192,3 +194,13 @@ def test_replace_whole_content_with_other_columns(spark, new_dir, stores):
     t = VersionedTable.create(stores, new_dir())
     t.commit(stores.select("id").withColumn("n", F.lit(1)), overwrite_schema=True)
     assert t.read().columns == ["id", "n"] and t.read(0).columns == ["id", "name", "city"]
+
+
+def test_empty_partition_value_stays_empty(spark, new_dir):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "="), (4, "=x"), (5, "a b/c")], "k int, p string")
+    t = VersionedTable.create(df, new_dir(), key="k", partition_by="p")
+    assert {(r.k, r.p) for r in t.read().collect()} == {(1, ""), (2, None), (3, "="), (4, "=x"), (5, "a b/c")}
+    t.update({"k": "k + 10"}, where="p = ''")
+    t.replace_parts(spark.createDataFrame([(30, "=")], "k int, p string"), ["="])
+    assert {(r.k, r.p) for r in t.read().collect()} == {(11, ""), (2, None), (30, "="), (4, "=x"), (5, "a b/c")}
+    assert {(r.k, r.p) for r in t.read(version=0).where("p = ''").collect()} == {(1, "")}
