@@ -12,6 +12,7 @@ from ..session import workdir
 
 #: Words are runs of anything but these six characters.
 WHITE = " \t\n\x0b\x0c\r"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
 
@@ -21,10 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once below the shared folder and read it back: later uses neither compute it again nor depend on an executor."""
-    path = workdir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once below the shared folder and read it back: later uses neither compute it again nor depend on an executor.
+
+    Once it is written, the shuffle files that it was made from are of no use; Spark is told to delete them at the end of the write
+    instead of when the driver next collects its garbage, so that a job of many steps holds the files of one at a time.
+    """
+    spark, path = df.sparkSession, workdir(df.sparkSession, label)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fold(doc_id: str | Column, n: int) -> Column:
