@@ -14,7 +14,8 @@ reached only by sets that consist almost wholly of such; they may be of any leng
 
 Only links that join groups matter for the result. So lists are first worked through by stars and chains (one or two candidates per
 entry), which joins the members of large groups of near copies; after that, candidates are the pairs of a list that are still in
-different groups. Every candidate is checked exactly on the sets. No pair of a list is left out unless both are in one group by then.
+different groups. Every candidate is checked: first on sketches of 1024 parities, which only rule out what cannot be linked,
+then exactly on the sets. No pair of a list is left out unless both are in one group by then.
 
 NULL and empty texts and texts of white space have an empty set and are alone. Repeated rows and equal ids: every row gets its result, and equal
 sets are linked. A NULL id is passed over when the smallest id of a group is taken. Extra columns are not read; an
@@ -83,11 +84,16 @@ def node_of(x: np.ndarray) -> tuple[int, int]:
     return tuple(v - (1 << 64) if v >= 1 << 63 else v for v in both)
 
 
+def sketch_of(x: np.ndarray) -> bytes:
+    """1024 parities: every shingle flips one. Two sets differ in at least as many shingles as their sketches in bits."""
+    return np.packbits(np.bincount((mix(x ^ _STEP[3]) >> np.uint64(54)).astype(np.int64), minlength=1024).astype(np.uint8) & 1).tobytes()
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "text"):
         sets = sets_of(b.column("text"))
         sig = [node_of(x) for x in sets]
-        yield pa.record_batch({"doc_id": b.column("doc_id"), "n": pa.array([len(x) for x in sets], pa.int64()), "node": pa.array([s[0] for s in sig], pa.int64()), "check": pa.array([s[1] for s in sig], pa.int64())})
+        yield pa.record_batch({"doc_id": b.column("doc_id"), "n": pa.array([len(x) for x in sets], pa.int64()), "node": pa.array([s[0] for s in sig], pa.int64()), "check": pa.array([s[1] for s in sig], pa.int64()), "sketch": pa.array([sketch_of(x) for x in sets], pa.binary())})
 
 
 # ---- frequent shingles
@@ -150,11 +156,11 @@ def frequent(docs: DataFrame, shingles: int, least: int = LEAST_FREQUENT, most:
 
 
 def boundary(sizes: dict[int, int], most: int = 64) -> int:
-    """The largest light size with the least cost; an entry of a list is read, paired and checked, and weighs as four subsets."""
+    """The largest light size with the least cost; an entry of a list is counted, read, paired and checked, and weighs as sixteen subsets."""
     light = lambda n, top: sum(math.comb(n, overlap(n, m)) for m in partners(n) if m <= top)
     best, found = 0, math.inf
     for top in range(0, 31):
-        cost = sum(k * light(n, top) for n, k in sizes.items() if n <= top) + sum(4 * k * prefix(n) for n, k in sizes.items() if n <= most and n >= -(-PART * (top + 1) // WHOLE))
+        cost = sum(k * light(n, top) for n, k in sizes.items() if n <= top) + sum(16 * k * prefix(n) for n, k in sizes.items() if n <= most and n >= -(-PART * (top + 1) // WHOLE))
         if cost < found:
             best, found = top, cost
     return best
@@ -291,6 +297,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"node": pa.array([node_of(x)[0] for x in sets], pa.int64()), "set": pa.array([x.tobytes() for x in sets], pa.binary())})
 
 
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that their sketches do not rule out: linked sets of r and s shingles differ in at most 15 (r + s) / 185."""
+    for b in batches:
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, -1) for c in ("x", "y"))
+        differ = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+        size = b.column("r").to_numpy() + b.column("s").to_numpy()
+        yield b.select(["a", "b"]).filter(pa.array((WHOLE + PART) * differ <= (WHOLE - PART) * size))
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keep = []
@@ -308,8 +323,8 @@ class Join:
 
     def __init__(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id"):
         self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-        self.rows = stored(self.docs.mapInArrow(_signatures, f"doc_id {self.docs.schema['doc_id'].dataType.simpleString()}, n long, node long, check long"), "signatures")
-        self.nodes = stored(self.rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc")), "nodes")
+        self.rows = stored(self.docs.mapInArrow(_signatures, f"doc_id {self.docs.schema['doc_id'].dataType.simpleString()}, n long, node long, check long, sketch binary"), "signatures")
+        self.nodes = stored(self.rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
 
     def lists(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(h, node, n) of the lists of other, and of frequent shingles, with two sets or more; links between light sets."""
@@ -330,7 +345,9 @@ class Join:
 
     def check(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are linked, on their sets."""
-        pairs = stored(pairs.distinct(), "pairs")
+        side = lambda k, n, x: self.nodes.select(F.col("node").alias(f"_{k}"), F.col("n").alias(n), F.col("sketch").alias(x))
+        near = pairs.distinct().join(side("a", "r", "x"), F.col("a") == F.col("_a")).join(side("b", "s", "y"), F.col("b") == F.col("_b")).select("a", "b", "r", "s", "x", "y")
+        pairs = stored(near.mapInArrow(_close, "a long, b long"), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
         ids = stored(self.nodes.join(wanted, F.col("node") == F.col("k")).select(F.col("doc").alias("id")).distinct(), "wanted")
         few = ids.count() <= 1 << 20  # 16 MB at most
