@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 
 def _expr(e) -> Column:
@@ -117,8 +117,9 @@ def comment_column(df: DataFrame, name: str, comment: str) -> DataFrame:
 def diff(old: DataFrame, new: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
     """Row changes between two snapshots with ``_change_type``; one update gives two rows.
 
-    With a unique key: insert, delete, update_preimage, update_postimage. Without one the snapshots are
-    compared as bags, which can only tell inserts from deletes.
+    With a key: insert, delete, update_preimage, update_postimage. Rows that share a key are numbered by a hash of the
+    row and compared number by number, so a key that is not unique gives no pairs of all with all. Without a key the
+    snapshots are compared as bags, which can only tell inserts from deletes.
     """
     cols = new.columns
     old = old.select(*cols)
@@ -126,9 +127,11 @@ def diff(old: DataFrame, new: DataFrame, key: str | Sequence[str] | None) -> Dat
         ins = new.exceptAll(old).withColumn("_change_type", F.lit("insert"))
         return ins.unionByName(old.exceptAll(new).withColumn("_change_type", F.lit("delete")))
     key = [key] if isinstance(key, str) else list(key)
-    o = old.select(*[F.col(k).alias(f"_ok_{k}") for k in key], F.struct(*cols).alias("_o"))
-    n = new.select(*[F.col(k).alias(f"_nk_{k}") for k in key], F.struct(*cols).alias("_n"))
-    cond = [F.col(f"_ok_{k}").eqNullSafe(F.col(f"_nk_{k}")) for k in key]
+    plain = [c for c in cols if not isinstance(new.schema[c].dataType, (T.MapType, T.VariantType))]
+    turn = F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64(*plain)))
+    o = old.withColumn("_turn", turn).select(*[F.col(k).alias(f"_ok_{k}") for k in [*key, "_turn"]], F.struct(*cols).alias("_o"))
+    n = new.withColumn("_turn", turn).select(*[F.col(k).alias(f"_nk_{k}") for k in [*key, "_turn"]], F.struct(*cols).alias("_n"))
+    cond = [F.col(f"_ok_{k}").eqNullSafe(F.col(f"_nk_{k}")) for k in [*key, "_turn"]]
     j = o.join(n, cond, "full_outer").where(~F.col("_o").eqNullSafe(F.col("_n")))
     tag = lambda c, t: F.struct(F.col(c).alias("row"), F.lit(t).alias("t"))
     images = (

@@ -21,6 +21,7 @@ from urllib.parse import unquote
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..session import materialize
 from . import changes as C
 
 COMMIT_DDL = (
@@ -224,6 +225,7 @@ class VersionedTable:
     def merge(self, source: DataFrame, on: str | Sequence[str], matched="update_all", not_matched: str | None = "insert_all") -> int:
         on = [on] if isinstance(on, str) else list(on)
         c = self._commit()
+        source = materialize(source)  # looked at several times below: computed once, and the same each time
         target = self._rows(c, c.parts, with_part=True)
         if matched is not None and not C.ambiguous_keys(target, source, on).isEmpty():
             raise ValueError("a target row matches more than one source row")

@@ -88,9 +88,11 @@ def s09(spark, d):
 def s10(spark, d):
     src, table = workdir(spark, "s10src"), VersionedTable(spark, workdir(spark, "s10"))
     c = load(spark, d, "customer")
+    # the first load holds files with and without the column
     S.write_files(c.where("c_acctbal < 0").select("c_custkey", "c_name"), f"{src}/first")
+    S.write_files(c.where("c_acctbal between 0 and 5000").select("c_custkey", "c_name", "c_mktsegment"), f"{src}/wider")
     copy_into(table, src, "parquet", merge_schema=True, glob="*.parquet")
-    S.write_files(c.where("c_acctbal >= 0").select("c_custkey", "c_name", "c_mktsegment"), f"{src}/second")
+    S.write_files(c.where("c_acctbal > 5000").select("c_custkey", "c_name", "c_mktsegment"), f"{src}/second")
     copy_into(table, src, "parquet", merge_schema=True, glob="*.parquet")
     return table.read()
 
@@ -109,13 +111,20 @@ def s11(spark, d):
 
 
 @query("s12_rescued_data", """
-select o_orderkey as id, o_orderstatus as state,
-       case when o_orderstatus = 'P' then '{"extra":"' || o_orderpriority || '"}' end as _rescued_data from orders
+select case when o_orderkey % 11 <> 3 and o_orderkey % 17 <> 5 then o_orderkey end as id, case when o_orderkey % 11 <> 3 then o_orderstatus end as state,
+  case when o_orderkey % 11 = 3 then '{"_malformed":"lost ' || o_orderkey || '"}'
+    when o_orderkey % 17 = 5 and o_orderstatus = 'P' then '{"id":"no ' || o_orderkey || '","extra":"' || o_orderpriority || '"}'
+    when o_orderkey % 17 = 5 then '{"id":"no ' || o_orderkey || '"}'
+    when o_orderstatus = 'P' then '{"extra":"' || o_orderpriority || '"}' end as _rescued_data
+from orders
 """)
 def s12(spark, d):
     path = workdir(spark, "s12")
     extra = F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority")).alias("extra")
-    doc = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("state"), extra))
+    key = F.col("o_orderkey")
+    typed = F.to_json(F.struct(key.alias("id"), F.col("o_orderstatus").alias("state"), extra))
+    wrong = F.to_json(F.struct(F.concat(F.lit("no "), key.cast("string")).alias("id"), F.col("o_orderstatus").alias("state"), extra))
+    doc = F.when(key % 11 == 3, F.concat(F.lit("lost "), key.cast("string"))).when(key % 17 == 5, wrong).otherwise(typed)
     S.write_files(load(spark, d, "orders").select(doc.alias("value")), path, "text")
     return S.with_rescued(spark.read.text(path), "id long, state string")
 

@@ -75,6 +75,18 @@ def t05(spark, d):
     return C.merge(c.select("c_custkey", "c_name", "c_mktsegment"), _merge_source(c), "c_custkey")
 
 
+@query("t05_merge_into_stored_table", f"""
+select c.c_custkey, coalesce(s.c_name, c.c_name) as c_name, coalesce(s.c_mktsegment, c.c_mktsegment) as c_mktsegment
+from customer c left join {MERGE_SRC} s on s.c_custkey = c.c_custkey
+union all select s.c_custkey, s.c_name, s.c_mktsegment from {MERGE_SRC} s where s.c_custkey not in (select c_custkey from customer)
+""")
+def t05b(spark, d):
+    c = load(spark, d, "customer")
+    t = VersionedTable.create(c.select("c_custkey", "c_name", "c_mktsegment"), workdir(spark, "t05b"), key="c_custkey", partition_by="c_mktsegment")
+    t.merge(_merge_source(c), "c_custkey")
+    return t.read()
+
+
 @query("t06_merge_insert_only", f"""
 select c_custkey, c_name, c_mktsegment from customer
 union all select s.c_custkey, s.c_name, s.c_mktsegment from {MERGE_SRC} s where s.c_custkey not in (select c_custkey from customer)
