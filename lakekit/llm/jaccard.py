@@ -14,8 +14,8 @@ reached only by sets that consist almost wholly of such; they may be of any leng
 
 Only links that join groups matter for the result. So lists are first worked through by stars and chains (one or two candidates per
 entry), which joins the members of large groups of near copies; after that, candidates are the pairs of a list that are still in
-different groups. Every candidate is checked: first on sketches of 1024 parities, which only rule out what cannot be linked,
-then exactly on the sets. No pair of a list is left out unless both are in one group by then.
+different groups. Candidates whose places in the order, or whose sketches of 1024 parities, rule a link out are dropped; the others
+are checked exactly on their sets. No pair of a list is left out unless both are in one group by then.
 
 NULL and empty texts and texts of white space have an empty set and are alone. Repeated rows and equal ids: every row gets its result, and equal
 sets are linked. A NULL id is passed over when the smallest id of a group is taken. Extra columns are not read; an
@@ -84,16 +84,19 @@ def node_of(x: np.ndarray) -> tuple[int, int]:
     return tuple(v - (1 << 64) if v >= 1 << 63 else v for v in both)
 
 
-def sketch_of(x: np.ndarray) -> bytes:
-    """1024 parities: every shingle flips one. Two sets differ in at least as many shingles as their sketches in bits."""
-    return np.packbits(np.bincount((mix(x ^ _STEP[3]) >> np.uint64(54)).astype(np.int64), minlength=1024).astype(np.uint8) & 1).tobytes()
+LANES = 16
+
+
+def sketch_of(x: np.ndarray) -> np.ndarray:
+    """1024 parities in 16 numbers: every shingle flips one. Two sets differ in at least as many shingles as their sketches in bits."""
+    return np.packbits(np.bincount((mix(x ^ _STEP[3]) >> np.uint64(54)).astype(np.int64), minlength=64 * LANES).astype(np.uint8) & 1).view(np.int64)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "text"):
         sets = sets_of(b.column("text"))
         sig = [node_of(x) for x in sets]
-        yield pa.record_batch({"doc_id": b.column("doc_id"), "n": pa.array([len(x) for x in sets], pa.int64()), "node": pa.array([s[0] for s in sig], pa.int64()), "check": pa.array([s[1] for s in sig], pa.int64()), "sketch": pa.array([sketch_of(x) for x in sets], pa.binary())})
+        yield pa.record_batch({"doc_id": b.column("doc_id"), "n": pa.array([len(x) for x in sets], pa.int64()), "node": pa.array([s[0] for s in sig], pa.int64()), "check": pa.array([s[1] for s in sig], pa.int64()), "sketch": pa.array([sketch_of(x) for x in sets], pa.list_(pa.int64()))})
 
 
 # ---- frequent shingles
@@ -215,26 +218,27 @@ def _entries(held: list[tuple], buckets: int) -> pa.RecordBatch:
     h = np.concatenate([x[0] for x in held])
     times = [len(x[0]) for x in held]
     node, n = np.repeat(np.array([x[1] for x in held], np.int64), times), np.repeat(np.array([x[2] for x in held], np.int32), times)
+    place = np.concatenate([np.arange(t, dtype=np.int32) for t in times])
     order = np.argsort(h)
-    h, node, n = h[order], node[order], n[order]
+    h, node, n, place = h[order], node[order], n[order], place[order]
     bucket = (h // np.uint64((1 << 64) // buckets)).astype(np.int64)
     cut = runs(bucket)
     ends = np.append(cut[1:], len(h))
     blobs = lambda a: pa.array([a[i:e].tobytes() for i, e in zip(cut, ends)], pa.binary())
-    return pa.record_batch({"bucket": pa.array(bucket[cut], pa.int32()), "h": blobs(h), "node": blobs(node), "n": blobs(n)})
+    return pa.record_batch({"bucket": pa.array(bucket[cut], pa.int32()), "h": blobs(h), "node": blobs(node), "n": blobs(n), "place": blobs(place)})
 
 
 def _lists(group: pa.Table) -> pa.Table:
     """Entries of lists with two sets or more."""
     join = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in group.column(c).to_pylist()])
-    h, node, n = join("h", np.uint64), join("node", np.int64), join("n", np.int32)
+    h, node, n, place = join("h", np.uint64), join("node", np.int64), join("n", np.int32), join("place", np.int32)
     order = np.lexsort((node, h))
-    h, node, n = h[order], node[order], n[order]
+    h, node, n, place = h[order], node[order], n[order], place[order]
     new = np.concatenate(([True], (h[1:] != h[:-1]) | (node[1:] != node[:-1])))
-    h, node, n = h[new], node[new], n[new]
+    h, node, n, place = h[new], node[new], n[new], place[new]
     at = runs(h)
     many = np.repeat(np.diff(np.append(at, len(h))), np.diff(np.append(at, len(h)))) > 1
-    return pa.table({"h": pa.array(h[many].view(np.int64)), "node": pa.array(node[many]), "n": pa.array(n[many].astype(np.int64))})
+    return pa.table({"h": pa.array(h[many].view(np.int64)), "node": pa.array(node[many]), "n": pa.array(n[many].astype(np.int64)), "place": pa.array(place[many].astype(np.int64))})
 
 
 def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int) -> Iterator[pa.RecordBatch]:
@@ -242,7 +246,7 @@ def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: in
     low = -(-PART * (top + 1) // WHOLE)
     seen: set[int] = set()
     for b in pieces(batches, "text"):
-        keys, nodes, sizes, others = [], [], [], []
+        keys, nodes, sizes, others, places = [], [], [], [], []
         for x in sets_of(b.column("text")):
             if not len(x):
                 continue
@@ -260,22 +264,35 @@ def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: in
                     nodes += [node] * len(k)
                     sizes += [len(x)] * len(k)
                     others += [m] * len(k)
+                    places += range(len(k)) if m else range(rare, rare + len(k))
         if len(seen) > 1_000_000:
             seen = set()
         if keys:
-            yield pa.record_batch({"h": pa.array(np.concatenate(keys).view(np.int64)), "node": pa.array(nodes, pa.int64()), "n": pa.array(sizes, pa.int64()), "other": pa.array(others, pa.int64())})
+            yield pa.record_batch({"h": pa.array(np.concatenate(keys).view(np.int64)), "node": pa.array(nodes, pa.int64()), "n": pa.array(sizes, pa.int64()), "other": pa.array(others, pa.int64()), "place": pa.array(places, pa.int64())})
+
+
+def fits(r: str, s: str, i: str, j: str):
+    """Sizes that can be linked, and places in the two orders that the first shared shingle of linked sets can have: with
+    o shared ones, at most r - o come before it."""
+    o = F.expr(f"div({PART} * ({r} + {s}) + {WHOLE + PART - 1}, {WHOLE + PART})")
+    return (WHOLE * F.least(r, s) >= PART * F.greatest(r, s)) & (F.col(i) <= F.col(r) - o) & (F.col(j) <= F.col(s) - o)
+
 
+def not_ruled_out(r: str, s: str, x: str, y: str):
+    """Sketches differ in no more bits than linked sets of these sizes may differ in shingles, 15 (r + s) / 185."""
+    bits = sum((F.bit_count(F.col(f"{x}{k}").bitwiseXOR(F.col(f"{y}{k}"))) for k in range(1, LANES)), F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0"))))
+    return (WHOLE + PART) * bits <= (WHOLE - PART) * (F.col(r) + F.col(s))
 
-def fits(a: str, b: str):
-    """Sizes that can be linked."""
-    return WHOLE * F.least(a, b) >= PART * F.greatest(a, b)
+
+def lanes(name: str):
+    return [F.col("sketch")[k].alias(f"{name}{k}") for k in range(LANES)]
 
 
 def _pairs_of(group: pa.Table) -> pa.Table:
     """Neighbours in a list by size, and every set with the middle one: at most two candidates per entry."""
-    h, node, n = (group.column(c).to_numpy() for c in ("h", "node", "n"))
+    h, node, n, place = (group.column(c).to_numpy() for c in ("h", "node", "n", "place"))
     order = np.lexsort((node, n, h))
-    h, node, n = h[order], node[order], n[order]
+    h, node, n, place = h[order], node[order], n[order], place[order]
     at = runs(h)
     size = np.diff(np.append(at, len(h)))
     middle = np.repeat(at + size // 2, size)
@@ -283,7 +300,8 @@ def _pairs_of(group: pa.Table) -> pa.Table:
     a = np.concatenate([every[:-1][h[1:] == h[:-1]], every])
     b = np.concatenate([every[1:][h[1:] == h[:-1]], middle])
     x, y = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-    good = (x != y) & (WHOLE * np.minimum(n[a], n[b]) >= PART * np.maximum(n[a], n[b]))
+    shared = -(-PART * (n[a] + n[b]) // (WHOLE + PART))
+    good = (x != y) & (WHOLE * np.minimum(n[a], n[b]) >= PART * np.maximum(n[a], n[b])) & (place[a] <= n[a] - shared) & (place[b] <= n[b] - shared)
     both = np.stack([x[good], y[good]], 1)
     if len(both):
         both = both[np.lexsort((both[:, 1], both[:, 0]))]
@@ -297,15 +315,6 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"node": pa.array([node_of(x)[0] for x in sets], pa.int64()), "set": pa.array([x.tobytes() for x in sets], pa.binary())})
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that their sketches do not rule out: linked sets of r and s shingles differ in at most 15 (r + s) / 185."""
-    for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, -1) for c in ("x", "y"))
-        differ = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
-        size = b.column("r").to_numpy() + b.column("s").to_numpy()
-        yield b.select(["a", "b"]).filter(pa.array((WHOLE + PART) * differ <= (WHOLE - PART) * size))
-
-
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keep = []
@@ -323,7 +332,7 @@ class Join:
 
     def __init__(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id"):
         self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-        self.rows = stored(self.docs.mapInArrow(_signatures, f"doc_id {self.docs.schema['doc_id'].dataType.simpleString()}, n long, node long, check long, sketch binary"), "signatures")
+        self.rows = stored(self.docs.mapInArrow(_signatures, f"doc_id {self.docs.schema['doc_id'].dataType.simpleString()}, n long, node long, check long, sketch array<long>"), "signatures")
         self.nodes = stored(self.rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
 
     def lists(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -333,27 +342,31 @@ class Join:
         top = boundary(sizes)
         sent = self.docs.sparkSession.sparkContext.broadcast(frequent(self.docs, total))
         buckets = 1 << max(5, (total >> 21).bit_length())
-        packed = self.docs.mapInArrow(lambda bs: _cold(bs, sent.value, top, buckets), "bucket int, h binary, node binary, n binary")
-        cold = stored(packed.groupBy("bucket").applyInArrow(_lists, "h long, node long, n long"), "lists")
-        rest = stored(self.docs.mapInArrow(lambda bs: _hot_and_light(bs, sent.value, top), "h long, node long, n long, other long"), "lists")
+        packed = self.docs.mapInArrow(lambda bs: _cold(bs, sent.value, top, buckets), "bucket int, h binary, node binary, n binary, place binary")
+        cold = stored(packed.groupBy("bucket").applyInArrow(_lists, "h long, node long, n long, place long"), "lists")
+        rest = stored(self.docs.mapInArrow(lambda bs: _hot_and_light(bs, sent.value, top), "h long, node long, n long, other long, place long"), "lists")
         ends = rest.where("other = 0").groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-        hot = rest.where("other = 0").join(ends.select(F.col("h").alias("k")), F.col("h") == F.col("k")).select("h", "node", "n")
+        hot = rest.where("other = 0").join(ends.select(F.col("h").alias("k")), F.col("h") == F.col("k")).select("h", "node", "n", "place")
         light = rest.where("other > 0")
         hub = light.groupBy("h").agg(F.min(F.when(F.col("n") <= F.col("other"), F.col("node"))).alias("lo"), F.min(F.when(F.col("n") >= F.col("other"), F.col("node"))).alias("hi")).withColumnRenamed("h", "k")
         links = light.join(hub, F.col("h") == F.col("k")).select(F.col("node").alias("a"), F.when(F.col("n") < F.col("other"), F.col("hi")).otherwise(F.col("lo")).alias("b")).where("a <> b")
         return cold, stored(hot, "lists"), links
 
     def check(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are linked, on their sets."""
-        side = lambda k, n, x: self.nodes.select(F.col("node").alias(f"_{k}"), F.col("n").alias(n), F.col("sketch").alias(x))
-        near = pairs.distinct().join(side("a", "r", "x"), F.col("a") == F.col("_a")).join(side("b", "s", "y"), F.col("b") == F.col("_b")).select("a", "b", "r", "s", "x", "y")
-        pairs = stored(near.mapInArrow(_close, "a long, b long"), "pairs")
+        """The pairs (a, b) that are linked: first by their sketches, then on their sets."""
+        side = lambda k, n, x: self.nodes.select(F.col("node").alias(f"_{k}"), F.col("n").alias(n), *lanes(x))
+        near = pairs.distinct().join(side("a", "r", "x"), F.col("a") == F.col("_a")).join(side("b", "s", "y"), F.col("b") == F.col("_b"))
+        return self.verify(near.where(not_ruled_out("r", "s", "x", "y")).select("a", "b"))
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are linked on their sets. Only sets that stand in a pair are made, each once."""
+        pairs = stored(pairs.distinct(), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
         ids = stored(self.nodes.join(wanted, F.col("node") == F.col("k")).select(F.col("doc").alias("id")).distinct(), "wanted")
         few = ids.count() <= 1 << 20  # 16 MB at most
         near = self.docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
         # a shared id can bring other sets along; they meet no pair, and equal sets are kept once
-        sets = stored(near.mapInArrow(_sets, "node long, set binary").dropDuplicates(["node"]), "sets")
+        sets = near.mapInArrow(_sets, "node long, set binary").dropDuplicates(["node"])
         x = sets.select(F.col("node").alias("na"), F.col("set").alias("x"))
         y = sets.select(F.col("node").alias("nb"), F.col("set").alias("y"))
         both = pairs.join(x, F.col("a") == F.col("na")).join(y, F.col("b") == F.col("nb")).select("a", "b", "x", "y")
@@ -363,22 +376,28 @@ class Join:
         """node, root for every node with a link."""
         cold, hot, links = self.lists()
         buckets = max(32, cold.count() >> 18)
-        first = cold.withColumn("_b", F.pmod(F.xxhash64("h"), F.lit(buckets))).groupBy("_b").applyInArrow(lambda g: _pairs_of(g.select(["h", "node", "n"])), "a long, b long")
-        ends = hot.groupBy("h").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).withColumnRenamed("h", "k")
-        star = hot.join(ends, F.col("h") == F.col("k")).select("node", "n", F.explode(F.array("lo", "hi")).alias("e")).where(F.col("node") != F.col("e.node")).where(fits("n", "e.n"))
+        first = cold.withColumn("_b", F.pmod(F.xxhash64("h"), F.lit(buckets))).groupBy("_b").applyInArrow(lambda g: _pairs_of(g.select(["h", "node", "n", "place"])), "a long, b long")
+        one = F.struct("node", "n", "place")
+        ends = hot.groupBy("h").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).withColumnRenamed("h", "k")
+        star = hot.join(ends, F.col("h") == F.col("k")).select("node", "n", "place", F.explode(F.array("lo", "hi")).alias("e")).where(F.col("node") != F.col("e.node")).where(fits("n", "e.n", "place", "e.place"))
         star = star.select(F.least("node", "e.node").alias("a"), F.greatest("node", "e.node").alias("b"))
         links = stored(links.unionByName(self.check(first.unionByName(star))), "links")
         rest = self._apart(cold.unionByName(hot), components(links))
-        return components(links.unionByName(self.check(rest)))
+        return components(links.unionByName(self.verify(rest)))
 
     def _apart(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
-        """The pairs of every list whose sets are not in one group yet."""
-        e = lists.join(roots.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select("h", "node", "n", F.coalesce("root", "node").alias("root"))
+        """The pairs of every list whose sets are not in one group yet and not ruled out by places or sketches; what is
+        ruled out never leaves the join."""
+        e = lists.join(roots.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select("h", "node", "n", "place", F.coalesce("root", "node").alias("root"))
         e = stored(e, "lists")
         open_ = e.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("h").alias("k"))
-        e = stored(e.join(open_, F.col("h") == F.col("k")).select("h", "node", "n", "root"), "lists")
-        o = e.toDF("h2", "node2", "n2", "root2")
-        pairs = e.join(o, (F.col("h") == F.col("h2")) & (F.col("root") != F.col("root2")) & (F.col("node") < F.col("node2")) & fits("n", "n2"))
+        e = e.join(open_, F.col("h") == F.col("k")).select("h", "node", "n", "place", "root")
+        # in a list, a set can meet another one only if it is near enough to its start for a partner of some size
+        e = e.where(f"place <= n - div({PART} * n + {WHOLE - 1}, {WHOLE})")
+        sketches = self.nodes.select(F.col("node").alias("v"), *lanes("x"))
+        e = stored(e.join(sketches, F.col("node") == F.col("v")).drop("v"), "lists")
+        o = e.toDF("h2", "node2", "n2", "place2", "root2", *[f"y{k}" for k in range(LANES)])
+        pairs = e.join(o, (F.col("h") == F.col("h2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & fits("n", "n2", "place", "place2") & not_ruled_out("n", "n2", "x", "y"))
         return pairs.select(F.col("node").alias("a"), F.col("node2").alias("b"))
 
     def named(self) -> DataFrame:
