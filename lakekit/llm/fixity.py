@@ -9,8 +9,8 @@ Contents are read once per replica; what is written in between is one digest per
 ``fan`` children, a leaf the records of ``span`` bytes. So a file of any size is spread over tasks, and the descent costs joins over
 the differing nodes only. The tree is as high as the largest file needs.
 
-NULL content is empty content, a NULL id the empty id, a NULL file or offset a value of its own (offset -1). Records equal in file, offset and id
-are matched in the order of their digests, each with one of the other side. Extra columns are not read; equal replicas, and two empty
+NULL content is empty content, a NULL id the empty id, a NULL file or offset a value of its own (offset -1). Of records equal in file, offset and id
+those with one digest are taken off first, the others matched in the order of their digests, each with one of the other side. Extra columns are not read; equal replicas, and two empty
 ones, give no rows; an empty replica misses every record.
 """
 
@@ -86,8 +86,8 @@ def audit(primary: DataFrame, replica: DataFrame, span: int = SPAN, fan: int = F
         bad = stored(_differ(_below(x, bad, fan), _below(y, bad, fan)), "differing")
     x, y = _below(one, bad, 1), _below(two, bad, 1)
     turn = F.row_number().over(W.partitionBy("file", "offset", "record_id").orderBy("digest", "length"))
-    x = x.select("file", "offset", "record_id", "length", "digest").withColumn("turn", turn)
-    y = y.select("file", "offset", "record_id", "length", "digest").withColumn("turn", turn).toDF("f2", "o2", "r2", "found_length", "found", "t2")
+    x, y = (r.select("file", "offset", "record_id", "length", "digest") for r in (x, y))
+    x, y = x.exceptAll(y).withColumn("turn", turn), y.exceptAll(x).withColumn("turn", turn).toDF("f2", "o2", "r2", "found_length", "found", "t2")
     j = x.join(y, F.col("file").eqNullSafe(F.col("f2")) & (F.col("offset") == F.col("o2")) & (F.col("record_id") == F.col("r2")) & (F.col("turn") == F.col("t2")), "full")
     gone = F.col("offset").isNull()
     status = F.when(gone, "extra").when(F.col("o2").isNull(), "missing").when((F.col("digest") != F.col("found")) | (F.col("length") != F.col("found_length")), "changed")
