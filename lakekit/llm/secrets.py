@@ -5,7 +5,7 @@ letter and a digit. A candidate is labelled by whether a pattern covers it. A co
 candidate and 16 characters on either side is trained on at most ``sample`` labelled candidates of each label, taken in the
 order of a hash (the bound on what is collected; nothing else is). One candidate in five of these is held out: on it the
 scores are calibrated (logistic fit) and the threshold is set so that at least ``recall`` of the labelled secrets pass, half way (in
-log odds) to the harmless ones when the two are apart. All candidates are scored; those above the threshold that no pattern covers are added as spans of
+log odds) to the harmless ones when the two are apart (but for the few highest, which may be secrets without a label). All candidates are scored; those above the threshold that no pattern covers are added as spans of
 kind ``cnn``. Half of the training windows get the surroundings of another candidate, so that the network looks at the candidate itself.
 
 Spans count code points, end exclusive, and are ordered by start, then kind. NULL or empty text has no spans. Without labelled
@@ -202,7 +202,8 @@ def fit(positive: list[tuple], negative: list[tuple], recall: float = 0.99, step
         a, b = np.array([a, b]) - np.linalg.solve(u @ u.T / 4 + 1e-3 * np.eye(2), u @ (q - y))
     a /= unit
     low = np.sort(a * zp + b)[int(np.floor((1 - recall) * len(zp)))]
-    high = (a * zn + b).max()
+    # some candidates without a label are secrets that the patterns miss: the highest five, or tenth, of the harmless ones do not count
+    high = np.quantile(a * zn + b, max(0.9, 1 - 5 / len(zn)))
     return p | {"scale": a, "shift": b, "threshold": float(low if high >= low else (low + high) / 2)}
 
 
