@@ -48,7 +48,7 @@ def words(text: str | Column) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), WORD_BREAK), lambda w: w != "")
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str | None = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str | None = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text (one longer text is a batch of its own), so that
     arrays with an entry per byte stay small whatever the size of an Arrow batch."""
     for b in batches:

@@ -8,7 +8,7 @@ checked. Larger sets are heavy: they scan inverted lists. A list holds the sets
 cost, subsets enumerated below it against list entries above it, over the sizes that the corpus has.
 
 The order puts frequent shingles last. Frequencies are counted over all documents: every task sorts its hashes and sends them as gaps
-(four bytes each) to the range of hashes they belong to. Shingles found more than ``T`` times are frequent; T is the least power of
+(four bytes each, eight where few hashes lie far apart) to the range of hashes they belong to. Shingles found more than ``T`` times are frequent; T is the least power of
 two from 32 that leaves at most a million of them, so that they can be broadcast. Lists of other shingles hold at most T sets. Lists of frequent shingles are
 reached only by sets that consist almost wholly of such; they may be of any length and are never gathered.
 
@@ -108,7 +108,7 @@ def _tally(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         for x in sets_of(b.column("text")):
             held.append(x)
             size += len(x)
-        if size > 4_000_000:
+        if size > 2_000_000:
             yield _gaps(held, buckets)
             held, size = [], 0
     if size:
@@ -116,24 +116,24 @@ def _tally(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
 
 
 def _gaps(held: list[np.ndarray], buckets: int) -> pa.RecordBatch:
-    """Sorted hashes with their counts, cut by bucket and wherever a gap needs more than 32 bits."""
+    """Sorted hashes with their counts, by bucket; gaps of four bytes, or of eight in a bucket with a larger one."""
     v = np.sort(np.concatenate(held) >> np.uint64(64 - BITS))
     at = runs(v)
     v, n = v[at], np.minimum(np.diff(np.append(at, len(v))), 65535).astype(np.uint16)
     bucket = (v // np.uint64((1 << BITS) // buckets)).astype(np.int64)
     gap = np.concatenate(([0], np.diff(v.astype(np.int64))))
-    cut = np.flatnonzero(np.concatenate(([True], (bucket[1:] != bucket[:-1]) | (gap[1:] >= 1 << 32))))
+    cut = runs(bucket)
     gap[cut] = 0
-    gap = gap.astype(np.uint32)
     ends = np.append(cut[1:], len(v))
-    return pa.record_batch({"bucket": pa.array(bucket[cut], pa.int32()), "first": pa.array(v[cut].astype(np.int64)), "gaps": pa.array([gap[a:e].tobytes() for a, e in zip(cut, ends)], pa.binary()), "counts": pa.array([n[a:e].tobytes() for a, e in zip(cut, ends)], pa.binary())})
+    short = lambda g: g.astype(np.uint32) if g.max() < 1 << 32 else g
+    return pa.record_batch({"bucket": pa.array(bucket[cut], pa.int32()), "first": pa.array(v[cut].astype(np.int64)), "gaps": pa.array([short(gap[a:e]).tobytes() for a, e in zip(cut, ends)], pa.binary()), "counts": pa.array([n[a:e].tobytes() for a, e in zip(cut, ends)], pa.binary())})
 
 
 def _frequent(group: pa.Table, least: int) -> pa.Table:
     v, n = [], []
     for first, gaps, counts in zip(group.column("first").to_pylist(), group.column("gaps").to_pylist(), group.column("counts").to_pylist()):
-        v.append(first + np.cumsum(np.frombuffer(gaps, np.uint32).astype(np.int64)))
         n.append(np.frombuffer(counts, np.uint16).astype(np.int64))
+        v.append(first + np.cumsum(np.frombuffer(gaps, np.uint32 if len(gaps) == 4 * len(n[-1]) else np.int64).astype(np.int64)))
     v, n = np.concatenate(v), np.concatenate(n)
     order = np.argsort(v, kind="stable")
     v, n = v[order], n[order]
