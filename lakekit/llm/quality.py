@@ -111,8 +111,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     with_groups = docs.select(*cols, F.col(lang).alias("_lang"), F.col(source).alias("_source"), F.col(text).alias("_text"))
     counted = counts(with_groups, "_text", [*cols, "_lang", "_source"])
     valued = stored(counted.select("*", *values(counted)), "quality")
-    fences = thresholds(valued, "_lang", "_source", spread, enough).withColumnsRenamed({"_lang": "_fl", "_source": "_fs"})
-    j = valued.join(fences, F.col("_lang").eqNullSafe(F.col("_fl")) & F.col("_source").eqNullSafe(F.col("_fs")), "left")
+    fences = stored(thresholds(valued, "_lang", "_source", spread, enough).withColumnsRenamed({"_lang": "_fl", "_source": "_fs"}), "fences")
+    few = fences.count() <= 1 << 16  # a few megabytes; then the rows, which may carry their text, stay where they are
+    j = valued.join(F.broadcast(fences) if few else fences, F.col("_lang").eqNullSafe(F.col("_fl")) & F.col("_source").eqNullSafe(F.col("_fs")), "left")
     failed = F.array_compact(F.array(*[F.when(F.col(f"v_{r}") > F.col(f"f_{r}"), F.lit(r)) for r in RULES]))
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeats * F.col("n_words"))
     return j.select(*cols, *COUNTS[:5], base.alias("base_failed"), (~base & (F.size(failed) == 0)).alias("kept"), failed.alias("failed"))
