@@ -2,13 +2,14 @@
 
 One pass over the texts finds the spans of the fixed patterns and all candidates: runs of 16 or more of ``A-Za-z0-9+/_.=-`` that hold a
 letter and a digit. A candidate is labelled by whether a pattern covers it. A convolutional network over the characters of a
-candidate and 16 characters on either side is trained on at most ``sample`` labelled candidates of each label, taken in the
-order of a hash (the bound on what is collected; nothing else is). One candidate in five of these is held out: on it the
-scores are calibrated (logistic fit) and the threshold is set so that at least ``recall`` of the labelled secrets pass, half way (in
+candidate and 16 characters on either side is trained on at most ``sample`` different labelled candidates of each label, taken in the
+order of a hash (the bound on what is collected; besides these only counts are). One text in five, told by its hash, is held out with all its
+surroundings: on those of the sample the scores are calibrated (logistic fit); then all held-out candidates of the table are scored, a repeated one counts once, and
+from the counts of their scores the threshold is set so that at least ``recall`` of the labelled secrets pass, half way (in
 log odds) to the harmless ones when the two are apart (but for the few highest, which may be secrets without a label). All candidates are scored; those above the threshold that no pattern covers are added as spans of
-kind ``cnn``. Half of the training windows get the surroundings of another candidate, so that the network looks at the candidate itself.
+kind ``cnn``. Those few do not stay in the training either. Half of the training windows get the surroundings of another candidate, so that the network looks at the candidate itself.
 
-Spans count code points, end exclusive, and are ordered by start, then kind. NULL or empty text has no spans. Without labelled
+Spans count code points, end exclusive, and are ordered by start, then kind. NULL or empty text has no spans. Without five different labelled
 candidates of both kinds there is no network and nothing is added. Candidates longer than the window are scored window by
 window, the highest counts. Repeated rows are scanned alike; extra columns are only passed on if named in ``keep``.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,8 @@ CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{16,}")
 KEYWORDS = [b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey"]
 SIDE, BODY = 16, 40
 WIDTH = 2 * SIDE + BODY
+LONGEST = 4096  # of a candidate in the sample
+UNIT, FAR = 256, 64  # scores are counted by log odds in steps of 1/256, from -64 to 64
 
 _SOLID, _HEX, _DIGIT = (np.array([bool(re.match(p, chr(i))) for i in range(256)]) & (np.arange(256) < 128) for p in ("[A-Za-z0-9+/_.=-]", "[0-9a-f]", "[0-9]"))
 _LOW = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -168,13 +172,7 @@ def _gradients(p: dict, x: np.ndarray, y: np.ndarray) -> dict:
     return g
 
 
-def fit(positive: list[tuple], negative: list[tuple], recall: float = 0.99, steps: int = 400, seed: int = 5) -> dict | None:
-    """Train on (before, body, after) of secrets and of harmless candidates; None unless there are five of both."""
-    if min(len(positive), len(negative)) < 5:
-        return None
-    rng = np.random.default_rng(seed)
-    split = lambda rows: ([r for i, r in enumerate(rows) if i % 5], [r for i, r in enumerate(rows) if i % 5 == 0])
-    (pos, pos_held), (neg, neg_held) = split(positive), split(negative)
+def _descend(pos: list[tuple], neg: list[tuple], steps: int, rng: np.random.Generator) -> dict:
     both = pos + neg
     p = {"emb": rng.normal(0, 0.3, (97, 8)), "conv": rng.normal(0, 0.15, (40, 16)), "bias": np.zeros(16), "out": rng.normal(0, 0.1, 48), "out_bias": 0.0}
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
@@ -191,7 +189,23 @@ def fit(positive: list[tuple], negative: list[tuple], recall: float = 0.99, step
             m[k] = 0.9 * m[k] + 0.1 * g[k]
             v[k] = 0.999 * v[k] + 0.001 * g[k] * g[k]
             p[k] = p[k] - 0.01 * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
-    p |= {"scale": 1.0, "shift": 0.0, "threshold": 0.0}
+    return p
+
+
+def fit(positive: list[tuple], negative: list[tuple], recall: float = 0.99, steps: int = 400, seed: int = 5) -> dict | None:
+    """Train on (before, body, after) of secrets and of harmless candidates; None unless there are five different ones of both."""
+    positive, negative = list(dict.fromkeys(positive)), list(dict.fromkeys(negative))
+    if min(len(positive), len(negative)) < 5:
+        return None
+    rng = np.random.default_rng(seed)
+    rules = {True: split_rule(positive), False: split_rule(negative)}
+    split = lambda rows, rule: ([r for r in rows if not held_out(r, rule)], [r for r in rows if held_out(r, rule)])
+    (pos, pos_held), (neg, neg_held) = split(positive, rules[True]), split(negative, rules[False])
+    # some without a label are secrets that the patterns miss: the highest of a short first training are not trained on as harmless
+    z = _logits(_descend(pos, neg, steps // 4, rng) | {"scale": 1.0, "shift": 0.0}, neg)
+    neg = [neg[i] for i in np.argsort(z, kind="stable")[: int(np.ceil(harmless(len(neg)) * len(neg)))]]
+    p = _descend(pos, neg, steps, rng)
+    p |= {"scale": 1.0, "shift": 0.0, "threshold": 0.0, "rules": rules}
     zp, zn = _logits(p, pos_held), _logits(p, neg_held)
     z, y = np.concatenate([zp, zn]), np.concatenate([np.full(len(zp), 1 - 1 / (len(zp) + 2)), np.full(len(zn), 1 / (len(zn) + 2))])
     unit = max(float(np.abs(z).mean()), 1e-6)
@@ -201,10 +215,42 @@ def fit(positive: list[tuple], negative: list[tuple], recall: float = 0.99, step
         u = np.stack([z / unit, np.ones(len(z))])
         a, b = np.array([a, b]) - np.linalg.solve(u @ u.T / 4 + 1e-3 * np.eye(2), u @ (q - y))
     a /= unit
-    low = np.sort(a * zp + b)[int(np.floor((1 - recall) * len(zp)))]
-    # some candidates without a label are secrets that the patterns miss: the highest five, or tenth, of the harmless ones do not count
-    high = np.quantile(a * zn + b, max(0.9, 1 - 5 / len(zn)))
-    return p | {"scale": a, "shift": b, "threshold": float(low if high >= low else (low + high) / 2)}
+    return p | {"scale": a, "shift": b, "threshold": threshold(*(np.unique(bins(a * x + b), return_counts=True) for x in (zp, zn)), recall)}
+
+
+def _place(row: tuple, whole: bool) -> int:
+    return zlib.crc32("\0".join((row[0], row[1][:LONGEST], row[2]) if whole else (row[1][:LONGEST],)).encode())
+
+
+def split_rule(rows: list[tuple]) -> tuple[bool, int]:
+    """Which candidates are held out: those whose text has a hash in the lowest fifth. Where that leaves one side empty, the
+    lowest fifth of the hashes at hand; where there is one text only, its surroundings are hashed as well."""
+    whole = len({r[1][:LONGEST] for r in rows}) < 2
+    places = sorted({_place(r, whole) for r in rows})
+    fifth = (1 << 32) // 5
+    return whole, fifth if places[0] <= fifth < places[-1] else places[(len(places) - 1) // 5]
+
+
+def held_out(row: tuple, rule: tuple[bool, int]) -> bool:
+    return _place(row, rule[0]) <= rule[1]
+
+
+def bins(z: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(z, -FAR, FAR) * UNIT).astype(np.int64)
+
+
+def harmless(n: int) -> float:
+    """The share of n candidates without a label that counts as harmless: all but the highest tenth of a few, five of up to 400, and one in 80 of more."""
+    return max(0.9, 1 - 5 / min(n, 400))
+
+
+def threshold(positive: tuple[np.ndarray, np.ndarray], negative: tuple[np.ndarray, np.ndarray], recall: float) -> float:
+    """From the bins of held-out scores, ascending, and their counts."""
+    (zp, kp), (zn, kn) = positive, negative
+    at = lambda z, k, share: z[np.searchsorted(np.cumsum(k), int(np.floor(share)), side="right")]
+    low = at(zp, kp, (1 - recall) * kp.sum()) / UNIT
+    high = (at(zn, kn, harmless(kn.sum()) * (kn.sum() - 1)) + 1) / UNIT
+    return float(low if high >= low else (low + high) / 2)
 
 
 def _logits(p: dict, rows: list[tuple]) -> np.ndarray:
@@ -221,11 +267,28 @@ def _logits(p: dict, rows: list[tuple]) -> np.ndarray:
     return out
 
 
+def _held_scores(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
+    """label, a hash of the candidate and the bin of its score, for every labelled candidate that is held out."""
+    for b in batches:
+        every = dict.fromkeys((c["label"], c["before"], c["body"], c["after"]) for r in b.column("_candidates").to_pylist() for c in r or [])
+        rows = [c for c in every if held_out(c[1:], model["rules"][c[0]])]
+        key = [int.from_bytes(hashlib.blake2b("\0".join(c[1:]).encode(), digest_size=8).digest(), "big", signed=True) for c in rows]
+        yield pa.record_batch({"label": pa.array([c[0] for c in rows], pa.bool_()), "key": pa.array(key, pa.int64()), "bin": pa.array(bins(_logits(model, [c[1:] for c in rows])), pa.int64())})
+
+
 def train(scanned: DataFrame, sample: int = 2000, recall: float = 0.99) -> dict | None:
-    """At most ``sample`` labelled candidates of each label reach the driver, chosen by a hash of their text."""
-    c = scanned.select(F.explode("_candidates").alias("c")).select(F.col("c.label").alias("label"), F.col("c.before").alias("before"), F.expr("substring(c.body, 1, 4096)").alias("body"), F.col("c.after").alias("after"))
-    take = lambda label: [tuple(r) for r in c.where(F.col("label") == label).select("before", "body", "after").orderBy(F.xxhash64("before", "body", "after"), "before", "body", "after").limit(sample).collect()]
-    return fit(take(True), take(False), recall)
+    """At most ``sample`` different labelled candidates of each label reach the driver, chosen by a hash of their text, and the
+    counts of the scores of all that are held out (at most 32,769 bins of each label)."""
+    c = scanned.select(F.explode("_candidates").alias("c")).select(F.col("c.label").alias("label"), F.col("c.before").alias("before"), F.expr(f"substring(c.body, 1, {LONGEST})").alias("body"), F.col("c.after").alias("after"))
+    take = lambda label: [tuple(r) for r in c.where(F.col("label") == label).select("before", "body", "after").distinct().orderBy(F.xxhash64("before", "body", "after"), "before", "body", "after").limit(sample).collect()]
+    model = fit(take(True), take(False), recall)
+    if model is None:
+        return None
+    sent = scanned.sparkSession.sparkContext.broadcast(model)
+    scores = scanned.select("_candidates").mapInArrow(lambda bs: _held_scores(bs, sent.value), "label boolean, key long, bin long")
+    counted = scores.groupBy("label", "key").agg(F.max("bin").alias("bin")).groupBy("label", "bin").agg(F.count(F.lit(1)).alias("n")).orderBy("bin").collect()
+    of = lambda label: tuple(np.array([r[k] for r in counted if r.label == label], np.int64) for k in ("bin", "n"))
+    return model | {"threshold": threshold(of(True), of(False), recall)}
 
 
 def added(model: dict | None, rows: list[dict]) -> np.ndarray:

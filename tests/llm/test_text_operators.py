@@ -134,6 +134,35 @@ def test_network_adds_spans_and_base_ones_stay(spark):
     assert all(got[i].startswith("assign:5:54,hex:14:54") for i in range(60))
 
 
+def test_sample_and_threshold_see_every_text_once(spark, monkeypatch):
+    """Copies of a candidate take one place of the sample; no text is trained on and held out; the threshold holds for all that are held out."""
+    rnd = random.Random(6)
+    key = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(40))
+    line = lambda k, i: f'token = "{k}" and write to box{i}.mail.example.com now'
+    texts = [line(key(), i) for i in range(300)] + [line("0a" * 20, 1000)] * 3000
+    found = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).cache()
+    taken, trained = [], []
+    fit, gradients = secrets.fit, secrets._gradients
+    monkeypatch.setattr(secrets, "fit", lambda p, n, *a: taken.extend((p, n)) or fit(p, n, *a))
+    monkeypatch.setattr(secrets, "_gradients", lambda p, x, y: trained.extend(w.tobytes() for w in x[:, secrets.SIDE : -secrets.SIDE]) or gradients(p, x, y))
+    m = secrets.train(found, sample=100)
+    assert [len(set(x)) for x in taken] == [100, 100]
+    body = lambda r: secrets.encode(*r)[0][secrets.SIDE : -secrets.SIDE].tobytes()
+    for rows, rule in zip(taken, (m["rules"][True], m["rules"][False])):
+        held = {body(r) for r in rows if secrets.held_out(r, rule)}
+        assert held and not held & set(trained)
+    every = {(c.before, c.body, c.after) for r in found.collect() for c in r._candidates if c.label}
+    held = [c for c in every if secrets.held_out(c, m["rules"][True])]
+    assert len(held) > 40 and (secrets._logits(m, held) >= m["threshold"]).mean() >= 0.99
+
+
+def test_every_label_is_split():
+    for n in (1, 2, 5, 40):
+        rows = [(f"b{i} ", f"text{i % n}0123456789", "") for i in range(40)]
+        rule = secrets.split_rule(rows)
+        assert len({secrets.held_out(r, rule) for r in rows}) == 2
+
+
 def test_secrets_on_rows(edges, empty):
     rows = secrets.find(edges).collect()
     assert len(rows) == 10
