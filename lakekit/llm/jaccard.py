@@ -1,10 +1,11 @@
 """Texts whose sets of word shingles overlap: a size-aware heavy-light join, and the groups it forms.
 
-Two documents are linked when 100 * |A and B| >= 85 * |A or B| over their sets of distinct 4-word shingles (64-bit hashes). Documents
+Two documents are linked when 100 * |A and B| >= 85 * |A or B| over their sets of distinct 4-word shingles (64-bit hashes); a ``Rule``
+gives other numbers. Documents
 with one and the same set are one node. Sets of at most ``boundary`` shingles are light: for every pair of sizes that can be linked, the overlap needed
 is a fixed number, so both sides enumerate their subsets of that size, and a shared subset is a link, with no pair formed or
 checked. Larger sets are heavy: they scan inverted lists. A list holds the sets with a shingle among their first
-``n - ceil(0.85 n) + 1`` in one common order; two linked sets meet in a list at least once. The boundary is the one with the least
+``n - ceil(0.85 n) + 1`` (for that rule) in one common order; two linked sets meet in a list at least once. The boundary is the one with the least
 cost, subsets enumerated below it against list entries above it, over the sizes that the corpus has.
 
 The order puts frequent shingles last. Frequencies are counted over all documents: every task sorts its hashes and sends them as gaps
@@ -27,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,44 +37,58 @@ from pyspark.sql import DataFrame, functions as F
 from .common import mix, pieces, runs, stored, word_hashes
 from .graph import components
 
-WORDS = 4
-PART, WHOLE = 85, 100
+
+
+class Rule(NamedTuple):
+    """Sets of shingles of so many words are linked when they share part / whole of their union."""
+
+    words: int = 4
+    part: int = 85
+    whole: int = 100
+
+
+RULE = Rule()
 FREQUENT = 1 << 20
 LEAST_FREQUENT = 32
 BITS = 48  # of a hash, for counting
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def overlap(r: int, s: int) -> int:
+def step(i: int) -> np.uint64:
+    """The factor of the word at place i of a shingle."""
+    return _STEP[i] if i < len(_STEP) else mix(np.array([i], np.uint64))[0] | np.uint64(1)
+
+
+def overlap(r: int, s: int, rule: Rule = RULE) -> int:
     """Fewest shared shingles of two linked sets of these sizes."""
-    return -(-PART * (r + s) // (WHOLE + PART))
+    return -(-rule.part * (r + s) // (rule.whole + rule.part))
 
 
-def partners(n: int) -> range:
+def partners(n: int, rule: Rule = RULE) -> range:
     """Sizes that a set of n shingles can be linked with."""
-    return range(-(-PART * n // WHOLE), WHOLE * n // PART + 1)
+    return range(-(-rule.part * n // rule.whole), rule.whole * n // rule.part + 1)
 
 
-def prefix(n: int) -> int:
-    return n - -(-PART * n // WHOLE) + 1
+def prefix(n: int, rule: Rule = RULE) -> int:
+    return n - -(-rule.part * n // rule.whole) + 1
 
 
-def sets_of(col: pa.Array) -> list[np.ndarray]:
+def sets_of(col: pa.Array, words: int = RULE.words) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every row."""
     h, row = word_hashes(col)
     ends = np.searchsorted(row, np.arange(len(col) + 1))
     grams = np.zeros(0, np.uint64)
-    if len(h) >= WORDS:
-        last = len(h) - WORDS + 1
-        grams = mix(sum((h[i : i + last] * _STEP[i] for i in range(1, WORDS)), h[:last] * _STEP[0]))
+    if len(h) >= words:
+        last = len(h) - words + 1
+        grams = mix(sum((h[i : i + last] * step(i) for i in range(1, words)), h[:last] * step(0)))
     out = []
     for a, b in zip(ends[:-1], ends[1:]):
-        if b - a >= WORDS:
-            x = np.sort(grams[a : b - WORDS + 1])
+        if b - a >= words:
+            x = np.sort(grams[a : b - words + 1])
             out.append(x[runs(x)])
         elif b > a:
             x = h[a:b]
-            out.append(mix(sum((x[i : i + 1] * _STEP[i] for i in range(1, len(x))), x[:1] * _STEP[0]) + np.uint64(len(x))))
+            out.append(mix(sum((x[i : i + 1] * step(i) for i in range(1, len(x))), x[:1] * step(0)) + np.uint64(len(x))))
         else:
             out.append(x := np.zeros(0, np.uint64))
     return out
@@ -92,9 +108,9 @@ def sketch_of(x: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount((mix(x ^ _STEP[3]) >> np.uint64(54)).astype(np.int64), minlength=64 * LANES).astype(np.uint8) & 1).view(np.int64)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "text"):
-        sets = sets_of(b.column("text"))
+        sets = sets_of(b.column("text"), rule.words)
         sig = [node_of(x) for x in sets]
         yield pa.record_batch({"doc_id": b.column("doc_id"), "n": pa.array([len(x) for x in sets], pa.int64()), "node": pa.array([s[0] for s in sig], pa.int64()), "check": pa.array([s[1] for s in sig], pa.int64()), "sketch": pa.array([sketch_of(x) for x in sets], pa.list_(pa.int64()))})
 
@@ -102,10 +118,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- frequent shingles
 
 
-def _tally(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _tally(batches: Iterator[pa.RecordBatch], buckets: int, rule: Rule) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for b in pieces(batches, "text"):
-        for x in sets_of(b.column("text")):
+        for x in sets_of(b.column("text"), rule.words):
             held.append(x)
             size += len(x)
         if size > 2_000_000:
@@ -143,10 +159,10 @@ def _frequent(group: pa.Table, least: int) -> pa.Table:
     return pa.table({"h": pa.array(v[at][often]), "n": pa.array(total[often])})
 
 
-def frequent(docs: DataFrame, shingles: int, least: int = LEAST_FREQUENT, most: int = FREQUENT) -> np.ndarray:
+def frequent(docs: DataFrame, shingles: int, least: int = LEAST_FREQUENT, most: int = FREQUENT, rule: Rule = RULE) -> np.ndarray:
     """The shingles (their leading bits) found in more than T documents, T the least power of two that leaves at most ``most`` of them."""
     buckets = 1 << max(5, (shingles >> 20).bit_length())
-    packed = docs.mapInArrow(lambda bs: _tally(bs, buckets), "bucket int, first long, gaps binary, counts binary")
+    packed = docs.mapInArrow(lambda bs: _tally(bs, buckets, rule), "bucket int, first long, gaps binary, counts binary")
     often = stored(packed.groupBy("bucket").applyInArrow(lambda g: _frequent(g, least), "h long, n long"), "frequent")
     by_power = {r.p: r.k for r in often.groupBy(F.floor(F.log2(F.col("n") - 1)).alias("p")).agg(F.count(F.lit(1)).alias("k")).collect()}  # at most 64 rows
     power = least.bit_length() - 1
@@ -158,30 +174,30 @@ def frequent(docs: DataFrame, shingles: int, least: int = LEAST_FREQUENT, most:
 # ---- light sets: subsets; heavy sets: inverted lists
 
 
-def boundary(sizes: dict[int, int], most: int = 64) -> int:
+def boundary(sizes: dict[int, int], most: int = 64, rule: Rule = RULE) -> int:
     """The largest light size with the least cost; an entry of a list is counted, read, paired and checked, and weighs as sixteen subsets."""
-    light = lambda n, top: sum(math.comb(n, overlap(n, m)) for m in partners(n) if m <= top)
+    light = lambda n, top: sum(math.comb(n, overlap(n, m, rule)) for m in partners(n, rule) if m <= top)
     best, found = 0, math.inf
     for top in range(0, 31):
-        cost = sum(k * light(n, top) for n, k in sizes.items() if n <= top) + sum(16 * k * prefix(n) for n, k in sizes.items() if n <= most and n >= -(-PART * (top + 1) // WHOLE))
+        cost = sum(k * light(n, top) for n, k in sizes.items() if n <= top) + sum(16 * k * prefix(n, rule) for n, k in sizes.items() if n <= most and n >= -(-rule.part * (top + 1) // rule.whole))
         if cost < found:
             best, found = top, cost
     return best
 
 
-def subsets(x: np.ndarray, m: int) -> np.ndarray:
+def subsets(x: np.ndarray, m: int, rule: Rule = RULE) -> np.ndarray:
     """Keys of all subsets that a set of m shingles must share one of to be linked; sums of hashes, less those left out."""
     n = len(x)
     h = mix(x + np.uint64(0x51ED2701))
     total = h.sum(dtype=np.uint64)
-    left = n - overlap(n, m)
+    left = n - overlap(n, m, rule)
     sums = np.array([total], np.uint64) if left == 0 else total - np.array([h[list(c)].sum(dtype=np.uint64) for c in combinations(range(n), left)], np.uint64)
     return mix(sums + mix(np.array([min(n, m) << 32 | max(n, m)], np.uint64)))
 
 
-def in_order(x: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, int]:
+def in_order(x: np.ndarray, often: np.ndarray, rule: Rule = RULE) -> tuple[np.ndarray, int]:
     """The first shingles of a set in the common order, and how many of them are not frequent."""
-    p = prefix(len(x))
+    p = prefix(len(x), rule)
     if len(often):
         v = x >> np.uint64(64 - BITS)
         at = np.minimum(np.searchsorted(often, v), len(often) - 1)
@@ -191,17 +207,17 @@ def in_order(x: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, int]:
     return x[:p], p
 
 
-def _cold(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _cold(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, buckets: int, rule: Rule) -> Iterator[pa.RecordBatch]:
     """Entries of the lists of shingles that are not frequent, packed by range of hashes."""
-    low = -(-PART * (top + 1) // WHOLE)
+    low = -(-rule.part * (top + 1) // rule.whole)
     held: list[tuple] = []
     size = 0
     seen: set[int] = set()
     for b in pieces(batches, "text"):
-        for x in sets_of(b.column("text")):
+        for x in sets_of(b.column("text"), rule.words):
             if len(x) < low:
                 continue
-            first, rare = in_order(x, often)
+            first, rare = in_order(x, often, rule)
             node = node_of(x)[0]
             if rare and node not in seen:
                 seen.add(node)
@@ -241,20 +257,20 @@ def _lists(group: pa.Table) -> pa.Table:
     return pa.table({"h": pa.array(h[many].view(np.int64)), "node": pa.array(node[many]), "n": pa.array(n[many].astype(np.int64)), "place": pa.array(place[many].astype(np.int64))})
 
 
-def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int) -> Iterator[pa.RecordBatch]:
+def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, rule: Rule) -> Iterator[pa.RecordBatch]:
     """Rows for frequent shingles (other = 0) and for the subsets of light sets (other: the size of the partner)."""
-    low = -(-PART * (top + 1) // WHOLE)
+    low = -(-rule.part * (top + 1) // rule.whole)
     seen: set[int] = set()
     for b in pieces(batches, "text"):
         keys, nodes, sizes, others, places = [], [], [], [], []
-        for x in sets_of(b.column("text")):
+        for x in sets_of(b.column("text"), rule.words):
             if not len(x):
                 continue
             got: list[tuple[np.ndarray, int]] = []
             if len(x) <= top:
-                got += [(subsets(x, m), m) for m in partners(len(x)) if m <= top]
+                got += [(subsets(x, m, rule), m) for m in partners(len(x), rule) if m <= top]
             if len(x) >= low:
-                first, rare = in_order(x, often)
+                first, rare = in_order(x, often, rule)
                 if rare < len(first):
                     got.append((first[rare:], 0))
             if got and (node := node_of(x)[0]) not in seen:
@@ -271,24 +287,24 @@ def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: in
             yield pa.record_batch({"h": pa.array(np.concatenate(keys).view(np.int64)), "node": pa.array(nodes, pa.int64()), "n": pa.array(sizes, pa.int64()), "other": pa.array(others, pa.int64()), "place": pa.array(places, pa.int64())})
 
 
-def fits(r: str, s: str, i: str, j: str):
+def fits(r: str, s: str, i: str, j: str, rule: Rule):
     """Sizes that can be linked, and places in the two orders that the first shared shingle of linked sets can have: with
     o shared ones, at most r - o come before it."""
-    o = F.expr(f"div({PART} * ({r} + {s}) + {WHOLE + PART - 1}, {WHOLE + PART})")
-    return (WHOLE * F.least(r, s) >= PART * F.greatest(r, s)) & (F.col(i) <= F.col(r) - o) & (F.col(j) <= F.col(s) - o)
+    o = F.expr(f"div({rule.part} * ({r} + {s}) + {rule.whole + rule.part - 1}, {rule.whole + rule.part})")
+    return (rule.whole * F.least(r, s) >= rule.part * F.greatest(r, s)) & (F.col(i) <= F.col(r) - o) & (F.col(j) <= F.col(s) - o)
 
 
-def not_ruled_out(r: str, s: str, x: str, y: str):
-    """Sketches differ in no more bits than linked sets of these sizes may differ in shingles, 15 (r + s) / 185."""
+def not_ruled_out(r: str, s: str, x: str, y: str, rule: Rule):
+    """Sketches differ in no more bits than linked sets of these sizes may differ in shingles, (whole - part) (r + s) / (whole + part)."""
     bits = sum((F.bit_count(F.col(f"{x}{k}").bitwiseXOR(F.col(f"{y}{k}"))) for k in range(1, LANES)), F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0"))))
-    return (WHOLE + PART) * bits <= (WHOLE - PART) * (F.col(r) + F.col(s))
+    return (rule.whole + rule.part) * bits <= (rule.whole - rule.part) * (F.col(r) + F.col(s))
 
 
 def lanes(name: str):
     return [F.col("sketch")[k].alias(f"{name}{k}") for k in range(LANES)]
 
 
-def _pairs_of(group: pa.Table) -> pa.Table:
+def _pairs_of(group: pa.Table, rule: Rule) -> pa.Table:
     """Neighbours in a list by size, and every set with the middle one: at most two candidates per entry."""
     h, node, n, place = (group.column(c).to_numpy() for c in ("h", "node", "n", "place"))
     order = np.lexsort((node, n, h))
@@ -300,8 +316,8 @@ def _pairs_of(group: pa.Table) -> pa.Table:
     a = np.concatenate([every[:-1][h[1:] == h[:-1]], every])
     b = np.concatenate([every[1:][h[1:] == h[:-1]], middle])
     x, y = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-    shared = -(-PART * (n[a] + n[b]) // (WHOLE + PART))
-    good = (x != y) & (WHOLE * np.minimum(n[a], n[b]) >= PART * np.maximum(n[a], n[b])) & (place[a] <= n[a] - shared) & (place[b] <= n[b] - shared)
+    shared = -(-rule.part * (n[a] + n[b]) // (rule.whole + rule.part))
+    good = (x != y) & (rule.whole * np.minimum(n[a], n[b]) >= rule.part * np.maximum(n[a], n[b])) & (place[a] <= n[a] - shared) & (place[b] <= n[b] - shared)
     both = np.stack([x[good], y[good]], 1)
     if len(both):
         both = both[np.lexsort((both[:, 1], both[:, 0]))]
@@ -309,13 +325,13 @@ def _pairs_of(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(both[:, 0] if len(both) else np.zeros(0, np.int64)), "b": pa.array(both[:, 1] if len(both) else np.zeros(0, np.int64))})
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "text"):
-        sets = sets_of(b.column("text"))
+        sets = sets_of(b.column("text"), rule.words)
         yield pa.record_batch({"node": pa.array([node_of(x)[0] for x in sets], pa.int64()), "set": pa.array([x.tobytes() for x in sets], pa.binary())})
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keep = []
         for x, y in zip(b.column("x"), b.column("y")):
@@ -323,28 +339,30 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(x) > len(y):
                 x, y = y, x
             shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            keep.append(WHOLE * shared >= PART * (len(x) + len(y) - shared))
+            keep.append(rule.whole * shared >= rule.part * (len(x) + len(y) - shared))
         yield pa.record_batch([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 class Join:
     """The steps of the join over one table of documents."""
 
-    def __init__(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id"):
+    def __init__(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE):
+        self.rule = rule
         self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-        self.rows = stored(self.docs.mapInArrow(_signatures, f"doc_id {self.docs.schema['doc_id'].dataType.simpleString()}, n long, node long, check long, sketch array<long>"), "signatures")
+        self.rows = stored(self.docs.mapInArrow(lambda bs: _signatures(bs, rule), f"doc_id {self.docs.schema['doc_id'].dataType.simpleString()}, n long, node long, check long, sketch array<long>"), "signatures")
         self.nodes = stored(self.rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
 
     def lists(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(h, node, n) of the lists of other, and of frequent shingles, with two sets or more; links between light sets."""
         sizes = {r.n: r["count"] for r in self.rows.where("n between 1 and 64").groupBy("n").count().collect()}
         total = self.rows.agg(F.sum("n")).first()[0] or 0
-        top = boundary(sizes)
-        sent = self.docs.sparkSession.sparkContext.broadcast(frequent(self.docs, total))
+        rule = self.rule
+        top = boundary(sizes, rule=rule)
+        sent = self.docs.sparkSession.sparkContext.broadcast(frequent(self.docs, total, rule=rule))
         buckets = 1 << max(5, (total >> 21).bit_length())
-        packed = self.docs.mapInArrow(lambda bs: _cold(bs, sent.value, top, buckets), "bucket int, h binary, node binary, n binary, place binary")
+        packed = self.docs.mapInArrow(lambda bs: _cold(bs, sent.value, top, buckets, rule), "bucket int, h binary, node binary, n binary, place binary")
         cold = stored(packed.groupBy("bucket").applyInArrow(_lists, "h long, node long, n long, place long"), "lists")
-        rest = stored(self.docs.mapInArrow(lambda bs: _hot_and_light(bs, sent.value, top), "h long, node long, n long, other long, place long"), "lists")
+        rest = stored(self.docs.mapInArrow(lambda bs: _hot_and_light(bs, sent.value, top, rule), "h long, node long, n long, other long, place long"), "lists")
         ends = rest.where("other = 0").groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
         hot = rest.where("other = 0").join(ends.select(F.col("h").alias("k")), F.col("h") == F.col("k")).select("h", "node", "n", "place")
         light = rest.where("other > 0")
@@ -356,30 +374,32 @@ class Join:
         """The pairs (a, b) that are linked: first by their sketches, then on their sets."""
         side = lambda k, n, x: self.nodes.select(F.col("node").alias(f"_{k}"), F.col("n").alias(n), *lanes(x))
         near = pairs.distinct().join(side("a", "r", "x"), F.col("a") == F.col("_a")).join(side("b", "s", "y"), F.col("b") == F.col("_b"))
-        return self.verify(near.where(not_ruled_out("r", "s", "x", "y")).select("a", "b"))
+        return self.verify(near.where(not_ruled_out("r", "s", "x", "y", self.rule)).select("a", "b"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are linked on their sets. Only sets that stand in a pair are made, each once."""
+        rule = self.rule
         pairs = stored(pairs.distinct(), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
         ids = stored(self.nodes.join(wanted, F.col("node") == F.col("k")).select(F.col("doc").alias("id")).distinct(), "wanted")
         few = ids.count() <= 1 << 20  # 16 MB at most
         near = self.docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
         # a shared id can bring other sets along; they meet no pair, and equal sets are kept once
-        sets = near.mapInArrow(_sets, "node long, set binary").dropDuplicates(["node"])
+        sets = near.mapInArrow(lambda bs: _sets(bs, rule), "node long, set binary").dropDuplicates(["node"])
         x = sets.select(F.col("node").alias("na"), F.col("set").alias("x"))
         y = sets.select(F.col("node").alias("nb"), F.col("set").alias("y"))
         both = pairs.join(x, F.col("a") == F.col("na")).join(y, F.col("b") == F.col("nb")).select("a", "b", "x", "y")
-        return stored(both.mapInArrow(_linked, "a long, b long"), "links")
+        return stored(both.mapInArrow(lambda bs: _linked(bs, rule), "a long, b long"), "links")
 
     def roots(self) -> DataFrame:
         """node, root for every node with a link."""
+        rule = self.rule
         cold, hot, links = self.lists()
         buckets = max(32, cold.count() >> 18)
-        first = cold.withColumn("_b", F.pmod(F.xxhash64("h"), F.lit(buckets))).groupBy("_b").applyInArrow(lambda g: _pairs_of(g.select(["h", "node", "n", "place"])), "a long, b long")
+        first = cold.withColumn("_b", F.pmod(F.xxhash64("h"), F.lit(buckets))).groupBy("_b").applyInArrow(lambda g: _pairs_of(g.select(["h", "node", "n", "place"]), rule), "a long, b long")
         one = F.struct("node", "n", "place")
         ends = hot.groupBy("h").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).withColumnRenamed("h", "k")
-        star = hot.join(ends, F.col("h") == F.col("k")).select("node", "n", "place", F.explode(F.array("lo", "hi")).alias("e")).where(F.col("node") != F.col("e.node")).where(fits("n", "e.n", "place", "e.place"))
+        star = hot.join(ends, F.col("h") == F.col("k")).select("node", "n", "place", F.explode(F.array("lo", "hi")).alias("e")).where(F.col("node") != F.col("e.node")).where(fits("n", "e.n", "place", "e.place", rule))
         star = star.select(F.least("node", "e.node").alias("a"), F.greatest("node", "e.node").alias("b"))
         links = stored(links.unionByName(self.check(first.unionByName(star))), "links")
         rest = self._apart(cold.unionByName(hot), components(links))
@@ -388,16 +408,17 @@ class Join:
     def _apart(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
         """The pairs of every list whose sets are not in one group yet and not ruled out by places or sketches; what is
         ruled out never leaves the join."""
+        rule = self.rule
         e = lists.join(roots.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select("h", "node", "n", "place", F.coalesce("root", "node").alias("root"))
         e = stored(e, "lists")
         open_ = e.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("h").alias("k"))
         e = e.join(open_, F.col("h") == F.col("k")).select("h", "node", "n", "place", "root")
         # in a list, a set can meet another one only if it is near enough to its start for a partner of some size
-        e = e.where(f"place <= n - div({PART} * n + {WHOLE - 1}, {WHOLE})")
+        e = e.where(f"place <= n - div({rule.part} * n + {rule.whole - 1}, {rule.whole})")
         sketches = self.nodes.select(F.col("node").alias("v"), *lanes("x"))
         e = stored(e.join(sketches, F.col("node") == F.col("v")).drop("v"), "lists")
         o = e.toDF("h2", "node2", "n2", "place2", "root2", *[f"y{k}" for k in range(LANES)])
-        pairs = e.join(o, (F.col("h") == F.col("h2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & fits("n", "n2", "place", "place2") & not_ruled_out("n", "n2", "x", "y"))
+        pairs = e.join(o, (F.col("h") == F.col("h2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & fits("n", "n2", "place", "place2", rule) & not_ruled_out("n", "n2", "x", "y", rule))
         return pairs.select(F.col("node").alias("a"), F.col("node2").alias("b"))
 
     def named(self) -> DataFrame:
@@ -414,17 +435,17 @@ class Join:
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
-def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    return Join(docs, text, doc_id).groups()
+def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
+    return Join(docs, text, doc_id, rule).groups()
 
 
-def _tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tagged(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "text"):
-        sets = sets_of(b.column("text"))
+        sets = sets_of(b.column("text"), rule.words)
         yield pa.record_batch([*b.columns, pa.array([len(x) for x in sets], pa.int64()), pa.array([node_of(x)[0] for x in sets], pa.int64())], names=[*b.schema.names, "_n", "_node"])
 
 
-def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
     """The documents with all their columns, less all but one of every group: the one with the smallest id stays (NULL comes last).
 
     Texts are not shuffled: rows are told by their id, and those to drop are taken out by an anti join. Rows whose id is NULL or repeated
@@ -432,7 +453,7 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     """
     names = docs.columns
     plain = docs.toDF(*["text" if n == text else "doc_id" if n == doc_id else f"c{i}" for i, n in enumerate(names)])
-    join = Join(plain)
+    join = Join(plain, rule=rule)
     best = join.rows.where("n > 0").select("doc_id", F.col("node").alias("k")).distinct()
     named = join.named().select("node", "root")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
@@ -447,7 +468,7 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     if many.count():
         again = plain.join(many, F.col("doc_id").eqNullSafe(F.col("mid")), "left_semi")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in again.schema.fields)
-        again = again.mapInArrow(_tagged, f"{ddl}, _n long, _node long")
+        again = again.mapInArrow(lambda bs: _tagged(bs, rule), f"{ddl}, _n long, _node long")
         stay = again.join(best, F.col("doc_id").eqNullSafe(F.col("bid")) & (F.col("_node") == F.col("bnode")), "left_semi").dropDuplicates(["doc_id", "_node"])
         out = out.unionByName(stay.where("_n > 0").drop("_n", "_node")).unionByName(again.where("_n = 0").drop("_n", "_node"))
     return out.toDF(*names)

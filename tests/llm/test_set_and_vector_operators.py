@@ -128,6 +128,44 @@ def test_one_stays_of_rows_that_share_an_id(spark):
     assert sorted((r.doc_id or 0, r.text.lower()) for r in got) == [(0, "other thing here now then"), (1, "a b c d e f g h i j"), (1, "q w e r t y u i o"), (9, "solo words")]
 
 
+def test_near_copies_of_the_stage(spark, words):
+    """Five words and four fifths: four scattered words or a block of fifteen changed among 200 is a near copy, though not by the rule of the query."""
+    import corpus_pipeline
+
+    text = lambda changed, name: " ".join(f"{name}x{i}" if i in changed else f"{name}{i}" for i in range(200))
+    rows = [(1, text((), "a")), (2, text((30, 70, 110, 150), "a")), (3, text((), "b")), (4, text(range(90, 105), "b")), (5, text((), "c")), (6, text((20, 50, 80, 110, 140, 170), "c"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, df, "").collect()) == [1, 3, 5, 6]
+    assert sorted(r.doc_id for r in jaccard.keep_one(df).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+@pytest.mark.parametrize("length, edits", [((6, 30), 1), ((60, 120), 3)])
+def test_groups_under_another_rule(spark, words, length, edits):
+    """Five words and 80 of 100 against all pairs, on families of copies of copies with light and heavy sets."""
+    rnd, texts = random.Random(length[0]), {}
+    for family in range(6):
+        base = [f"w{rnd.randint(0, 400)}" for _ in range(rnd.randint(*length))]
+        for _ in range(30):
+            w = list(base)
+            for _ in range(rnd.randint(0, edits)):
+                w[rnd.randrange(len(w))] = f"w{rnd.randint(0, 400)}"
+            texts[len(texts)] = " ".join(w)
+            base = w if rnd.random() < 0.3 else base
+    rule = jaccard.Rule(5, 80)
+    sets = {k: frozenset(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for k, t in texts.items()}
+    root = {k: k for k in texts}
+    for _ in texts:
+        before = dict(root)
+        for a in texts:
+            for b in texts:
+                if b < a and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+        if before == root:
+            break
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), rule=rule).collect()}
+    assert got == {k: (len(sets[k]), root[k]) for k in texts}
+
+
 def test_components(spark):
     rnd = random.Random(1)
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 1000 + i) for i in range(300)] + [(rnd.randint(2000, 2400), rnd.randint(2000, 2400)) for _ in range(250)]
