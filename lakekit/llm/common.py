@@ -37,6 +37,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a ``stored`` table that a later one has taken the place of."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; an id that is NULL counts as the empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

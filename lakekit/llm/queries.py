@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from . import ctw, fixity, jaccard, langid, mixing, pieces_codec, quality, secrets, token_trees, topk
+from . import codes, ctw, fixity, jaccard, langid, mixing, phrases, pieces_codec, quality, secrets, token_trees, topk, trie
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +193,77 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sentencepiece")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_codec.encode(table(spark, sf_dir, "documents"))
+
+
+@query("op11_repeated_phrases", r"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+win as (select rid, i, array_to_string(ws[i:i + 34], ' ') as g from (select rid, ws, unnest(generate_series(1, len(ws) - 34)) as i from d)),
+dup as (select rid, i from (select rid, i, count(*) over (partition by g) as k from win) where k > 1),
+gone as (select distinct rid, unnest(generate_series(i, i + 34)) as p from dup),
+word as (select rid, unnest(ws) as w, unnest(generate_series(1, len(ws))) as p from d),
+kept as (select rid, count(*) as n, string_agg(w, ' ' order by p) as t from word anti join gone using (rid, p) group by rid)
+select doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (rid)
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = phrases.remove_repeats(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+CRC32 = "xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)), lambda a, b: list_reduce(list_prepend(xor(a, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda u, v: xor(u >> 1, 3988292384::bigint * (u & 1)))), 4294967295::bigint)"
+
+
+@query("op12_prefix_trie", f"""
+with t as (
+  select conv_id as c, {{'r': coalesce(role, ''), 'x': coalesce(text, '')}} as m,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+  from conversations where conv_id is not null),
+o as (select c, list(m order by pos) as ms, {CRC32} % 9 as h from t group by c),
+r as (select o.c, list_concat(coalesce(b.ms[1:o.h], []), o.ms[o.h + 1:]) as ms from o left join o b on b.c = o.c - o.c % 5),
+p as (select c, d, len(ms) as n, ms[1:d] as k from (select c, ms, unnest(range(0, len(ms) + 1)) as d from r)),
+g as (
+  select k, any_value(d) as depth, min(c) as rep, count(*) as n_convs, case when any_value(d) > 0 then strlen(any_value(k)[-1].x) else 0 end as bytes,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where d = n), '')) as ends_sha256
+  from p group by k),
+kids as (select k[1:depth - 1] as k, count(*) as n from g where depth > 0 group by all),
+below as (
+  select v.k[1:i] as k, sum((n_convs - 1) * bytes) as saved, count(*) filter (where kids.n is null) as leaves
+  from (select *, unnest(range(0, depth + 1)) as i from g) v left join kids on v.k = kids.k group by all)
+select g.rep as conv_id, g.depth::bigint as depth, up.rep as parent_conv_id, g.n_convs::bigint as n_convs, coalesce(kids.n, 0)::bigint as n_children, leaves::bigint as n_leaves, saved::bigint as saved_tokens, g.ends_sha256
+from g join below on g.k = below.k left join kids on g.k = kids.k left join g up on g.depth > 0 and up.k = g.k[1:g.depth - 1] and up.depth = g.depth - 1
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.turns_of(table(spark, sf_dir, "conversations"))
+    c = F.col("conv")
+    return trie.prefix_trie(*trie.spliced(turns, c - c % 5, F.crc32(c.cast("string").cast("binary")) % 9, 8))
+
+
+def code_rounds(rounds: int) -> str:
+    """Rounds of assignment and update over x (rid, p, x), from the codebook k0 (p, e, x)."""
+    nearest = lambda i: f"""
+a{i} as materialized (
+  select rid, p, x, best[1] as d, best[2]::bigint as e
+  from (select rid, x.p, any_value(x.x) as x, min([list_inner_product(x.x, x.x) + list_inner_product(k.x, k.x) - 2 * list_inner_product(x.x, k.x), k.e::double]) as best from x join k{i} k on x.p = k.p group by rid, x.p)),"""
+    update = lambda i: f"""
+k{i + 1} as materialized (
+  select k.p, k.e, coalesce(m.x, k.x) as x from k{i} k left join (
+    select p, e, list(floor(s / n) order by j) as x from (
+      select p, e, j, sum(c) as s, count(*) as n from (select p, e, unnest(x) as c, unnest(generate_series(1, len(x))) as j from a{i}) group by all) group by all) m
+  on k.p = m.p and k.e = m.e),"""
+    return "".join(nearest(i) + update(i) for i in range(rounds)) + nearest(rounds)
+
+
+@query("op13_vector_codes", f"""
+with v as (
+  select row_number() over () as rid, vec_id, label, list_transform(embedding, lambda c: floor(1024 * c::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+x as materialized (select rid, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] as x from (select rid, v, unnest(range(0, 4)) as p from v)),
+k0 as materialized (select p, e, x from x join (select rid, row_number() over (order by vec_id, v) - 1 as e from v qualify e < 256) using (rid)),
+{code_rounds(4)}
+coded as (select rid, string_agg(lower(printf('%02x', e)), '' order by p) as code, sum(d)::bigint as error from a4 group by rid),
+books as (select sha256(string_agg(c::bigint::varchar, ',' order by p, e, j)) as s from (select p, e, unnest(x) as c, unnest(generate_series(1, len(x))) as j from k4))
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, (select s from books) as codebooks_sha256
+from v join coded using (rid)
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))

@@ -28,11 +28,11 @@ STEP = 8
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 
-def whole(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
-    """(id, v): usable vectors times ``scale``; the floor is taken where they are packed, as doubles, which hold it exactly."""
+def whole(vectors: DataFrame, vec_id: str, embedding: str, scale: int, *more: str) -> DataFrame:
+    """(id, v, more columns): usable vectors times ``scale``; the floor is taken where they are packed, as doubles, which hold it exactly."""
     v = F.transform(F.col(embedding), lambda x: F.lit(float(scale)) * x.cast("double"))
     fine = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    return vectors.where(F.col(embedding).isNotNull() & fine).select(F.col(vec_id).cast("long").alias("id"), v.alias("v"))
+    return vectors.where(F.col(embedding).isNotNull() & fine).select(F.col(vec_id).cast("long").alias("id"), v.alias("v"), *more)
 
 
 def _pack(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
