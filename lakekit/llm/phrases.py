@@ -6,11 +6,13 @@ same document or another. Every word covered by a recurring window goes; windows
 1. *Anchors.* Of the runs of ``anchor`` (8) words inside a window, the one with the smallest hash (the first, on ties) is its
    anchor. Equal windows have equal anchors at equal places, and neighbouring windows mostly share theirs, so about one word in
    fourteen is sent. Texts are written once in blocks of about ``block_bytes``; every block reports its distinct anchors with counts.
-2. *Confirmed passages.* Only windows around anchors that are found twice can recur. They are hashed, counted once per block and
-   summed over the blocks; windows found twice are confirmed, with their anchor as a phrase of text.
+2. *Confirmed passages.* Only windows around anchors that are found twice can recur. The windows around one place of an anchor are
+   its surroundings, with one hash for all. Surroundings found twice are confirmed as a whole, which settles copies with one row per
+   block; only anchors that stand in different surroundings have their windows counted one by one. The anchor of what is confirmed is
+   a phrase of text.
 3. *Automata.* There is one shard per block of documents: an Aho-Corasick automaton of the confirmed phrases that this block
    holds. All documents are streamed through the automaton of their block, which finds every occurrence of every phrase; the
-   confirmed windows around an occurrence are marked. A phrase is compared as text, its window by 64 bits of hash beside it.
+   confirmed windows around an occurrence are marked. A phrase is compared as text, what is around it by 64 bits of hash beside it.
 
 Shards follow the documents, so each text meets one automaton whatever the size of the corpus, and an automaton is no larger than the
 text of its block. Nothing is broadcast or collected. A passage in very many documents is one row per block at most.
@@ -107,27 +109,47 @@ def _text(group: pa.Table) -> pa.Array:
     return col.chunk(0) if isinstance(col, pa.ChunkedArray) else col
 
 
-_CONFIRM = "_block long, _g long, _phrase string, _w array<long>, _n array<int>"
+class Places(NamedTuple):
+    """Where anchors stand: the anchor's first word, its windows (from, to) and the hash of all these."""
+
+    at: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    around: np.ndarray
+
+
+def places_of(w: Words) -> Places:
+    first = runs(w.anchor)
+    last = np.append(first[1:], len(w.anchor))
+    up, down = _powers(len(w.hash) + 1)
+    sums = np.zeros(len(w.hash) + 1, np.uint64)
+    np.cumsum(w.hash * up[: len(w.hash)], out=sums[1:])
+    return Places(w.anchor[first], first, last, mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)))
+
+
+_CONFIRM = "_block long, _g long, _phrase string, _around long, _n int, _w array<long>"
 
 
 def _windows(docs: pa.Table, found: pa.Table, window: int, anchor: int) -> pa.Table:
-    """Per anchor that recurs: its phrase, and its windows in this block with their number of places (2: two or more)."""
-    schema = pa.schema([("_block", pa.int64()), ("_g", pa.int64()), ("_phrase", pa.string()), ("_w", pa.list_(pa.int64())), ("_n", pa.list_(pa.int32()))])
+    """Anchors that recur, with their surroundings in this block: the phrase, how many places there are (2: two or more), the windows."""
+    schema = pa.schema([("_block", pa.int64()), ("_g", pa.int64()), ("_phrase", pa.string()), ("_around", pa.int64()), ("_n", pa.int32()), ("_w", pa.list_(pa.int64()))])
     if not docs.num_rows or not found.num_rows:
         return schema.empty_table()
     w = words_of(_text(docs), window, anchor)
-    here = np.isin(w.gram[w.anchor], found.column("_g").to_numpy().view(np.uint64))
-    place, h = w.anchor[here], w.hash[here]
-    g = w.gram[place]
-    order = np.lexsort((h, g))
-    g, h, place = g[order], h[order], place[order]
-    pair = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (h[1:] != h[:-1])))) if len(g) else np.zeros(0, np.int64)
-    n = np.minimum(np.diff(np.append(pair, len(g))), 2).astype(np.int32)
-    g, h, place = g[pair], h[pair], place[pair]
-    cut = runs(g)
-    lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(np.append(cut, len(g)).astype(np.int32)), pa.array(x, kind))
-    phrase = [w.data[w.start[p] : w.stop[p + anchor - 1]].tobytes().decode() for p in place[cut]]
-    return pa.table([pa.array(np.full(len(cut), docs.column("_block")[0].as_py())), pa.array(g[cut].view(np.int64)), pa.array(phrase, pa.string()), lists(h.view(np.int64), pa.int64()), lists(n, pa.int32())], schema=schema)
+    p = places_of(w)
+    g = w.gram[p.at]
+    here = np.flatnonzero(np.isin(g, found.column("_g").to_numpy().view(np.uint64)))
+    here = here[np.lexsort((p.around[here], g[here]))]
+    new = (g[here][1:] != g[here][:-1]) | (p.around[here][1:] != p.around[here][:-1])
+    cut = np.flatnonzero(np.concatenate(([True], new))) if len(here) else np.zeros(0, np.int64)
+    n = np.minimum(np.diff(np.append(cut, len(here))), 2)
+    here = here[cut]
+    size = p.last[here] - p.first[here]
+    ends = np.concatenate(([0], np.cumsum(size)))
+    each = np.arange(ends[-1]) + np.repeat(p.first[here] - ends[:-1], size)
+    phrase = [w.data[w.start[a] : w.stop[a + anchor - 1]].tobytes().decode() for a in p.at[here]]
+    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(w.hash[each].view(np.int64)))
+    return pa.table([pa.array(np.full(len(here), docs.column("_block")[0].as_py())), pa.array(g[here].view(np.int64)), pa.array(phrase, pa.string()), pa.array(p.around[here].view(np.int64)), pa.array(n, pa.int32()), lists], schema=schema)
 
 
 def automaton(phrases: Sequence[str]) -> ahocorasick.Automaton:
@@ -139,24 +161,33 @@ def automaton(phrases: Sequence[str]) -> ahocorasick.Automaton:
     return a
 
 
-def _covered(w: Words, phrases: dict[int, str], windows: dict[int, list[int]], window: int, anchor: int) -> np.ndarray:
+def _occurrences(w: Words, phrases: Sequence[str], anchor: int) -> np.ndarray:
+    """For every word, which phrase starts there, or -1: all texts of the block in one run of the automaton."""
+    first = np.append(w.start, len(w.data))
+    rows = [w.data[first[a] : first[b]].tobytes().decode() for a, b in zip(w.ends[:-1], w.ends[1:])]
+    text = " " + "\n ".join(rows)  # line feeds part the texts; no phrase holds one
+    chars = np.concatenate(([0], np.cumsum((w.data & 0xC0) != 0x80)))[w.start] + 1 + 2 * np.repeat(np.arange(len(rows)), np.diff(w.ends))
+    hits = np.array(list(automaton(phrases).iter(text)), np.int64).reshape(-1, 2)
+    at = np.full(len(w.start), -1)
+    at[np.searchsorted(chars, hits[:, 0]) - anchor] = hits[:, 1]
+    return at
+
+
+def _covered(w: Words, found: pa.Table, window: int, anchor: int) -> np.ndarray:
     """Which words lie in a confirmed window around an occurrence of its phrase."""
     mark = np.zeros(len(w.start) + 1, np.int64)
-    known = [g for g in phrases if g in windows]
-    if known and len(w.at):
-        # one text for the block: documents are parted by line feeds, which no phrase holds
-        joined = w.data.copy()
-        rows = [joined[a:b].tobytes().decode() for a, b in zip(np.append(w.start, len(joined))[w.ends[:-1]], np.append(w.start, len(joined))[w.ends[1:]])]
-        text = " " + "\n ".join(rows)
-        chars = np.concatenate([[0], np.cumsum((joined & 0xC0) != 0x80)])[w.start] + 1
-        row = np.repeat(np.arange(len(w.ends) - 1), np.diff(w.ends))
-        chars = chars + 2 * row
-        phrase_at = np.full(len(w.start), -1)
-        hits = np.array([(end, i) for end, i in automaton([phrases[g] for g in known]).iter(text)], np.int64).reshape(-1, 2)
-        phrase_at[np.searchsorted(chars, hits[:, 0]) - anchor] = hits[:, 1]
-        pairs = np.concatenate([np.array(windows[g], np.int64).view(np.uint64) ^ mix(np.array([i + 1], np.uint64)) for i, g in enumerate(known)])
-        at = phrase_at[w.anchor]
-        sure = (at >= 0) & np.isin(w.hash ^ mix((at + 1).astype(np.uint64)), pairs)
+    named = found.filter(found.column("_phrase").is_valid())
+    phrases = dict(zip(named.column("_g").to_pylist(), named.column("_phrase").to_pylist()))
+    if phrases and len(w.at):
+        p = places_of(w)
+        which = _occurrences(w, list(phrases.values()), anchor)[p.at]
+        number = {g: i for i, g in enumerate(phrases)}
+        index = np.array([number[g] for g in found.column("_g").to_pylist()], np.uint64)
+        kind, key = found.column("_kind").to_numpy(), found.column("_key").fill_null(0).to_numpy().view(np.uint64)
+        both = key ^ mix(index + np.uint64(1))
+        whole = (which >= 0) & np.isin(p.around ^ mix((which + 1).astype(np.uint64)), both[kind == 0])
+        each = np.repeat(np.where(whole, -1, which), p.last - p.first)
+        sure = np.repeat(whole, p.last - p.first) | (each >= 0) & np.isin(w.hash ^ mix((each + 1).astype(np.uint64)), both[kind == 1])
         np.add.at(mark, w.at[sure], 1)
         np.add.at(mark, w.at[sure] + window, -1)
     return np.cumsum(mark)[:-1] > 0
@@ -166,13 +197,7 @@ def _locate(docs: pa.Table, found: pa.Table, window: int, anchor: int, schema: p
     if not docs.num_rows:
         return schema.empty_table()
     w = words_of(_text(docs), window, anchor)
-    phrases, windows = {}, {}
-    for g, phrase, h in zip(*(found.column(c).to_pylist() for c in ("_g", "_phrase", "_h"))):
-        if phrase is not None:
-            phrases[g] = phrase
-        else:
-            windows.setdefault(g, []).append(h)
-    gone = _covered(w, phrases, windows, window, anchor)
+    gone = _covered(w, found, window, anchor)
     edge = np.concatenate(([0], np.cumsum(gone)))
     n_removed = edge[w.ends[1:]] - edge[w.ends[:-1]]
     byte_kept = np.repeat(~gone, w.stop - w.start + 1)
@@ -200,10 +225,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("
     maybe = anchors.join(often, "_g", "left_semi").select(F.col("_block").alias("_b"), "_g")
     slim = blocks.select("_block", "text")
     found = stored(slim.groupBy("_block").cogroup(maybe.groupBy("_b")).applyInArrow(lambda d, f: _windows(d, f, window, anchor), _CONFIRM), "passages")
-    each = found.select("_block", "_g", F.inline(F.arrays_zip(F.col("_w").alias("_h"), F.col("_n").alias("_k"))))
-    sure = each.groupBy("_g", "_h").agg(F.sum("_k").alias("k")).where("k > 1")
-    confirmed = each.join(sure, ["_g", "_h"], "left_semi").select("_block", "_g", "_h", F.lit(None).cast("string").alias("_phrase"))
-    shard = confirmed.unionByName(found.select("_block", "_g", F.lit(None).cast("long").alias("_h"), "_phrase"))
+    # _kind 0: surroundings confirmed as a whole; 1: one window; 2: a phrase whose windows were counted one by one
+    by_place = found.groupBy("_g", "_around").agg(F.sum("_n").alias("n"))
+    whole = by_place.where("n > 1").select("_g", "_around")
+    varied = by_place.groupBy("_g").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    null = F.lit(None)
+    settled = found.join(whole, ["_g", "_around"], "left_semi").select("_block", "_g", F.lit(0).alias("_kind"), F.col("_around").alias("_key"), "_phrase")
+    mixed = stored(found.join(varied, "_g", "left_semi"), "varied")
+    open_ = mixed.join(whole, ["_g", "_around"], "left_anti")
+    counted = mixed.select("_g", "_n", F.explode("_w").alias("_key")).groupBy("_g", "_key").agg(F.sum("_n").alias("n")).where("n > 1")
+    single = open_.select("_block", "_g", F.explode("_w").alias("_key")).join(counted, ["_g", "_key"], "left_semi").select("_block", "_g", F.lit(1).alias("_kind"), "_key", null.cast("string").alias("_phrase"))
+    named = open_.select("_block", "_g", F.lit(2).alias("_kind"), null.cast("long").alias("_key"), "_phrase")
+    shard = stored(settled.unionByName(single).unionByName(named), "shards")
     out = T.StructType(base.schema.fields + T.StructType.fromDDL("n_words long, n_removed long, spans array<struct<start: long, stop: long>>, kept string").fields)
     arrow = to_arrow_schema(out)
     located = blocks.select(*passed, "text", "_block").groupBy("_block").cogroup(shard.groupBy("_block"))
