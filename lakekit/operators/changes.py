@@ -114,12 +114,37 @@ def comment_column(df: DataFrame, name: str, comment: str) -> DataFrame:
     return df.withMetadata(name, {**(df.schema[name].metadata or {}), "comment": comment})
 
 
+def _comparable(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Columns as values that can be hashed: maps as sorted entries, variants as JSON text."""
+    def of(c: Column, t: T.DataType) -> Column:
+        if isinstance(t, T.MapType):
+            return F.to_json(F.array_sort(F.transform(F.map_entries(c), lambda e: F.to_json(e))))
+        if isinstance(t, T.VariantType) or "map<" in t.simpleString() or "variant" in t.simpleString():
+            return F.to_json(c) if not isinstance(t, T.VariantType) else c.cast("string")
+        return c
+
+    return [of(F.col(c), df.schema[c].dataType) for c in columns]
+
+
+def surplus(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(_row, _side, _h, _turn by key, side): rows that one snapshot holds more often than the other; _side is old or new.
+
+    Equal rows cancel each other, by two hashes of the whole row, counted on the map side whatever their number.
+    """
+    cols = new.columns
+    tagged = lambda df, n: df.select(F.struct(*cols).alias("_row"), *[F.xxhash64(F.lit(i), *_comparable(df, cols)).alias(f"_h{i}") for i in (1, 2)], F.lit(n).alias("_n"))
+    net = tagged(old.select(*cols), -1).unionByName(tagged(new, 1)).groupBy("_h1", "_h2").agg(F.sum("_n").alias("_n"), F.first("_row").alias("_row")).where("_n <> 0")
+    copies = net.select("_row", "_h1", "_h2", F.when(F.col("_n") > 0, "new").otherwise("old").alias("_side"), F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n"))).alias("_copy"))
+    w = W.partitionBy(*[F.col("_row")[k] for k in key], "_side").orderBy("_h1", "_h2", "_copy")
+    return copies.withColumn("_turn", F.row_number().over(w))
+
+
 def diff(old: DataFrame, new: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
     """Row changes between two snapshots with ``_change_type``; one update gives two rows.
 
-    With a key: insert, delete, update_preimage, update_postimage. Rows that share a key are numbered by a hash of the
-    row and compared number by number, so a key that is not unique gives no pairs of all with all. Without a key the
-    snapshots are compared as bags, which can only tell inserts from deletes.
+    With a key: insert, delete, update_preimage, update_postimage. Equal rows are taken off first, so a row that stands in both
+    snapshots is no change, however many rows share its key. What is left of a key is paired in the order of a hash, as far as both
+    sides have rows; the rest are inserts or deletes. Without a key the snapshots are compared as bags, which can only tell inserts from deletes.
     """
     cols = new.columns
     old = old.select(*cols)
@@ -127,19 +152,17 @@ def diff(old: DataFrame, new: DataFrame, key: str | Sequence[str] | None) -> Dat
         ins = new.exceptAll(old).withColumn("_change_type", F.lit("insert"))
         return ins.unionByName(old.exceptAll(new).withColumn("_change_type", F.lit("delete")))
     key = [key] if isinstance(key, str) else list(key)
-    plain = [c for c in cols if not isinstance(new.schema[c].dataType, (T.MapType, T.VariantType))]
-    turn = F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64(*plain)))
-    o = old.withColumn("_turn", turn).select(*[F.col(k).alias(f"_ok_{k}") for k in [*key, "_turn"]], F.struct(*cols).alias("_o"))
-    n = new.withColumn("_turn", turn).select(*[F.col(k).alias(f"_nk_{k}") for k in [*key, "_turn"]], F.struct(*cols).alias("_n"))
-    cond = [F.col(f"_ok_{k}").eqNullSafe(F.col(f"_nk_{k}")) for k in [*key, "_turn"]]
-    j = o.join(n, cond, "full_outer").where(~F.col("_o").eqNullSafe(F.col("_n")))
+    left = surplus(old, new, key)
+    by = [F.col("_row")[k].alias(f"_k_{k}") for k in key]
+    side = lambda s: F.max_by("_row", F.when(F.col("_side") == s, 1)).alias(f"_{s}")
+    pairs = left.groupBy(*by, "_turn").agg(side("old"), side("new"))
     tag = lambda c, t: F.struct(F.col(c).alias("row"), F.lit(t).alias("t"))
     images = (
-        F.when(F.col("_o").isNull(), F.array(tag("_n", "insert")))
-        .when(F.col("_n").isNull(), F.array(tag("_o", "delete")))
-        .otherwise(F.array(tag("_o", "update_preimage"), tag("_n", "update_postimage")))
+        F.when(F.col("_old").isNull(), F.array(tag("_new", "insert")))
+        .when(F.col("_new").isNull(), F.array(tag("_old", "delete")))
+        .otherwise(F.array(tag("_old", "update_preimage"), tag("_new", "update_postimage")))
     )
-    return j.select(F.explode(images).alias("x")).select("x.row.*", F.col("x.t").alias("_change_type"))
+    return pairs.select(F.explode(images).alias("x")).select("x.row.*", F.col("x.t").alias("_change_type"))
 
 
 def apply_diff(old: DataFrame, changes: DataFrame, key: str | Sequence[str]) -> DataFrame:

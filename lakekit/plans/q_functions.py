@@ -128,31 +128,32 @@ def f18(spark, d):
 
 
 def _doc():
-    valve = lambda code: F.struct(F.col("p_name").alias("tag"), code.alias("code"))
-    plant = F.struct(
-        F.struct(F.col("p_brand").alias("maker"), F.col("p_size").alias("watts")).alias("motor"),
-        F.array(valve(F.lit(None).cast("string")), valve(F.col("p_type")), valve(F.lit("x"))).alias("valves"),
-    )
-    return F.to_json(F.struct(plant.alias("plant"), F.col("p_name").alias("site"), F.col("p_partkey").alias("opened on"), F.col("p_type").alias("iot:uid"))).alias("raw")
+    """A document per part: numbers in nested arrays whose length depends on the size, marks that only some elements have, odd names."""
+    n = F.col("p_size") % 4
+    cells = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct((i * 10 + n).alias("at"), F.when((i + F.col("p_partkey")) % 2 == 0, F.concat(F.lit("m"), i.cast("string"))).alias("mark")))
+    deep = F.struct(F.array(F.array(F.col("p_partkey")), F.array(F.col("p_size"), F.col("p_size") + 1)).alias("pair of"), F.col("p_type").alias("k:ind"))
+    return F.to_json(F.struct(F.col("p_name").alias("lot"), F.struct(deep.alias("in")).alias("box"), cells.alias("cells"))).alias("raw")
 
 
 @query("f19_json_paths", """
-select p_partkey, p_name as site, '{"maker":"' || p_brand || '","watts":' || p_size || '}' as motor, cast(p_partkey as varchar) as opened, p_type as uid,
-  '{"tag":"' || p_name || '","code":"x"}' as third from part
+select p_partkey, p_name as lot, '[' || p_size || ',' || (p_size + 1) || ']' as pair, (p_size + 1)::varchar as second, p_type as kind, ((p_size % 4) * 10 + p_size % 4)::varchar as last_at,
+  cast(null as varchar) as absent from part
 """)
 def f19(spark, d):
-    r = load(spark, d, "part").select("p_partkey", _doc())
+    r = load(spark, d, "part").select("p_partkey", "p_size", _doc())
     p = lambda path: N.json_path("raw", path)
-    return r.select("p_partkey", p("$.site").alias("site"), p("$.plant.motor").alias("motor"), p("$['opened on']").alias("opened"), p("$['iot:uid']").alias("uid"), p("$.plant.valves[2]").alias("third"))
+    at = F.coalesce(*[F.when(F.col("p_size") % 4 == i, p(f"$.cells[{i}].at")) for i in range(4)])
+    return r.select("p_partkey", p("$.lot").alias("lot"), p("$.box.in['pair of'][1]").alias("pair"), p("$.box.in['pair of'][1][1]").alias("second"), p("$.box['in']['k:ind']").alias("kind"), at.alias("last_at"), p("$.box.out").alias("absent"))
 
 
 @query("f20_json_wildcard", """
-select p_partkey, cast(3 as integer) as n_kept, cast(2 as integer) as n_dropped, cast(null as varchar) as first_kept, p_type as first_dropped, p_type as second_kept from part
+with c as (select p_partkey, list_transform(range(0, p_size % 4 + 1), lambda i: case when (i + p_partkey) % 2 = 0 then 'm' || i end) as m from part)
+select p_partkey, len(m)::integer as n_kept, len(list_filter(m, lambda x: x is not null))::integer as n_dropped, m[1] as first_kept, list_filter(m, lambda x: x is not null)[1] as first_dropped, m[2] as second_kept from c
 """)
 def f20(spark, d):
     r = load(spark, d, "part").select("p_partkey", _doc())
-    r = r.select("p_partkey", N.json_paths("raw", "$.plant.valves", "code").alias("kept"), N.json_paths("raw", "$.plant.valves", "code", keep_missing=False).alias("dropped"))
-    return r.select("p_partkey", F.size("kept").alias("n_kept"), F.size("dropped").alias("n_dropped"), F.col("kept")[0].alias("first_kept"), F.col("dropped")[0].alias("first_dropped"), F.col("kept")[1].alias("second_kept"))
+    r = r.select("p_partkey", N.json_paths("raw", "$.cells", "mark").alias("kept"), N.json_paths("raw", "$.cells", "mark", keep_missing=False).alias("dropped"))
+    return r.select("p_partkey", F.size("kept").alias("n_kept"), F.size("dropped").alias("n_dropped"), F.get("kept", F.lit(0)).alias("first_kept"), F.get("dropped", F.lit(0)).alias("first_dropped"), F.get("kept", F.lit(1)).alias("second_kept"))
 
 
 @query("f21_nested_event_path", "select event_id, cast(event_id as varchar) as num_output_rows, event_type as first_name from events")

@@ -3,7 +3,7 @@ joined to nations the stores, events the weather and the product changes."""
 
 from __future__ import annotations
 
-from ..operators import quality as Q, scd
+from ..operators import pairs as PA, quality as Q, scd
 from ..sources.files import create_view
 from . import gold
 from .q_changes import SCD2_OUT, SCD2_SQL, change_log, history, _out
@@ -153,3 +153,20 @@ select t.n_sales, t.first_sale, b.item from t join b on b.l_orderkey = t.first_s
 def b12(spark, d):
     li, p = load(spark, d, "lineitem", "part")
     return gold.popular_combinations(li.join(p, li.l_partkey == p.p_partkey).select("l_orderkey", F.col("p_name").alias("item")), "l_orderkey", "item")
+
+
+@query("b12_popular_item_pairs", """
+with b as (select distinct l_orderkey as s, l_partkey as i from lineitem)
+select a.i as item_a, c.i as item_b, count(*) as n_sales from b a join b c on a.s = c.s and a.i < c.i group by all order by n_sales desc, item_a, item_b limit 20
+""")
+def b12_pairs(spark, d):
+    return PA.top_pairs(load(spark, d, "lineitem"), "l_orderkey", "l_partkey")
+
+
+@query("b12_popular_supplier_pairs", """
+with b as (select distinct o_custkey as s, l_suppkey as i from lineitem join orders on l_orderkey = o_orderkey)
+select a.i as item_a, c.i as item_b, count(*) as n_sales from b a join b c on a.s = c.s and a.i < c.i group by all order by n_sales desc, item_a, item_b limit 50
+""")
+def b12_suppliers(spark, d):
+    li, o = load(spark, d, "lineitem", "orders")
+    return PA.top_pairs(li.join(o, li.l_orderkey == o.o_orderkey), "o_custkey", "l_suppkey", k=50)

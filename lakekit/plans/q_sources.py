@@ -97,6 +97,20 @@ def s10(spark, d):
     return table.read()
 
 
+@query("s10_copy_into_csv_headers", """
+select s_suppkey::varchar || case when s_suppkey % 3 = 1 then '-x' else '' end as id, s_name as name, case when s_suppkey % 3 > 0 then s_acctbal end as balance, case when s_suppkey % 3 = 2 then s_nationkey end::integer as nation from supplier
+""")
+def s10_csv(spark, d):
+    """CSV files of three headers in one load: columns in other places, a column more, an id that is a number in some files only."""
+    src, table = workdir(spark, "s10csv"), VersionedTable(spark, workdir(spark, "s10t"))
+    s = load(spark, d, "supplier")
+    shapes = {0: ["s_suppkey id", "s_name name"], 1: ["s_acctbal balance", "concat(s_suppkey, '-x') id", "s_name name"], 2: ["s_name name", "s_nationkey nation", "s_suppkey id", "s_acctbal balance"]}
+    for rest, columns in shapes.items():
+        S.write_files(s.where(F.col("s_suppkey") % 3 == rest).selectExpr(*[c.rsplit(" ", 1)[0] + " as " + c.rsplit(" ", 1)[1] for c in columns]), f"{src}/{rest}", "csv", options={"header": "true"})
+    copy_into(table, src, "csv", options={"header": "true", "inferSchema": "true"}, merge_schema=True, glob="*.csv")
+    return table.read().select("id", "name", "balance", "nation")
+
+
 @query("s11_stream_new_files", "select event_id, event_type from events")
 def s11(spark, d):
     base = workdir(spark, "s11")
@@ -129,6 +143,27 @@ def s12(spark, d):
     return S.with_rescued(spark.read.text(path), "id long, state string")
 
 
+@query("s12_rescued_nested", """
+select event_id as id, case when event_id % 5 <> 0 then user_id end as who,
+  case when event_id % 5 = 0 and event_id % 3 = 0 then '{"at.more":"' || event_type || '","who.id":"u' || user_id || '"}'
+    when event_id % 5 = 0 then '{"who.id":"u' || user_id || '"}' when event_id % 3 = 0 then '{"at.more":"' || event_type || '"}' end as _rescued_data,
+  case when event_id % 7 <> 0 then event_type end as second from events where event_id % 7 <> 0
+union all
+select event_id, case when event_id % 5 <> 0 then user_id end,
+  '{' || case when event_id % 3 = 0 then '"at.more":"' || event_type || '",' else '' end || case when event_id % 5 = 0 then '"who.id":"u' || user_id || '",' else '' end || '"tags[1].n":"7"}', null from events where event_id % 7 = 0
+""")
+def s12_nested(spark, d):
+    """A wrong value inside a struct, a new field inside another, a wrong element inside an array."""
+    path, n = workdir(spark, "s12n"), F.col("event_id")
+    who = F.when(n % 5 == 0, F.format_string('"u%d"', "user_id")).otherwise(F.col("user_id").cast("string"))
+    more = F.when(n % 3 == 0, F.format_string(', "more": "%s"', "event_type")).otherwise(F.lit(""))
+    tag = F.when(n % 7 == 0, F.lit('{"n": 7, "t": null}')).otherwise(F.format_string('{"t": "%s"}', "event_type"))
+    doc = F.format_string('{"id": %d, "at": {"day": 1%s}, "who": {"id": %s}, "tags": [{"t": "a"}, %s]}', n, more, who, tag)
+    S.write_files(load(spark, d, "events").select(doc.alias("value")), path, "text")
+    got = S.with_rescued(spark.read.text(path), "id long, at struct<day: int>, who struct<id: long>, tags array<struct<t: string>>")
+    return got.select("id", F.col("who.id").alias("who"), "_rescued_data", F.col("tags")[1]["t"].alias("second"))
+
+
 @query("s13_provenance", "select s_suppkey, 'supplier.parquet' as file, true as stamped from supplier")
 def s13(spark, d):
     df = S.with_provenance(load(spark, d, "supplier"))

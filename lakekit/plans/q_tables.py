@@ -216,6 +216,19 @@ def t17(spark, d):
     return C.diff(o.where("o_totalprice < 400000").select(*cols), new, "o_orderkey")
 
 
+@query("t17_diff_of_repeated_keys", """
+select l_orderkey, l_quantity, l_returnflag, 'update_preimage' as _change_type from lineitem where l_linenumber = 1 and l_orderkey % 2 = 0
+union all select l_orderkey, l_quantity + 1000, l_returnflag, 'update_postimage' from lineitem where l_linenumber = 1 and l_orderkey % 2 = 0
+union all select l_orderkey, l_quantity, l_returnflag, 'delete' from lineitem where l_linenumber = 3 and l_orderkey % 2 = 1
+""")
+def t17_repeated(spark, d):
+    """One line of even orders changed, one of odd orders gone; the other lines of these keys are no change."""
+    li = load(spark, d, "lineitem").where("l_linenumber <> 2")
+    new = C.update(li.where("l_linenumber <> 3 or l_orderkey % 2 = 0"), {"l_quantity": "l_quantity + 1000"}, "l_linenumber = 1 and l_orderkey % 2 = 0")
+    cols = ["l_orderkey", "l_quantity", "l_returnflag"]
+    return C.diff(li.select(*cols), new.select(*cols), "l_orderkey")
+
+
 @query("t18_feed_starts_when_enabled", f"select {SQL_COLS}, 'delete' as _change_type, cast(2 as bigint) as _commit_version, true as refused from orders where o_orderstatus = 'P'")
 def t18(spark, d):
     t = _table(spark, d, "t18")

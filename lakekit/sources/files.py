@@ -39,20 +39,54 @@ def json_text_to_df(df: DataFrame, col: str, schema: str | T.StructType, keep: S
     return parsed.select(*keep, "_j.*")
 
 
+def _lost(raw: Column, value: Column, kind: T.DataType, path: Column) -> Column:
+    """array<struct<k, v>>: what the JSON text ``raw`` holds and ``value``, its reading as ``kind``, does not, by path.
+
+    Objects, arrays and maps are compared part by part: a value of a wrong type goes by its own path, a field outside a struct by its
+    name there. An element or field that is NULL in the text is no loss.
+    """
+    entry = lambda k, v: F.array(F.struct(k.alias("k"), v.alias("v")))
+    none = F.array().cast("array<struct<k: string, v: string>>")
+    if isinstance(kind, T.StructType):
+        m = F.from_json(raw, "map<string,string>")
+        def of(e: Column) -> Column:
+            known = F
+            for f in kind:
+                known = known.when(e["key"] == f.name, _lost(e["value"], value[f.name], f.dataType, _step(path, F.lit(f.name))))
+            new = entry(_step(path, e["key"]), e["value"])
+            return known.otherwise(new) if kind.fields else new
+
+        return F.when(raw.isNull(), none).when(m.isNull(), entry(path, raw)).otherwise(F.flatten(F.transform(F.map_entries(m), of)))
+    if isinstance(kind, T.ArrayType):
+        items = F.from_json(raw, "array<string>")
+        each = F.transform(items, lambda x, i: _lost(x, F.try_element_at(value, i + 1), kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        return F.when(raw.isNull(), none).when(items.isNull(), entry(path, raw)).otherwise(F.flatten(each))
+    if isinstance(kind, T.MapType):
+        m = F.from_json(raw, "map<string,string>")
+        each = F.transform(F.map_entries(m), lambda e: _lost(e["value"], F.try_element_at(value, e["key"].cast(kind.keyType)), kind.valueType, _step(path, e["key"])))
+        return F.when(raw.isNull(), none).when(m.isNull(), entry(path, raw)).otherwise(F.flatten(each))
+    return F.when(raw.isNotNull() & value.isNull(), entry(path, raw)).otherwise(none)
+
+
+def _step(path: Column, name: Column) -> Column:
+    """path.name, or path['name'] where the name holds a mark that paths use."""
+    odd = F.concat(path, F.lit("['"), F.replace(name, F.lit("'"), F.lit("\\'")), F.lit("']"))
+    plain = F.when(path == "", name).otherwise(F.concat(path, F.lit("."), name))
+    return F.when(name.rlike(r"[.'\[\]]"), odd).otherwise(plain)
+
+
 def with_rescued(df_text: DataFrame, schema: str | T.StructType, col: str = "value") -> DataFrame:
     """Parse JSON text by a schema and keep what it cannot hold as JSON in ``_rescued_data`` (else NULL).
 
-    That is every field outside the schema, every value of a wrong type (its column is NULL), and of a text that is
-    no JSON object the whole text, under the name ``_malformed``.
+    That is every field outside the schema and every value of a wrong type (it is NULL in its column), at any depth: the names are
+    paths like ``order.lines[2].price``. Of a text that is no JSON object, the whole text goes there under the name ``_malformed``.
     """
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     rest = [c for c in df_text.columns if c != col]
     out = df_text.select(*rest, F.from_json(col, st).alias("_j"), F.from_json(col, "map<string,string>").alias("_m"), F.col(col).alias("_t"))
-    # an entry of the map that has its value in the column of its name
-    typed = lambda k, v: F.coalesce(*[F.when(k == f.name, F.col("_j")[f.name].isNotNull() | v.isNull()) for f in st.fields], F.lit(False))
     bad = F.col("_m").isNull() & (F.trim(F.col("_t")) != "")
-    lost = F.when(bad, F.create_map(F.lit("_malformed"), F.col("_t"))).otherwise(F.map_filter("_m", lambda k, v: ~typed(k, v)))
-    out = out.withColumn("_x", lost)
+    lost = F.map_from_entries(_lost(F.col("_t"), F.col("_j"), st, F.lit("")))
+    out = out.withColumn("_x", F.when(bad, F.create_map(F.lit("_malformed"), F.col("_t"))).when(F.col("_m").isNotNull(), lost))
     return out.select(*rest, "_j.*", F.when(F.size("_x") > 0, F.to_json("_x")).alias("_rescued_data"))
 
 

@@ -8,17 +8,8 @@ from lakekit.operators import scd
 from lakekit.streaming.changes import ChangeTarget
 
 DDL = "id string, name string, ingredients string, _change_type string, _change_timestamp string"
-T0, T1 = "2021-06-01 08:00:00.000", "2021-07-15 16:30:00.000"
-FEED = [
-    ("P1", "Pump", '["steel"]', "insert", T0),
-    ("P2", "Valve", '["brass"]', "insert", T0),
-    ("P3", "Gauge", '["glass"]', "insert", T0),
-    ("P1", None, None, "delete", T1),
-    ("P2", "Check valve", None, "update", T1),
-    ("P2", "Ball valve", '["bronze"]', "insert", T1),
-    ("P9", None, None, "delete", T1),
-]
 CONTROL = ["_change_type", "_change_timestamp"]
+SETTINGS = "device long, mode string, gain int, _change_type string, at int"
 
 
 def apply(df, scd_type, **kw):
@@ -30,39 +21,60 @@ def as_set(df):
     return {tuple(r) for r in df.collect()}
 
 
-def test_type_1_with_delete_and_tie(spark):
-    # in the tie on T1 the insert comes before the update in the order of change types; the later non-NULL value wins
-    got = as_set(apply(spark.createDataFrame(FEED, DDL), 1))
-    assert got == {("P2", "Check valve", '["bronze"]'), ("P3", "Gauge", '["glass"]')}
+def settings_log(seed, n=250):
+    """Changes of device settings; several of different types may share a device and a time, cut (the delete) comes between add and put."""
+    r = random.Random(seed)
+    seen = {(r.randrange(9), r.randrange(40), r.choice(["add", "cut", "put", "put"])) for _ in range(n)}
+    pick = lambda v: None if r.random() < 0.4 else v
+    return [(k, *((None, None) if t == "cut" else (pick(f"m{r.randrange(99)}"), pick(r.randrange(99)))), t, at) for k, at, t in seen]
+
+
+def replay(log, scd_type, keep_nulls, order=lambda e: e[3]):
+    """The rules one change after the other: per device by time, then type; NULLs of an update keep the value unless ``keep_nulls``."""
+    out = set()
+    for device in {e[0] for e in log}:
+        mine = sorted((e for e in log if e[0] == device), key=lambda e: (e[4], order(e)))
+        times = sorted({e[4] for e in mine})
+        state, opened = None, []
+        for at in times:
+            for e in (e for e in mine if e[4] == at):
+                if e[3] == "cut":
+                    state = None
+                else:
+                    old = (None, None) if state is None or keep_nulls else state
+                    state = tuple(o if v is None else v for v, o in zip(e[1:3], old))
+            opened.append((state, at))
+        if scd_type == 1:
+            out |= {(device, *state)} if state is not None else set()
+        else:
+            out |= {(device, *st, at, nxt) for (st, at), nxt in zip(opened, [*times[1:], None]) if st is not None}
+    return out
 
 
-def test_type_2_history(spark):
-    got = as_set(apply(spark.createDataFrame(FEED, DDL), 2))
-    assert got == {
-        ("P1", "Pump", '["steel"]', T0, T1),
-        ("P2", "Valve", '["brass"]', T0, T1),
-        ("P2", "Check valve", '["bronze"]', T1, None),
-        ("P3", "Gauge", '["glass"]', T0, None),
-    }
+@pytest.mark.parametrize("scd_type", [1, 2])
+@pytest.mark.parametrize("keep_nulls", [False, True])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_logs_equal_a_replay(spark, scd_type, keep_nulls, seed):
+    log = settings_log(seed)
+    df = spark.createDataFrame(log, SETTINGS).repartition(3)
+    got = scd.apply_changes(df, "device", "at", "_change_type = 'cut'", not keep_nulls, ["_change_type", "at"], scd_type)
+    assert as_set(got) == replay(log, scd_type, keep_nulls)
 
 
 def test_tie_order_is_an_argument(spark):
-    df = spark.createDataFrame([(*r, i) for i, r in enumerate(FEED)], DDL + ", n int")
-    got = as_set(apply(df, 1, tie_by="n", except_cols=[*CONTROL, "n"]))
-    assert ("P2", "Ball valve", '["bronze"]') in got
-
-
-def test_null_update_keeps_the_older_value(spark):
-    feed = [*FEED[:3], ("P3", "Gauge 2", None, "update", "2021-06-20")]
-    assert ("P3", "Gauge 2", '["glass"]') in as_set(apply(spark.createDataFrame(feed, DDL), 1))
-    got = as_set(apply(spark.createDataFrame(feed, DDL), 1, ignore_null_updates=False))
-    assert ("P3", "Gauge 2", None) in got
+    """The same log read with the types of a tie in the other order."""
+    log = settings_log(3)
+    back = {"add": 3, "cut": 2, "put": 1}
+    df = spark.createDataFrame([(*e, back[e[3]]) for e in log], SETTINGS + ", n int")
+    got = scd.apply_changes(df, "device", "at", "_change_type = 'cut'", True, ["_change_type", "at", "n"], 1, tie_by="n")
+    assert as_set(got) == replay(log, 1, False, lambda e: back[e[3]])
 
 
 def test_delete_and_reinsert_forgets(spark):
-    feed = [("a", "x", "i1", "insert", "1"), ("a", None, None, "delete", "2"), ("a", "y", None, "insert", "3")]
-    assert as_set(apply(spark.createDataFrame(feed, DDL), 1)) == {("a", "y", None)}
-    assert as_set(apply(spark.createDataFrame(feed, DDL), 2)) == {("a", "x", "i1", "1", "2"), ("a", "y", None, "3", None)}
+    log = [(1, "m", 4, "add", 10), (1, None, None, "cut", 20), (1, None, 7, "put", 30)]
+    df = spark.createDataFrame(log, SETTINGS)
+    go = lambda kind: as_set(scd.apply_changes(df, "device", "at", "_change_type = 'cut'", True, ["_change_type", "at"], kind))
+    assert go(1) == {(1, None, 7)} and go(2) == {(1, "m", 4, 10, 20), (1, None, 7, 30, None)}
 
 
 def test_late_row_does_not_overwrite(spark):

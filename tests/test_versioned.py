@@ -204,3 +204,19 @@ def test_empty_partition_value_stays_empty(spark, new_dir):
     t.replace_parts(spark.createDataFrame([(30, "=")], "k int, p string"), ["="])
     assert {(r.k, r.p) for r in t.read().collect()} == {(11, ""), (2, None), (30, "="), (4, "=x"), (5, "a b/c")}
     assert {(r.k, r.p) for r in t.read(version=0).where("p = ''").collect()} == {(1, "")}
+
+
+def test_equal_rows_are_no_change(spark):
+    old = [(1, "a")] * 3 + [(1, "b")] * 3 + [(2, "x"), (3, "y"), (None, "n")]
+    new = [(1, "a")] * 3 + [(1, "b")] * 3 + [(1, "c"), (2, "z"), (4, "q"), (None, "n")]
+    df = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    got = sorted(tuple(r) for r in C.diff(df(old), df(new), "k").collect())
+    assert got == [(1, "c", "insert"), (2, "x", "update_preimage"), (2, "z", "update_postimage"), (3, "y", "delete"), (4, "q", "insert")]
+    fewer = sorted(tuple(r) for r in C.diff(df(new), df([(1, "a"), (1, "b"), (1, "c")]), "k").where("k = 1").collect())
+    assert fewer == [(1, "a", "delete")] * 2 + [(1, "b", "delete")] * 2
+
+
+def test_diff_compares_maps(spark):
+    df = lambda m: spark.createDataFrame([(1, m)], "k int, m map<string,int>")
+    assert C.diff(df({"a": 1, "b": 2}), df({"b": 2, "a": 1}), "k").isEmpty()
+    assert C.diff(df({"a": 1}), df({"a": 2}), "k").count() == 2
