@@ -6,7 +6,7 @@ The features of an order item stand in for the chemistry of a product; the label
 from __future__ import annotations
 
 from ..functions import udfs as D
-from ..operators import ml as M
+from ..operators import attribution as AT, ml as M, tuning as TU
 from ..session import materialize
 from .registry import F, W, load, query
 
@@ -206,3 +206,56 @@ def m17(spark, d):
     ranked = M.compare(tr, valid, {"forest": M.random_forest(), "boosted": M.boosted_trees(), "net": M.neural_net(tr.first().features.size)})
     tr.unpersist()
     return ranked.select("model", "status", (F.col("auc") > 0.9).alias("learned"))
+
+
+@query("m08_model_metrics")
+def m08_metrics(spark, d):
+    """Forest, boosted trees and net on one split: the whole confusion table, the rates made from it and the exact AUC."""
+    _, tr, valid, _ = _prepared(spark, d)
+    out = None
+    for name, est in {"boosted": M.boosted_trees(), "forest": M.random_forest(), "net": M.neural_net(tr.first().features.size)}.items():
+        scored = materialize(M.score(est.fit(tr), valid).select("label", "prediction", "probability_1"))
+        one = M.classification_metrics(scored, "label").select(F.lit(name).alias("model"), "*", F.lit(M.auc(scored, "label")).alias("auc"))
+        out = one if out is None else out.unionByName(one)
+    tr.unpersist()
+    return out
+
+
+@query("m11_parzen_search")
+def m11_parzen(spark, d):
+    """Every trial with its AUC and parameters."""
+    _, tr, valid, _ = _prepared(spark, d)
+    trials = TU.search_boosted(tr, valid.select("features", "label").persist(), trials=8, parallelism=4)[1]
+    tr.unpersist()
+    return trials
+
+
+@query("m16_dependence_values")
+def m16_values(spark, d):
+    model, prep, tr, _, valid = _fitted(spark, d, lambda tr: M.random_forest(trees=10, depth=6))
+    tr.unpersist()
+    return M.partial_dependence(model, prep, valid, "l_extendedprice", [1000.0, 10000.0, 30000.0, 60000.0, 90000.0])
+
+
+@query("m16_attribution")
+def m16_attribution(spark, d):
+    """Mean Shapley values of every feature over all validation rows; the worst gap between base plus values and the prediction."""
+    model, prep, tr, valid, rows = _fitted(spark, d, lambda tr: M.random_forest(trees=10, depth=6))
+    tr.unpersist()
+    index = sorted((a["idx"], a["name"]) for kind in valid.schema["features"].metadata["ml_attr"]["attrs"].values() for a in kind)
+    scored = M.score(model, valid).select("features", "probability_1")
+    values = materialize(AT.attributions(model, scored, keep=["probability_1"]))
+    gap = values.agg(F.max(F.abs(F.col("base") + F.aggregate("attribution", F.lit(0.0), lambda a, x: a + x) - F.col("probability_1")))).first()[0]
+    return AT.by_feature(values, [n for _, n in index]).withColumn("largest_gap", F.lit(gap))
+
+
+@query("m17_halving")
+def m17_halving(spark, d):
+    """Ranking and AUC of models that were given more rows round by round."""
+    items = M.split(_items(spark, d, ITEM_KEY), ITEM_KEY, {"train": 0.7, "valid": 0.3})
+    train, valid = [items.where(F.col("split") == s).drop("split") for s in ("train", "valid")]
+    prep = M.Preprocessor("label", exclude=ITEM_KEY).fit(train)
+    tr = M.keep_for_training(prep.transform(train).select("features", "label", *ITEM_KEY))
+    ranked = TU.halving(tr, prep.transform(valid), {"forest": M.random_forest(trees=10, depth=6), "boosted": M.boosted_trees(iterations=5), "logistic": M.logistic()}, ITEM_KEY)
+    tr.unpersist()
+    return ranked
