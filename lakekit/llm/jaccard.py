@@ -2,7 +2,7 @@
 
 Two documents are linked when 100 * |A and B| >= 85 * |A or B| over their sets of distinct 4-word shingles (64-bit hashes); a ``Rule``
 gives other numbers. Documents
-with one and the same set are one node. Sets of at most ``boundary`` shingles are light: for every pair of sizes that can be linked, the overlap needed
+with one and the same set are one node, named by 64 bits; a second 64 bits tell different sets of one name apart, which then get other names. Sets of at most ``boundary`` shingles are light: for every pair of sizes that can be linked, the overlap needed
 is a fixed number, so both sides enumerate their subsets of that size, and a shared subset is a link, with no pair formed or
 checked. Larger sets are heavy: they scan inverted lists. A list holds the sets with a shingle among their first
 ``n - ceil(0.85 n) + 1`` (for that rule) in one common order; two linked sets meet in a list at least once. The boundary is the one with the least
@@ -45,6 +45,7 @@ class Rule(NamedTuple):
     words: int = 4
     part: int = 85
     whole: int = 100
+    node_bits: int = 64  # of the number that names a set; fewer only to see different sets share one
 
 
 RULE = Rule()
@@ -94,10 +95,28 @@ def sets_of(col: pa.Array, words: int = RULE.words) -> list[np.ndarray]:
     return out
 
 
-def node_of(x: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit signatures of a set; the first names it."""
-    both = [int(mix(x * s).sum(dtype=np.uint64) + np.uint64(len(x))) for s in _STEP[:2]]
-    return tuple(v - (1 << 64) if v >= 1 << 63 else v for v in both)
+def node_of(x: np.ndarray, rule: Rule = RULE) -> tuple[int, int]:
+    """Two signatures of a set, 64 bits each; the first names it."""
+    a, b = (int(mix(x * s).sum(dtype=np.uint64) + np.uint64(len(x))) for s in _STEP[:2])
+    return _signed(a >> (64 - rule.node_bits)), _signed(b)
+
+
+def _signed(v: int) -> int:
+    return v - (1 << 64) if v >= 1 << 63 else v
+
+
+Moved = frozenset[tuple[int, int]]
+
+
+def name_of(x: np.ndarray, rule: Rule, moved: Moved) -> int:
+    """The name of a set; where different sets share their first signature, those in ``moved`` are named by both."""
+    node, check = node_of(x, rule)
+    return renamed(node, check) if moved and (node, check) in moved else node
+
+
+def renamed(node: int, check: int) -> int:
+    both = np.array([node, check], np.int64).view(np.uint64)
+    return _signed(int(mix(mix(both[1:] + np.uint64(1)) ^ both[:1])[0]))
 
 
 LANES = 16
@@ -111,7 +130,7 @@ def sketch_of(x: np.ndarray) -> np.ndarray:
 def _signatures(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "text"):
         sets = sets_of(b.column("text"), rule.words)
-        sig = [node_of(x) for x in sets]
+        sig = [node_of(x, rule) for x in sets]
         yield pa.record_batch({"doc_id": b.column("doc_id"), "n": pa.array([len(x) for x in sets], pa.int64()), "node": pa.array([s[0] for s in sig], pa.int64()), "check": pa.array([s[1] for s in sig], pa.int64()), "sketch": pa.array([sketch_of(x) for x in sets], pa.list_(pa.int64()))})
 
 
@@ -135,7 +154,12 @@ def _gaps(held: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     """Sorted hashes with their counts, by bucket; gaps of four bytes, or of eight in a bucket with a larger one."""
     v = np.sort(np.concatenate(held) >> np.uint64(64 - BITS))
     at = runs(v)
-    v, n = v[at], np.minimum(np.diff(np.append(at, len(v))), 65535).astype(np.uint16)
+    v, n = v[at], np.diff(np.append(at, len(v)))
+    times = (n - 1) // 65535 + 1  # a count beyond two bytes takes more entries
+    last = np.cumsum(times) - 1
+    left = n - 65535 * (times - 1)
+    v, n = np.repeat(v, times), np.full(last[-1] + 1, 65535, np.uint16)
+    n[last] = left
     bucket = (v // np.uint64((1 << BITS) // buckets)).astype(np.int64)
     gap = np.concatenate(([0], np.diff(v.astype(np.int64))))
     cut = runs(bucket)
@@ -207,7 +231,7 @@ def in_order(x: np.ndarray, often: np.ndarray, rule: Rule = RULE) -> tuple[np.nd
     return x[:p], p
 
 
-def _cold(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, buckets: int, rule: Rule) -> Iterator[pa.RecordBatch]:
+def _cold(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, buckets: int, rule: Rule, moved: Moved) -> Iterator[pa.RecordBatch]:
     """Entries of the lists of shingles that are not frequent, packed by range of hashes."""
     low = -(-rule.part * (top + 1) // rule.whole)
     held: list[tuple] = []
@@ -218,7 +242,7 @@ def _cold(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, bucket
             if len(x) < low:
                 continue
             first, rare = in_order(x, often, rule)
-            node = node_of(x)[0]
+            node = name_of(x, rule, moved)
             if rare and node not in seen:
                 seen.add(node)
                 held.append((first[:rare], node, len(x)))
@@ -257,7 +281,7 @@ def _lists(group: pa.Table) -> pa.Table:
     return pa.table({"h": pa.array(h[many].view(np.int64)), "node": pa.array(node[many]), "n": pa.array(n[many].astype(np.int64)), "place": pa.array(place[many].astype(np.int64))})
 
 
-def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, rule: Rule) -> Iterator[pa.RecordBatch]:
+def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, rule: Rule, moved: Moved) -> Iterator[pa.RecordBatch]:
     """Rows for frequent shingles (other = 0) and for the subsets of light sets (other: the size of the partner)."""
     low = -(-rule.part * (top + 1) // rule.whole)
     seen: set[int] = set()
@@ -273,7 +297,7 @@ def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: in
                 first, rare = in_order(x, often, rule)
                 if rare < len(first):
                     got.append((first[rare:], 0))
-            if got and (node := node_of(x)[0]) not in seen:
+            if got and (node := name_of(x, rule, moved)) not in seen:
                 seen.add(node)
                 for k, m in got:
                     keys.append(k)
@@ -325,10 +349,10 @@ def _pairs_of(group: pa.Table, rule: Rule) -> pa.Table:
     return pa.table({"a": pa.array(both[:, 0] if len(both) else np.zeros(0, np.int64)), "b": pa.array(both[:, 1] if len(both) else np.zeros(0, np.int64))})
 
 
-def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], rule: Rule, moved: Moved) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "text"):
         sets = sets_of(b.column("text"), rule.words)
-        yield pa.record_batch({"node": pa.array([node_of(x)[0] for x in sets], pa.int64()), "set": pa.array([x.tobytes() for x in sets], pa.binary())})
+        yield pa.record_batch({"node": pa.array([name_of(x, rule, moved) for x in sets], pa.int64()), "set": pa.array([x.tobytes() for x in sets], pa.binary())})
 
 
 def _linked(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -350,19 +374,32 @@ class Join:
         self.rule = rule
         self.docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
         self.rows = stored(self.docs.mapInArrow(lambda bs: _signatures(bs, rule), f"doc_id {self.docs.schema['doc_id'].dataType.simpleString()}, n long, node long, check long, sketch array<long>"), "signatures")
-        self.nodes = stored(self.rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+        self.moved: Moved = frozenset()
+        self.nodes = self._nodes()
+        if (clash := self.nodes.where("check <> other").select(F.col("node").alias("k"), "check")).count():
+            # different sets with one name: all but one of them get another name; some ten pairs among 2e10 documents
+            again = self.rows.where("n > 0").join(clash.withColumnRenamed("check", "first"), F.col("node") == F.col("k")).where("check <> first").select("node", "check").distinct()
+            self.moved = frozenset((r.node, r.check) for r in again.collect())
+            names = docs.sparkSession.createDataFrame([(*m, renamed(*m)) for m in self.moved], "k long, c long, name long")
+            at = self.rows.join(names, (F.col("node") == F.col("k")) & (F.col("check") == F.col("c")) & (F.col("n") > 0), "left")
+            self.rows = stored(at.select("doc_id", "n", F.coalesce("name", "node").alias("node"), "check", "sketch"), "signatures")
+            self.nodes = self._nodes()
+
+    def _nodes(self) -> DataFrame:
+        own = self.rows.where("n > 0").groupBy("node")
+        return stored(own.agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.min("check").alias("check"), F.max("check").alias("other")), "nodes")
 
     def lists(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(h, node, n) of the lists of other, and of frequent shingles, with two sets or more; links between light sets."""
         sizes = {r.n: r["count"] for r in self.rows.where("n between 1 and 64").groupBy("n").count().collect()}
         total = self.rows.agg(F.sum("n")).first()[0] or 0
-        rule = self.rule
+        rule, moved = self.rule, self.moved
         top = boundary(sizes, rule=rule)
         sent = self.docs.sparkSession.sparkContext.broadcast(frequent(self.docs, total, rule=rule))
         buckets = 1 << max(5, (total >> 21).bit_length())
-        packed = self.docs.mapInArrow(lambda bs: _cold(bs, sent.value, top, buckets, rule), "bucket int, h binary, node binary, n binary, place binary")
+        packed = self.docs.mapInArrow(lambda bs: _cold(bs, sent.value, top, buckets, rule, moved), "bucket int, h binary, node binary, n binary, place binary")
         cold = stored(packed.groupBy("bucket").applyInArrow(_lists, "h long, node long, n long, place long"), "lists")
-        rest = stored(self.docs.mapInArrow(lambda bs: _hot_and_light(bs, sent.value, top, rule), "h long, node long, n long, other long, place long"), "lists")
+        rest = stored(self.docs.mapInArrow(lambda bs: _hot_and_light(bs, sent.value, top, rule, moved), "h long, node long, n long, other long, place long"), "lists")
         ends = rest.where("other = 0").groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
         hot = rest.where("other = 0").join(ends.select(F.col("h").alias("k")), F.col("h") == F.col("k")).select("h", "node", "n", "place")
         light = rest.where("other > 0")
@@ -378,14 +415,14 @@ class Join:
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are linked on their sets. Only sets that stand in a pair are made, each once."""
-        rule = self.rule
+        rule, moved = self.rule, self.moved
         pairs = stored(pairs.distinct(), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
         ids = stored(self.nodes.join(wanted, F.col("node") == F.col("k")).select(F.col("doc").alias("id")).distinct(), "wanted")
         few = ids.count() <= 1 << 20  # 16 MB at most
         near = self.docs.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
         # a shared id can bring other sets along; they meet no pair, and equal sets are kept once
-        sets = near.mapInArrow(lambda bs: _sets(bs, rule), "node long, set binary").dropDuplicates(["node"])
+        sets = near.mapInArrow(lambda bs: _sets(bs, rule, moved), "node long, set binary").dropDuplicates(["node"])
         x = sets.select(F.col("node").alias("na"), F.col("set").alias("x"))
         y = sets.select(F.col("node").alias("nb"), F.col("set").alias("y"))
         both = pairs.join(x, F.col("a") == F.col("na")).join(y, F.col("b") == F.col("nb")).select("a", "b", "x", "y")
@@ -439,10 +476,10 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Ru
     return Join(docs, text, doc_id, rule).groups()
 
 
-def _tagged(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+def _tagged(batches: Iterator[pa.RecordBatch], rule: Rule, moved: Moved) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "text"):
         sets = sets_of(b.column("text"), rule.words)
-        yield pa.record_batch([*b.columns, pa.array([len(x) for x in sets], pa.int64()), pa.array([node_of(x)[0] for x in sets], pa.int64())], names=[*b.schema.names, "_n", "_node"])
+        yield pa.record_batch([*b.columns, pa.array([len(x) for x in sets], pa.int64()), pa.array([name_of(x, rule, moved) for x in sets], pa.int64())], names=[*b.schema.names, "_n", "_node"])
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = RULE) -> DataFrame:
@@ -468,7 +505,8 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule:
     if many.count():
         again = plain.join(many, F.col("doc_id").eqNullSafe(F.col("mid")), "left_semi")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in again.schema.fields)
-        again = again.mapInArrow(lambda bs: _tagged(bs, rule), f"{ddl}, _n long, _node long")
+        moved = join.moved
+        again = again.mapInArrow(lambda bs: _tagged(bs, rule, moved), f"{ddl}, _n long, _node long")
         stay = again.join(best, F.col("doc_id").eqNullSafe(F.col("bid")) & (F.col("_node") == F.col("bnode")), "left_semi").dropDuplicates(["doc_id", "_node"])
         out = out.unionByName(stay.where("_n > 0").drop("_n", "_node")).unionByName(again.where("_n = 0").drop("_n", "_node"))
     return out.toDF(*names)

@@ -81,7 +81,8 @@ def choose(docs: DataFrame, total: int | float, domain: str, lang: str = "lang",
     names = docs.columns
     tokens = F.size(words(text)).cast("long")
     at = {n: f"c{i}" for i, n in enumerate(names)}
-    tagged = docs.select(F.expr(domain).alias("_domain"), F.col(lang).alias("_lang"), F.col(source).alias("_source"), tokens.alias("_tokens"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_id"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_tie"), *[F.col(n).alias(at[n]) for n in names])
+    tie = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))  # stands for an id that is NULL, so that such rows are drawn one by one
+    tagged = docs.select(F.expr(domain).alias("_domain"), F.col(lang).alias("_lang"), F.col(source).alias("_source"), tokens.alias("_tokens"), F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), tie)).alias("_id"), tie.alias("_tie"), *[F.col(n).alias(at[n]) for n in names])
     light = stored(tagged.where("_tokens > 0").select("_domain", "_lang", "_source", "_tokens", "_id", "_tie"), "mixing")
     leaves = stored(light.groupBy(F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source")).agg(F.sum("_tokens").alias("tokens")), "leaves")
     if isinstance(total, float):

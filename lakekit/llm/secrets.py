@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and a small character network for what the patterns miss.
 
 One pass over the texts finds the spans of the fixed patterns and all candidates: runs of 16 or more of ``A-Za-z0-9+/_.=-`` that hold a
-letter and a digit. A candidate is labelled by whether a pattern covers it. A convolutional network over the characters of a
+letter and a digit. A candidate is labelled by whether a pattern covers some of it; what the pattern leaves of such a run is scored on its own, without a label. A convolutional network over the characters of a
 candidate and 16 characters on either side is trained on at most ``sample`` different labelled candidates of each label, taken in the
 order of a hash (the bound on what is collected; besides these only counts are). One text in five, told by its hash, is held out with all its
 surroundings: on those of the sample the scores are calibrated (logistic fit); then all held-out candidates of the table are scored, a repeated one counts once, and
@@ -32,6 +32,7 @@ _either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c i
 ASSIGN = re.compile("(" + "|".join(_either(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{24,}")  # the same spans as the runs of 24 or more
+LEAST = 16
 CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{16,}")
 KEYWORDS = [b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey"]
 SIDE, BODY = 16, 40
@@ -53,15 +54,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
+    """(start, end, label, before, body, after). The label of a run is whether a pattern covers some of it. What a pattern leaves of a run
+    is a candidate of its own if it is as long and mixed as one; it has no label, as it may well be the other half of a pair."""
     out = []
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        body = m.group()
-        if any(c.isdigit() for c in body) and any(c.isalpha() for c in body):
-            out.append((s, e, any(a < e and s < b for _, a, b in spans), text[max(0, s - SIDE) : s], body, text[e : e + SIDE]))
+        if not _mixed(m.group()):
+            continue
+        over = sorted((a, b) for _, a, b in spans if a < e and s < b)
+        out.append((s, e, bool(over), text[max(0, s - SIDE) : s], m.group(), text[e : e + SIDE]))
+        at = s
+        for a, b in [*over, (e, e)]:
+            if over and a - at >= LEAST and _mixed(text[at:a]):
+                out.append((at, a, None, text[max(0, at - SIDE) : at], text[at:a], text[a : a + SIDE]))
+            at = max(at, b)
     return out
 
 
+def _mixed(body: str) -> bool:
+    return any(c.isdigit() for c in body) and any(c.isalpha() for c in body)
+
+
 def _long_runs(mask: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(np.concatenate(([0], mask.view(np.int8), [0])))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -267,10 +280,18 @@ def _logits(p: dict, rows: list[tuple]) -> np.ndarray:
     return out
 
 
+def _few(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows, in batches whose candidates have about ``limit`` bytes."""
+    for b in batches:
+        share = max(1, int(limit * b.num_rows / max(1, b.nbytes)))
+        for at in range(0, b.num_rows, share):
+            yield b.slice(at, share)
+
+
 def _held_scores(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
     """label, a hash of the candidate and the bin of its score, for every labelled candidate that is held out."""
-    for b in batches:
-        every = dict.fromkeys((c["label"], c["before"], c["body"], c["after"]) for r in b.column("_candidates").to_pylist() for c in r or [])
+    for b in _few(batches):
+        every = dict.fromkeys((c["label"], c["before"], c["body"], c["after"]) for r in b.column("_candidates").to_pylist() for c in r or [] if c["label"] is not None)
         rows = [c for c in every if held_out(c[1:], model["rules"][c[0]])]
         key = [int.from_bytes(hashlib.blake2b("\0".join(c[1:]).encode(), digest_size=8).digest(), "big", signed=True) for c in rows]
         yield pa.record_batch({"label": pa.array([c[0] for c in rows], pa.bool_()), "key": pa.array(key, pa.int64()), "bin": pa.array(bins(_logits(model, [c[1:] for c in rows])), pa.int64())})
@@ -306,7 +327,7 @@ def _join(spans: list[tuple]) -> str:
 
 
 def _report(batches: Iterator[pa.RecordBatch], model: dict | None) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _few(batches):
         base = [[(x["kind"], x["start"], x["end"]) for x in r or []] for r in b.column("_spans").to_pylist()]
         cand = b.column("_candidates").to_pylist()
         flat = [(i, c) for i, r in enumerate(cand) for c in r or []]

@@ -401,3 +401,23 @@ def test_audit_on_rows(spark):
     assert {r.status for r in fixity.audit(a, none).collect()} == {"missing"} and fixity.audit(a, none).count() == 5
     assert [r.status for r in fixity.audit(a, records(spark, rows[:3] + rows[4:])).collect()] == ["missing"]
     assert fixity.audit(none, none).collect() == []
+
+
+def test_different_sets_of_one_name(spark, words):
+    """With names of 6 bits nearly all sets share theirs with others; the groups stay those of the sets."""
+    r = random.Random(21)
+    base = [[f"w{r.randrange(300)}" for _ in range(40)] for _ in range(40)]
+    texts = [" ".join(b) for b in base] + [" ".join(b[:-1]) for b in base[:20]] + [" ".join(b) for b in base[:5]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    get = lambda rule: sorted(tuple(x) for x in jaccard.groups(df, rule=rule).collect())
+    few = jaccard.RULE._replace(node_bits=6)
+    assert get(few) == get(jaccard.RULE) and len(jaccard.Join(df, rule=few).moved) > 5
+    kept = sorted(x.doc_id for x in jaccard.keep_one(df, rule=few).collect())
+    assert kept == list(range(40))
+
+
+def test_counts_beyond_two_bytes():
+    h = np.repeat(np.array([3 << 40, 9 << 50, 11 << 58], np.uint64), [200_000, 1, 65_535])
+    g = jaccard._gaps([h], 32)
+    got = jaccard._frequent(pa.Table.from_batches([g]).slice(0, 1), 2)
+    assert got.to_pydict() == {"h": [3 << 24], "n": [200_000]}

@@ -4,9 +4,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import sentencepiece
 
-from lakekit.llm import common, langid, pieces_codec as P, quality, secrets, token_trees as T
+from lakekit.llm import common, langid, mixing, pieces_codec as P, quality, secrets, token_trees as T
+from pyspark.sql import functions as F
 
 
 def test_words_and_hashes(words):
@@ -248,3 +250,87 @@ def test_quality_thresholds_follow_the_group(spark):
     rows = {r.doc_id: r for r in quality.judge(df, most_repeats=100).collect()}
     assert all(rows[i].kept for i in range(80)) and all(rows[100 + i].kept for i in range(80))
     assert rows[300].failed == ["symbols"] and not rows[300].kept
+
+
+@pytest.fixture(scope="module")
+def keyed_texts():
+    """(id, text, planted span or None): labelled secrets to learn from, and pairs whose second half no pattern knows."""
+    r = random.Random(12)
+    solid = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    caps = lambda n: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(n))
+    plain = lambda: "-".join(r.choice(["north", "river", "table", "window", "garden"]) for _ in range(3)) + f"-{r.randrange(10, 99)}"
+    rows = [(i, f"see {r.choice(['token', 'api_key', 'secret'])}={solid(r.randrange(24, 44))} here", None) for i in range(300)]
+    rows += [(300 + i, f"see {plain()} and {plain()} there", None) for i in range(400)]
+    for i in range(60):
+        first, second = "AKIA" + caps(16), solid(40)
+        rows.append((1000 + i, f"key {first}/{second} end", (4 + len(first), 4 + len(first) + 1 + len(second))))
+    return rows
+
+
+def test_the_rest_of_a_partly_covered_run(spark, keyed_texts):
+    """The secret half of a pair joined by a slash is found and redacted; harmless runs and the labels stay as they were."""
+    df = spark.createDataFrame([r[:2] for r in keyed_texts], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secrets.find(df).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    halves = [(i, t, p) for i, t, p in keyed_texts if p]
+    found = [f"cnn:{p[0]}:{p[1]}" in spans[i] for i, _, p in halves]
+    assert np.mean(found) >= 0.9
+    assert np.mean([t[p[0] + 1 : p[1]] not in clean[i] for i, t, p in halves]) >= 0.9
+    wrong = [spans[i] for i, t, p in keyed_texts if 300 <= i < 1000 and spans[i]]
+    assert len(wrong) <= 0.02 * 400 + 2
+    c = secrets.candidates(halves[0][1], secrets.base_spans(halves[0][1]))
+    assert [x[2] for x in c] == [True, None] and c[1][4].startswith("/")
+
+
+def test_base_spans_against_a_scan_by_hand(docs):
+    """The fixed patterns read character by character, without regular expressions."""
+    solid = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    caps, low_hex = set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), set("0123456789abcdef")
+    run = lambda t, i, of: next((j for j in range(i, len(t)) if t[j] not in of), len(t))
+
+    def assign(t, i):
+        low = t[i : i + 8].lower()
+        for w in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if low.startswith(w) and t[i : i + len(w)].isascii():
+                j = i + len(w)
+                j += t[j : j + 1] in ('"', "'") and t[j : j + 1] != ""
+                j = run(t, j, {" "})
+                if t[j : j + 1] not in (":", "=") or j >= len(t):
+                    return None
+                j = run(t, j + 1, {" "})
+                j += t[j : j + 1] in ('"', "'") and t[j : j + 1] != ""
+                end = run(t, j, solid)
+                return (end, end - j >= 6) if end > j else None
+        return None
+
+    def by_hand(t):
+        out = []
+        i = 0
+        while i < len(t):
+            m = assign(t, i)
+            if m:
+                out += [(0, i, m[0])] if m[1] else []
+                i = m[0]
+            else:
+                i += 1
+        for kind, head, of, least in ((1, "AKIA", caps, 20), (2, "", low_hex, 24)):
+            i = 0
+            while i < len(t):
+                if t.startswith(head, i) and (end := run(t, i + len(head), of)) > i + len(head):
+                    out += [(kind, i, end)] if end - i >= least else []
+                    i = end
+                else:
+                    i += 1
+        return out
+
+    texts = [r.text or "" for r in docs.values()] + ['api_key: "abcdef"', "apiKEY=abc", "PASSWORD='x=y_z.1", "AKIAAKIA" + "A" * 14, "token  :  " + "f" * 24, "secret= ", "token==abcdefg"]
+    for t in texts:
+        assert sorted(secrets.base_spans(t)) == sorted(by_hand(t)), t[:80]
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    """Two thirds of the budget is about two thirds of the rows also where ids are NULL: they are no single block."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" a b c")).alias("text"), F.lit("en").alias("lang"), F.lit("src1").alias("source"))
+    got = mixing.choose(df, 0.5, "'d'", epochs=1)
+    n = got.where("c0 is null").count()
+    assert got.count() == 1500 and 400 < n < 600
