@@ -155,11 +155,13 @@ def _gaps(held: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     v = np.sort(np.concatenate(held) >> np.uint64(64 - BITS))
     at = runs(v)
     v, n = v[at], np.diff(np.append(at, len(v)))
-    times = (n - 1) // 65535 + 1  # a count beyond two bytes takes more entries
-    last = np.cumsum(times) - 1
-    left = n - 65535 * (times - 1)
-    v, n = np.repeat(v, times), np.full(last[-1] + 1, 65535, np.uint16)
-    n[last] = left
+    if n.max() > 65535:  # a count beyond two bytes takes more entries
+        times = (n - 1) // 65535 + 1
+        last = np.cumsum(times) - 1
+        left = n - 65535 * (times - 1)
+        v, n = np.repeat(v, times), np.full(last[-1] + 1, 65535)
+        n[last] = left
+    n = n.astype(np.uint16)
     bucket = (v // np.uint64((1 << BITS) // buckets)).astype(np.int64)
     gap = np.concatenate(([0], np.diff(v.astype(np.int64))))
     cut = runs(bucket)
