@@ -1,9 +1,11 @@
 """Quality rules with thresholds that follow the data.
 
-Every document gets a few whole numbers (symbols per word, length of words, share of repeated lines and of repeated
-words). Their distribution is kept per language and source in a mergeable sketch: the count of every bin, where a bin is a
+Every document gets a few whole numbers (symbols per word, length of words, words to a thousand characters, share of repeated
+lines and of repeated words). Their distribution is kept per language and source in a mergeable sketch: the count of every bin, where a bin is a
 value with its five leading bits, so any quantile is known to 1/16 and sketches are merged by adding counts. A document fails
-a rule when its value lies above the fence ``q75 + spread * max(q75 - q25, least)`` of its own language and source. Groups of
+a rule when its value lies above the fence ``q75 + spread * max(q75 - q25, least)`` of its own language and source. The least
+widths leave the fences of uniform groups below the fixed floor of ``judge``, so every rule can decide; very short words are many
+words to a thousand characters, so ``short`` is the lower fence of their length. Groups of
 fewer than ``enough`` documents use the sketch of their language, and where that is small as well the one of all documents.
 
 DataFrame functions only. Documents are read once; what is written in between are the numbers, or rows that carry the
@@ -27,8 +29,9 @@ WINDOW = 5
 RULES = {
     "symbols": ("div(1000 * n_symbols, n_words)", 40),
     "length": ("div(100 * word_chars, n_words)", 120),
-    "dup_lines": ("div(1000 * n_dup_lines, n_lines)", 150),
-    "repeats": ("div(1000 * n_repeat_words, n_words)", 80),
+    "short": ("div(1000 * n_words, word_chars)", 80),
+    "dup_lines": ("div(1000 * n_dup_lines, n_lines)", 100),
+    "repeats": ("div(1000 * n_repeat_words, n_words)", 50),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 

@@ -156,8 +156,8 @@ c as (
     length(t) - length(translate(t, '#*$%&|<>', '')) as n_symbols, len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(n, 0) as n_repeat_words, len(ls) as n_lines
   from l left join cov using (rid)),
 v as (
-  select rid, lang, source, unnest(['symbols', 'length', 'dup_lines', 'repeats']) as rule,
-    unnest([1000 * n_symbols // n_words, 100 * word_chars // n_words, 1000 * n_dup_lines // n_lines, 1000 * n_repeat_words // n_words]) as v
+  select rid, lang, source, unnest(['symbols', 'length', 'short', 'dup_lines', 'repeats']) as rule,
+    unnest([1000 * n_symbols // n_words, 100 * word_chars // n_words, 1000 * n_words // word_chars, 1000 * n_dup_lines // n_lines, 1000 * n_repeat_words // n_words]) as v
   from c where n_words > 0),
 b as (select *, (v::bigint >> greatest(length(bin(v::bigint)) - 5, 0)) << greatest(length(bin(v::bigint)) - 5, 0) as b from v),
 fine as (
@@ -175,7 +175,7 @@ q as (
   from fine f join tongue t on f.lang is not distinct from t.lang and f.rule = t.rule join every e on f.rule = e.rule),
 bad as (
   select distinct rid from v join q on v.lang is not distinct from q.lang and v.source is not distinct from q.source and v.rule = q.rule
-  where v > q3 + 3 * greatest(q3 - q1, case q.rule when 'symbols' then 40 when 'length' then 120 when 'dup_lines' then 150 else 80 end))
+  where v > q3 + 3 * greatest(q3 - q1, case q.rule when 'symbols' then 40 when 'length' then 120 when 'short' then 80 when 'dup_lines' then 100 else 50 end))
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words,
   n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
   not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and bad.rid is null as kept

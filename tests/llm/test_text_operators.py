@@ -241,6 +241,25 @@ def test_quality_on_rows(edges, empty):
     assert quality.judge(empty).collect() == [] and quality.filter_documents(empty).collect() == []
 
 
+def test_every_quality_rule_decides(spark):
+    word = lambda i, n=5: "".join(chr(97 + (i * 7919 // 26**k) % 26) for k in range(n))
+    plain = [(i, "\n".join(" ".join(word(i * 50 + 5 * r + k) for k in range(5)) for r in range(8))) for i in range(60)]
+    passage = " ".join(word(9000 + k) for k in range(8))
+    odd = {
+        "symbols": " ".join(word(k) + "#" * (k % 4 == 0) for k in range(40)),
+        "length": " ".join(word(k, 12) for k in range(40)),
+        "short": " ".join("abcdefghijklmnopqrstuvwxyz0123456789"),
+        "dup_lines": "\n".join(f"again\n{word(k)}" for k in range(10)),
+        "repeats": " ".join([passage, *[word(k) for k in range(84)], passage]),
+    }
+    rows = plain + [(100 + i, t) for i, t in enumerate(odd.values())]
+    df = spark.createDataFrame([(i, t, "x", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert set(odd) == set(quality.RULES)
+    assert [got[100 + i].failed for i in range(len(odd))] == [[r] for r in odd]
+    assert not any(r.base_failed for r in got.values()) and all(got[i].kept for i, _ in plain)
+
+
 def test_quality_thresholds_follow_the_group(spark):
     """Symbols are common in one source and junk in another."""
     plain = [(i, "plain words in a row without any signs at all here " * 2 + str(i), "en", "prose") for i in range(80)]
