@@ -52,6 +52,8 @@ RULE = Rule()
 FREQUENT = 1 << 20
 LEAST_FREQUENT = 32
 BITS = 48  # of a hash, for counting
+BATCH = 1 << 20  # bytes of text whose sets are made together
+HELD = 1_000_000  # shingles that a task counts together
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -128,7 +130,7 @@ def sketch_of(x: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    for b in pieces(batches, "text"):
+    for b in pieces(batches, "text", BATCH):
         sets = sets_of(b.column("text"), rule.words)
         sig = [node_of(x, rule) for x in sets]
         yield pa.record_batch({"doc_id": b.column("doc_id"), "n": pa.array([len(x) for x in sets], pa.int64()), "node": pa.array([s[0] for s in sig], pa.int64()), "check": pa.array([s[1] for s in sig], pa.int64()), "sketch": pa.array([sketch_of(x) for x in sets], pa.list_(pa.int64()))})
@@ -139,11 +141,11 @@ def _signatures(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Re
 
 def _tally(batches: Iterator[pa.RecordBatch], buckets: int, rule: Rule) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
-    for b in pieces(batches, "text"):
+    for b in pieces(batches, "text", BATCH):
         for x in sets_of(b.column("text"), rule.words):
             held.append(x)
             size += len(x)
-        if size > 2_000_000:
+        if size > HELD:
             yield _gaps(held, buckets)
             held, size = [], 0
     if size:
@@ -239,7 +241,7 @@ def _cold(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: int, bucket
     held: list[tuple] = []
     size = 0
     seen: set[int] = set()
-    for b in pieces(batches, "text"):
+    for b in pieces(batches, "text", BATCH):
         for x in sets_of(b.column("text"), rule.words):
             if len(x) < low:
                 continue
@@ -287,7 +289,7 @@ def _hot_and_light(batches: Iterator[pa.RecordBatch], often: np.ndarray, top: in
     """Rows for frequent shingles (other = 0) and for the subsets of light sets (other: the size of the partner)."""
     low = -(-rule.part * (top + 1) // rule.whole)
     seen: set[int] = set()
-    for b in pieces(batches, "text"):
+    for b in pieces(batches, "text", BATCH):
         keys, nodes, sizes, others, places = [], [], [], [], []
         for x in sets_of(b.column("text"), rule.words):
             if not len(x):
@@ -352,7 +354,7 @@ def _pairs_of(group: pa.Table, rule: Rule) -> pa.Table:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], rule: Rule, moved: Moved) -> Iterator[pa.RecordBatch]:
-    for b in pieces(batches, "text"):
+    for b in pieces(batches, "text", BATCH):
         sets = sets_of(b.column("text"), rule.words)
         yield pa.record_batch({"node": pa.array([name_of(x, rule, moved) for x in sets], pa.int64()), "set": pa.array([x.tobytes() for x in sets], pa.binary())})
 
@@ -479,7 +481,7 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Ru
 
 
 def _tagged(batches: Iterator[pa.RecordBatch], rule: Rule, moved: Moved) -> Iterator[pa.RecordBatch]:
-    for b in pieces(batches, "text"):
+    for b in pieces(batches, "text", BATCH):
         sets = sets_of(b.column("text"), rule.words)
         yield pa.record_batch([*b.columns, pa.array([len(x) for x in sets], pa.int64()), pa.array([name_of(x, rule, moved) for x in sets], pa.int64())], names=[*b.schema.names, "_n", "_node"])
 

@@ -34,6 +34,7 @@ LINE = "\x00"  # stands for a line end that was cut from the word before it
 GUARD = "\ue000"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = -1
+BATCH = 1 << 20  # bytes of text that are encoded together; arrays with an entry per byte follow it
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -183,7 +184,7 @@ def viterbi(t: dict, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """Encodes words once and keeps their ids in one pool."""
 
-    def __init__(self, tables: dict, most: int = 800_000):
+    def __init__(self, tables: dict, most: int = 400_000):
         self.t, self.most = tables, most
         self.line = self._ids(["\n"])[0]
         self.clear()
@@ -340,7 +341,7 @@ def _spaced(col: pa.Array) -> pa.Array:
 
 def _encode(batches: Iterator[pa.RecordBatch], tables: dict) -> Iterator[pa.RecordBatch]:
     encoder, decode = Encoder(tables), decoder(tables)
-    for b in pieces(batches, "text"):
+    for b in pieces(batches, "text", BATCH):
         col = b.column("text")
         ids, off = encoder.encode(col.to_pylist())
         data, ends = decode(ids, off)
