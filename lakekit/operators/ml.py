@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -75,20 +75,29 @@ class Preprocessor:
     """Numeric columns: to number, mean for missing, population z-score. Categorical columns: a category for
     missing or empty, one-hot with all zeros for unseen values. Columns named in ``hashed`` ({column: buckets}) are
     hashed to that many indicators instead, which needs no list of their values: for columns with very many. Other
-    columns pass through."""
+    columns pass through.
 
-    def __init__(self, label: str | None = None, exclude: Sequence[str] = (), hashed: Mapping[str, int] | None = None):
+    Categories are counted exactly on the executors. The ``most`` most frequent of a column (ties by name) get an indicator each, and only
+    they come to the driver. Where there are more, the others, and values never seen, share ``tail`` indicators by hash."""
+
+    def __init__(self, label: str | None = None, exclude: Sequence[str] = (), hashed: Mapping[str, int] | None = None, most: int = 10_000, tail: int = 256):
         self.label, self.exclude, self.hashed = label, list(exclude), dict(hashed or {})
+        self.most, self.tail = most, tail
 
     def fit(self, df: DataFrame) -> "Preprocessor":
         use = [f for f in df.schema if f.name != self.label and f.name not in self.exclude]
         self.numeric = [f.name for f in use if isinstance(f.dataType, T.NumericType)]
         self.categorical = [f.name for f in use if isinstance(f.dataType, T.StringType) and f.name not in self.hashed]
         self.stats = numeric_stats(df, self.numeric)
-        self.encoder = None
+        self.encoder, self.heads, self.tails = None, {}, []
         if self.categorical:
             cat = df.select(*[_category(c).alias(c) for c in self.categorical])
-            idx = StringIndexer(inputCols=self.categorical, outputCols=[f"_i_{c}" for c in self.categorical], handleInvalid="keep").fit(cat)
+            for c in self.categorical:
+                top = [r[0] for r in cat.groupBy(F.col(c).alias("v")).count().orderBy(F.desc("count"), "v").limit(self.most + 1).collect()]
+                self.heads[c] = top[: self.most]
+                if len(top) > self.most:
+                    self.tails.append(c)
+            idx = StringIndexerModel.from_arrays_of_labels([self.heads[c] for c in self.categorical], self.categorical, [f"_i_{c}" for c in self.categorical], handleInvalid="keep")
             hot = OneHotEncoder(inputCols=[f"_i_{c}" for c in self.categorical], outputCols=[f"_h_{c}" for c in self.categorical], dropLast=True)
             self.encoder = PipelineModel([idx, hot.fit(idx.transform(cat))])
         return self
@@ -100,9 +109,13 @@ class Preprocessor:
             # the encoder reads the column names it was fitted on; keep the originals aside
             x = x.withColumnsRenamed({c: f"_keep_{c}" for c in self.categorical})
             x = x.withColumns({c: _category(f"_keep_{c}") for c in self.categorical})
-            x = self.encoder.transform(x).drop(*self.categorical, *[f"_i_{c}" for c in self.categorical])
+            x = self.encoder.transform(x)
+            for c in self.tails:
+                rest = x.withColumn(f"_t_{c}", F.when(F.col(f"_i_{c}") >= len(self.heads[c]), F.col(c)))
+                x = FeatureHasher(inputCols=[f"_t_{c}"], outputCol=f"_r_{c}", numFeatures=self.tail).transform(rest).drop(f"_t_{c}")
+            x = x.drop(*self.categorical, *[f"_i_{c}" for c in self.categorical])
             x = x.withColumnsRenamed({f"_keep_{c}": c for c in self.categorical})
-            parts += [f"_h_{c}" for c in self.categorical]
+            parts += [f"_h_{c}" for c in self.categorical] + [f"_r_{c}" for c in self.tails]
         for c, buckets in self.hashed.items():
             x = FeatureHasher(inputCols=[f"_c_{c}"], outputCol=f"_b_{c}", numFeatures=buckets).transform(x.withColumn(f"_c_{c}", _category(c)))
             parts.append(f"_b_{c}")
@@ -225,7 +238,7 @@ def auc_frame(df: DataFrame, label: str, score_col: str, ranges: int | None = No
     """
     y, times = (F.col(label) == 1).cast("long"), F.col(weight) if weight else F.lit(1)
     per = df.groupBy(F.col(score_col).alias("s")).agg(F.sum(y * times).alias("p"), F.sum((1 - y) * times).alias("n")).withColumn("g", F.lit(0))
-    c = ordered_scan(per, ["g"], ["s"], running={"upto": "n"}, ranges=ranges)
+    c = ordered_scan(per, ["g"], ["s"], running={"upto": "n"}, ranges=ranges, spread_equal=False)
     wins = F.sum(F.col("p").cast("double") * (F.col("upto") - F.col("n") / 2.0))
     return c.agg((wins / (F.sum("p").cast("double") * F.sum("n").cast("double"))).alias("auc"))
 

@@ -1,8 +1,8 @@
 """Ordered scans per key that stay balanced when one key holds a large share of the rows.
 
 ``lead``, "last known value" and running sums need the rows of a key in order. A plain window sends a key to one
-task, which fails when a key holds a third of the table. Here the rows are dealt out by ranges of (key, sequence, tie, row hash), so every
-range is about as large as any other, whatever the keys; a key may run over many ranges. The rows are written once with the number of
+task, which fails when a key holds a third of the table. Here the rows are dealt out by ranges of (key, sequence, tie, row hash, row number), so every
+range is about as large as any other, whatever the keys and however many rows are equal; a key may run over many ranges. The rows are written once with the number of
 their range and scanned inside it. Only the first and the last key of a range can go on in another one: for these a table with one
 row per range and key, at most two per range, carries the state across the borders. The same path serves tables of all sizes and keys of all shares.
 """
@@ -32,12 +32,28 @@ def _hashable(t: T.DataType) -> bool:
     return not isinstance(t, (T.MapType, T.VariantType))
 
 
-def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None) -> DataFrame:
-    """The rows with the number ``_p`` of their range in (keys, order, row hash); written once, so numbers and rows stay together."""
+def ranges_for(df: DataFrame, most_bytes: int = 512 << 20) -> int:
+    """As many ranges as the session has shuffle partitions, and more where the tables that ``df`` reads would put over ``most_bytes`` in one."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(n for n in sizes if n < 1 << 62)  # a source that does not know its size says the largest number
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // most_bytes))
+
+
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None, spread_equal: bool = True) -> DataFrame:
+    """The rows with the number ``_p`` of their range in (keys, order, row hash, row number); written once, so numbers and rows stay together.
+
+    The row number counts the rows of an input task, sorted by their hash first: a task that runs again numbers equal rows as before,
+    whatever order its rows come in. Without ``spread_equal`` (for rows known to differ) there is no number and no sort.
+    """
     spark = df.sparkSession
-    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fixed = [c for c in df.columns if _hashable(df.schema[c].dataType)]
-    cut = df.withColumn("_h", F.xxhash64(*fixed)).repartitionByRange(n, *keys, *order, "_h").withColumn("_p", F.spark_partition_id()).drop("_h")
+    n = ranges or ranges_for(df)
+    fixed = [F.col(c) if _hashable(df.schema[c].dataType) else F.to_json(F.struct(c)) for c in df.columns]
+    cut = df.withColumn("_h", F.xxhash64(*fixed))
+    if spread_equal:
+        cut = cut.sortWithinPartitions("_h").withColumn("_i", F.monotonically_increasing_id())
+    extra = ["_h", "_i"] if spread_equal else ["_h"]
+    cut = cut.repartitionByRange(n, *keys, *order, *extra).withColumn("_p", F.spark_partition_id()).drop(*extra)
     path = workdir(spark, "ranges")
     cut.write.parquet(path)
     return spark.read.schema(cut.schema).parquet(path)
@@ -61,6 +77,7 @@ def ordered_scan(
     running: Mapping[str, str] | None = None,
     reset: str | None = None,
     ranges: int | None = None,
+    spread_equal: bool = True,
 ) -> DataFrame:
     """Scan the rows of every key in ``seq``, ``tie`` order and add columns; NULLs come first.
 
@@ -68,7 +85,8 @@ def ordered_scan(
     ``last``     {new: column}  last non-NULL value so far, this row included; rows whose boolean
                                 ``reset`` column is true forget everything before and hold no value
     ``running``  {new: column}  running sum, this row included
-    ``ranges``   how many ranges to deal the rows to; the session's shuffle partitions if not given
+    ``ranges``   how many ranges to deal the rows to; from the session and the bytes read if not given
+    ``spread_equal``  deal equal rows to several ranges as well; not needed where no two rows are equal
     """
     lead, last, running = dict(lead or {}), dict(last or {}), dict(running or {})
     keys, columns = list(keys), df.columns
@@ -76,7 +94,7 @@ def ordered_scan(
     if reset:
         for c in set(last.values()):
             df = df.withColumn(c, F.when(~F.coalesce(F.col(reset), F.lit(False)), F.col(c)))
-    src = ranged(df, keys, order, ranges)
+    src = ranged(df, keys, order, ranges, spread_equal)
     rst = F.coalesce(F.col(reset), F.lit(False)).cast("long") if reset else F.lit(0).cast("long")
 
     w = W.partitionBy("_p", *keys).orderBy(*order)

@@ -80,6 +80,18 @@ def m06(spark, d):
     return x.join(o.select("o_orderkey", F.coalesce("kind", F.lit("")).alias("k")), "o_orderkey").select("o_orderkey", F.col("k").alias("kind"), "ones")
 
 
+@query("m06_many_categories", """
+with k as (select cast(l_partkey as varchar) as part, count(*) as n from lineitem group by 1), h as (select part from k order by n desc, part limit 100)
+select l_returnflag, count(*) as n, count(h.part) as in_head, cast(count(*) as double) as ones
+from lineitem l left join h on cast(l.l_partkey as varchar) = h.part group by 1
+""")
+def m06_many(spark, d):
+    li = load(spark, d, "lineitem").select("l_returnflag", F.col("l_partkey").cast("string").alias("part"))
+    x = M.Preprocessor(exclude=["l_returnflag"], most=100, tail=16).fit(li).transform(li).withColumn("v", M.vector_to_array("features"))
+    ones = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
+    return x.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.count_if(ones(F.slice("v", 1, 100)) == 1.0).alias("in_head"), F.sum(ones("v")).alias("ones"))
+
+
 @query("m07_column_transformer", """
 select o_orderkey, round((o_totalprice - avg(o_totalprice) over ()) / stddev_pop(o_totalprice) over (), 5) + 0.0 as z, cast(8 as integer) as width, label from
  (select o_orderkey, o_totalprice, case when o_orderstatus = 'F' then 1 else 0 end as label from orders)

@@ -247,6 +247,13 @@ def a10(spark, d):
     return p.select("column", "count", "nulls", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"), (F.col("min") + 0.0).alias("min"), (F.col("max") + 0.0).alias("max"))
 
 
+@query("a10_exact_quartiles", " union all ".join(f"""
+select '{c}' as "column", round(quantile_cont({c}::double, 0.25), 4) as q1, round(quantile_cont({c}::double, 0.5), 4) as median, round(quantile_cont({c}::double, 0.75), 4) as q3 from lineitem""" for c in PROFILE_COLS))
+def a10_exact(spark, d):
+    p = PR.profile(load(spark, d, "lineitem"), PROFILE_COLS, approximate=False)
+    return p.select("column", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")])
+
+
 @query("a11_missing_values", """
 select 'c_custkey' as "column", count(*) - count(c_custkey) as missing from customer union all
 select 'seg', count(*) - count(nullif(c_mktsegment, 'BUILDING')) from customer union all

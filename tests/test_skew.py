@@ -135,3 +135,22 @@ def test_null_key_matches_nothing(spark):
     hist = spark.createDataFrame([(None, "x", 0, None), (1, "y", 0, None)], "k int, v string, __START_AT int, __END_AT int")
     facts = spark.createDataFrame([(None, 5), (1, 5)], "k int, t int")
     assert {(r.k, r.v) for r in scd.as_of_join(facts, hist, "k", "t").collect()} == {(None, None), (1, "y")}
+
+
+def test_equal_rows_are_spread(spark):
+    df = spark.range(10_000, numPartitions=4).select(F.lit("k").alias("k"), F.when(F.col("id") % 5 < 2, 7).otherwise(F.col("id")).alias("s"), F.lit(1).alias("one"))
+    cut = skew.ranged(df, ["k"], ["s"], ranges=8)
+    sizes = [r["count"] for r in cut.groupBy("_p").count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) < 2 * 10_000 / 8
+    got = skew.ordered_scan(df, ["k"], ["s"], lead={"n": "s"}, running={"run": "one"}, ranges=8)
+    rows = sorted((r.run, r.s, r.n) for r in got.collect())
+    order = sorted([7] * 4000 + [i for i in range(10_000) if i % 5 >= 2])
+    assert rows == [(i + 1, v, w) for i, (v, w) in enumerate(zip(order, [*order[1:], None]))]
+
+
+def test_ranges_follow_the_bytes(spark, tmp_path):
+    spark.range(50_000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert skew.ranges_for(df) == few and skew.ranges_for(df, 1000) > few
+    assert skew.ranges_for(spark.createDataFrame([(1,)], "a int")) == few
