@@ -49,7 +49,7 @@ def turns_of(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "tu
     r, t = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role, text))
     m = F.md5(F.concat(F.octet_length(r).cast("string"), F.lit(":"), r, t).cast("binary"))
     rows = conversations.where(F.col(conv_id).isNotNull()).select(F.col(conv_id).cast("long").alias("conv"), F.col(turn).alias("turn"), m.alias("m"), F.octet_length(t).cast("long").alias("bytes"), F.lit(1).cast("long").alias("one"))
-    return ordered_scan(rows, ["conv"], ["turn"], ["m"], running={"pos": "one"}).select("conv", "pos", "m", "bytes")
+    return ordered_scan(rows, ["conv"], ["turn"], ["m"], running={"pos": "one"}, spread_equal=False).select("conv", "pos", "m", "bytes")
 
 
 def spliced(turns: DataFrame, source: Column, heads: Column, most: int) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +78,7 @@ def prefixes(turns: DataFrame, lengths: DataFrame) -> DataFrame:
     both = [F.xxhash64(F.lit(seed), "depth", "m") for seed in (1, 2)]
     halves = [x for b in both for x in (F.shiftrightunsigned(b, 32), b.bitwiseAND(F.lit(0xFFFFFFFF)))]
     rows = turns.withColumns(dict(zip(lanes, halves))).drop("m")
-    scan = ordered_scan(rows, ["conv"], ["depth"], running={f"s{i}": f"t{i}" for i in range(LANES)})
+    scan = ordered_scan(rows, ["conv"], ["depth"], running={f"s{i}": f"t{i}" for i in range(LANES)}, spread_equal=False)
     now = [F.col(f"s{i}") for i in range(LANES)]
     before = [F.col(f"s{i}") - F.col(f"t{i}") for i in range(LANES)]
     d = F.col("depth")
@@ -214,7 +214,7 @@ def prefix_trie(turns: DataFrame, lengths: DataFrame, cells: int | None = None)
     zero = F.lit(0).cast("long")
     marked = maybe.select("conv", "depth", *key).join(own, ["conv", "depth"], "left").select("conv", (-F.col("depth")).alias("up"), *key, F.coalesce("saves", zero).alias("saves"), F.coalesce("leaf", zero).alias("leaf"))
     ended = tails.where(last).select("conv", (-F.col("depth")).alias("up"), F.lit(None).cast("long").alias("k1"), F.lit(None).cast("long").alias("k2"), zero.alias("saves"), F.lit(1).cast("long").alias("leaf"))
-    summed = ordered_scan(marked.unionByName(ended), ["conv"], ["up"], running={"below": "saves", "leaves": "leaf"})
+    summed = ordered_scan(marked.unionByName(ended), ["conv"], ["up"], running={"below": "saves", "leaves": "leaf"}, spread_equal=False)
     subtree = summed.where("k1 is not null").groupBy(*key).agg(F.sum("below").cast("long").alias("saved_tokens"), F.sum("leaves").cast("long").alias("n_leaves"))
 
     first = tails.where("not above")
