@@ -217,7 +217,7 @@ def score(model, df: DataFrame, out: str = "probability_1") -> DataFrame:
     """Class and probability for every row; models without probabilities give their class."""
     s = model.transform(df)
     if "probability" in s.columns:
-        s = s.withColumn(out, vector_to_array("probability")[1]).drop("probability")
+        s = s.withColumn(out, F.when(F.col("probability").isNotNull(), vector_to_array("probability")[1])).drop("probability")
     else:
         s = s.withColumn(out, F.col("prediction"))
     return s.drop("rawPrediction")

@@ -6,7 +6,7 @@ The features of an order item stand in for the chemistry of a product; the label
 from __future__ import annotations
 
 from ..functions import udfs as D
-from ..operators import attribution as AT, ml as M, tuning as TU
+from ..operators import attribution as AT, ml as M, nets as NN, tuning as TU
 from ..session import materialize
 from .registry import F, W, load, query
 
@@ -271,3 +271,15 @@ def m17_halving(spark, d):
     ranked = TU.halving(tr, prep.transform(valid), {"forest": M.random_forest(trees=10, depth=6), "boosted": M.boosted_trees(iterations=5), "logistic": M.logistic()}, ITEM_KEY)
     tr.unpersist()
     return ranked
+
+
+@query("m10_minibatch_net")
+def m10_minibatch(spark, d):
+    """The net of 64 and 64 units after two epochs of mini-batches of 128: loss of both epochs, confusion table, rates and exact AUC."""
+    _, tr, valid, _ = _prepared(spark, d)
+    model = NN.NetClassifier().fit(tr)
+    tr.unpersist()
+    scored = materialize(M.score(model, valid).select("label", "prediction", "probability_1"))
+    loss = lambda e: F.sum(F.when(F.col("epoch") == e, F.col("loss") * F.col("n"))) / F.sum(F.when(F.col("epoch") == e, F.col("n")))
+    h = model.history(spark).agg(loss(0).alias("first_loss"), loss(1).alias("last_loss")).first()
+    return M.classification_metrics(scored, "label").select("*", F.lit(M.auc(scored, "label")).alias("auc"), F.lit(h.first_loss).alias("first_loss"), F.lit(h.last_loss).alias("last_loss"))
