@@ -74,7 +74,10 @@ class _Watch(StreamingQueryListener):
 
 
 class Flow:
-    def __init__(self, spark: SparkSession, root: str, config: Mapping[str, str] | None = None):
+    """``patience``: seconds to wait for a stream's last reports after its end. A ``flow_progress`` event says whether all of them
+    came (``complete``); where they did not, its counts are lower bounds."""
+
+    def __init__(self, spark: SparkSession, root: str, config: Mapping[str, str] | None = None, patience: float = 600):
         self.spark, self.root, self.config = spark, root.rstrip("/"), dict(config or {})
         self.datasets: dict[str, Dataset] = {}
         self.queries: list = []
@@ -87,6 +90,7 @@ class Flow:
         self._watch: _Watch | None = None
         self._runs: dict[str, dict] = {}
         self._lock = threading.Lock()
+        self.patience = patience
 
     # --- declarations -------------------------------------------------------------------------------
 
@@ -162,7 +166,9 @@ class Flow:
     def stop(self) -> None:
         for q in self.queries:
             q.stop()
-            self._run(str(q.runId))["over"].wait(30)
+            run = self._run(str(q.runId))
+            if not self._all_reported(run):  # what came is in the log already
+                self._progress(run["dataset"], 0, [], complete=False)
         if self._watch is not None:
             self.spark.streams.removeListener(self._watch)
             self._watch = None
@@ -251,12 +257,21 @@ class Flow:
             self.queries.append(q)
             return
         q.awaitTermination()
-        run["over"].wait(30)  # the last reports come with the end of the query
-        self._progress(d, run["rows"], run["seen"])
+        complete = self._all_reported(run)
+        with self._lock:
+            rows, seen = run["rows"], run["seen"]
+        self._progress(d, rows, seen, complete)
+
+    def _all_reported(self, run: dict) -> bool:
+        """Reports come in order and the end of the query last; a number left out among the micro-batches is one that got lost."""
+        over = run["over"].wait(self.patience)
+        with self._lock:
+            ids = run["batches"]
+            return over and (not ids or len(ids) == max(ids) - min(ids) + 1)
 
     def _run(self, run_id: str) -> dict:
         with self._lock:
-            return self._runs.setdefault(run_id, {"dataset": None, "observed": None, "log": False, "rows": 0, "seen": [], "waiting": [], "over": threading.Event()})
+            return self._runs.setdefault(run_id, {"dataset": None, "observed": None, "log": False, "rows": 0, "seen": [], "waiting": [], "batches": set(), "over": threading.Event()})
 
     def _report(self, run_id: str, p) -> None:
         """One micro-batch: added to its run, and in a continuous run written to the event log."""
@@ -265,6 +280,7 @@ class Flow:
             if run["dataset"] is None:
                 run["waiting"].append(p)
                 return
+            run["batches"].add(p.batchId)
         name = run["observed"]
         seen = [p.observedMetrics[name].asDict()] if name and name in (p.observedMetrics or {}) else []
         rows = sum(m["rows"] - m["dropped"] for m in seen) if name else p.numInputRows
@@ -279,8 +295,8 @@ class Flow:
 
     # --- event log ----------------------------------------------------------------------------------
 
-    def _progress(self, d: Dataset, rows: int, seen: list[dict]) -> None:
-        details: dict = {"metrics": {"num_output_rows": rows}}
+    def _progress(self, d: Dataset, rows: int, seen: list[dict], complete: bool = True) -> None:
+        details: dict = {"metrics": {"num_output_rows": rows}, "complete": complete}
         if d.rules:
             total = sum(m["rows"] for m in seen)
             exp = []

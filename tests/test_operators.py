@@ -3,6 +3,7 @@
 import datetime
 import json
 import random
+import threading
 from collections import Counter
 from itertools import combinations
 
@@ -301,3 +302,22 @@ def test_flow_errors(spark, new_dir):
         flow.update()
     with pytest.raises(ValueError, match="twice"):
         flow.table("a")(lambda: None)
+
+
+def test_progress_says_whether_all_reports_came(spark, new_dir):
+    base = new_dir()
+    flow = Flow(spark, f"{base}/flow", patience=0.2)
+    spark.range(10).write.parquet(f"{base}/in")
+    flow.stream("s", expect={"small": "id < 7"})(lambda: stream_files(spark, f"{base}/in", "parquet", "id long"))
+    complete = lambda: [r[0] for r in flow.event_log().where("event_type = 'flow_progress'").orderBy("timestamp").select(F.get_json_object("details", "$.flow_progress.complete")).collect()]
+    flow.patience = 600
+    flow.update()
+    assert complete() == ["true"]
+    assert rows(Q.event_metrics(flow.event_log()).select("passed_records", "failed_records")) == [(7, 3)]
+    flow.patience, flow._watch.onQueryTerminated = 0.2, lambda event: None  # the end of the next run is never heard of
+    flow.update()
+    assert complete() == ["true", "false"]
+    run = {"over": threading.Event(), "batches": {4, 6}}
+    run["over"].set()
+    assert not flow._all_reported(run) and flow._all_reported(run | {"batches": {4, 5, 6}}) and flow._all_reported(run | {"batches": set()})
+    flow.stop()
