@@ -9,7 +9,9 @@ Hidden layers are linear, ReLU, batch normalisation; dropout stands before the s
 through a sigmoid; the steps are Adam's. The mean, variance and moments that a task has gathered are averaged like weights.
 
 Rows whose label or features are NULL take no part in training and have a NULL probability. Without such rows the network stays as
-drawn, of no inputs at all: it scores rows without features only. With one partitioning, results do not depend on retries: draws depend on seed, epoch, round and partition alone.
+drawn, of no inputs at all: it scores rows without features only. With one partitioning, results do not depend on retries: draws
+depend on seed, epoch, round and partition alone. Columns other than label and features are not read by ``fit`` and pass through
+``transform``. Tasks should hold a mix of both labels (``ml.keep_for_training`` deals rows out evenly).
 """
 
 from __future__ import annotations
