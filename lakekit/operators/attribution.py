@@ -3,7 +3,8 @@
 Every leaf of a tree is a path of conditions, at most one per feature (intervals of one feature are intersected). For a row a path has
 one bit per feature: does the row meet its condition? A feature that is left open is met by the share of training rows that
 went this way. The Shapley value of a path is the leaf's value times a sum over subsets of its features, which only depends on
-how many are in the subset: the coefficients of a product of (share + bit * t). It is computed once per bit pattern that a batch has.
+how many are in the subset: the coefficients of a product of (share + bit * t). It is computed once per task for every bit pattern of a path
+(once per batch for the patterns that occur, where the tables of all paths would be larger than ``TABLE_BYTES``).
 
 The paths travel with the task; a forest whose paths are larger than ``most_bytes`` is refused. Rows are scored in Arrow batches.
 """
@@ -20,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
 MOST_BYTES = 64 << 20
+TABLE_BYTES = 64 << 20
 
 
 class Path(NamedTuple):
@@ -86,23 +88,49 @@ def base_value(paths: Sequence[Path]) -> float:
     return float(sum(p.value * np.prod(p.share) for p in paths))
 
 
-def shapley(paths: Sequence[Path], x: np.ndarray) -> np.ndarray:
-    """Shapley values of all features (columns of x) for all rows."""
-    out = np.zeros(x.shape)
+def tables(paths: Sequence[Path], most_bytes: int = TABLE_BYTES) -> list[np.ndarray | None]:
+    """For every path its Shapley values under all patterns of bits (a row per feature, a column per pattern), as far as ``most_bytes`` go."""
+    out, left = [], most_bytes
     for p in paths:
-        if not p.features:
+        m = len(p.features)
+        size = 8 * m << m
+        if not 0 < m <= 10 or size > left:
+            out.append(None)
             continue
-        cols = x[:, p.features]
-        bits = (cols > np.array(p.low)) & (cols <= np.array(p.high))
-        for j, c in enumerate(p.categories):
-            if c is not None:
-                bits[:, j] = np.isin(cols[:, j], list(c))
-        patterns, which = np.unique(np.packbits(bits, axis=1), axis=0, return_inverse=True)
-        known = np.unpackbits(patterns, axis=1)[:, : len(p.features)].astype(float)
-        out[:, p.features] += path_values(p, known)[which.ravel()]
+        left -= size
+        out.append(np.ascontiguousarray(path_values(p, (np.arange(1 << m)[:, None] >> np.arange(m) & 1).astype(float)).T))
     return out
 
 
+def shapley(paths: Sequence[Path], x: np.ndarray, known: Sequence[np.ndarray | None] | None = None) -> np.ndarray:
+    """Shapley values of all features (columns of x) for all rows; ``known``: the ``tables`` of the paths, if a caller has many batches.
+
+    The bits of a row under a path are one number, which looks up its values; without a table, those of the numbers that occur are computed.
+    """
+    known = [None] * len(paths) if known is None else known
+    cols, out = np.ascontiguousarray(x.T), np.zeros(x.shape[::-1])
+    for p, table in zip(paths, known):
+        if not p.features:
+            continue
+        bits = [_meets(cols[f], low, high, c) for f, low, high, c in zip(p.features, p.low, p.high, p.categories)]
+        if table is None:
+            patterns, which = np.unique(np.packbits(np.stack(bits, 1), axis=1), axis=0, return_inverse=True)
+            table, code = path_values(p, np.unpackbits(patterns, axis=1)[:, : len(bits)].astype(float)).T, which.ravel()
+        else:
+            code = np.zeros(len(x), np.uint16)
+            for j, b in enumerate(bits):
+                code |= b.astype(np.uint16) << np.uint16(j)
+        for f, values in zip(p.features, table):
+            out[f] += values[code]
+    return out.T
+
+
+def _meets(col: np.ndarray, low: float, high: float, categories: frozenset | None) -> np.ndarray:
+    if categories is not None:
+        return np.isin(col, list(categories))
+    return (col > low) & (col <= high)
+
+
 def attributions(model, df: DataFrame, features: str = "features", keep: Sequence[str] = (), most_bytes: int = MOST_BYTES) -> DataFrame:
     """The ``keep`` columns with ``base`` and ``attribution``, one value per feature; base and values add up to the prediction
     (the probability of class 1 for a classifier's forest). No row is left out; an empty frame gives none."""
@@ -115,10 +143,11 @@ def attributions(model, df: DataFrame, features: str = "features", keep: Sequenc
     out = T.StructType([rows.schema[c] for c in keep] + T.StructType.fromDDL("base double, attribution array<double>").fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = tables(paths)
         for b in batches:
             if b.num_rows:
                 x = b.column("_x").flatten().to_numpy().reshape(b.num_rows, -1)
-                v = shapley(paths, x)
+                v = shapley(paths, x, known)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, v.shape[1], dtype=np.int32)), pa.array(v.ravel()))
                 yield pa.record_batch([*[b.column(c) for c in keep], pa.array(np.full(b.num_rows, base)), lists], names=[*keep, "base", "attribution"])
 

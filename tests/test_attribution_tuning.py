@@ -52,6 +52,19 @@ def test_values_equal_enumeration_and_add_up(forest):
         assert np.allclose(r.attribution, enumerated(paths, r.features.toArray()), atol=1e-10)
 
 
+def test_paths_are_worked_out_once_for_many_batches(monkeypatch):
+    rnd = np.random.default_rng(1)
+    at = np.cumsum(rnd.random((12, 3)), 1) - 1.5
+    paths = [AT.Path((0, 1, 3), (-np.inf, a, -np.inf), (b, c, np.inf), (None, None, frozenset([1.0, 2.0])), (0.5, 0.25, 0.75), 1.0 + a) for a, b, c in at] + [AT.Path((), (), (), (), (), 1.0)]
+    x = np.concatenate([rnd.normal(size=(300, 3)), rnd.integers(0, 4, (300, 1))], 1)
+    plain, known, calls, whole = AT.shapley(paths, x), AT.tables(paths), [], AT.path_values
+    assert np.allclose(plain[:40], [enumerated(paths, r) for r in x[:40]])
+    monkeypatch.setattr(AT, "path_values", lambda *a: calls.append(1) or whole(*a))
+    assert np.allclose(np.concatenate([AT.shapley(paths, part, known) for part in np.array_split(x, 10)]), plain, rtol=1e-12, atol=1e-15) and not calls
+    some = AT.tables(paths, most_bytes=5 * 8 * 3 << 3)  # room for five tables: the other paths take what occurs
+    assert [t is not None for t in some] == [True] * 5 + [False] * 8 and np.allclose(AT.shapley(paths, x, some), plain, rtol=1e-12, atol=1e-15)
+
+
 def test_repeated_features_and_unused_ones():
     """Bounds of one feature are one condition; a feature on no path has no value."""
     paths = [AT.Path((0,), (1.0,), (2.0,), (None,), (0.25,), 8.0), AT.Path((0, 2), (-np.inf, 0.0), (1.0, np.inf), (None, None), (0.5, 0.5), 4.0), AT.Path((), (), (), (), (), 1.0)]
