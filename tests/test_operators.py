@@ -7,6 +7,7 @@ import threading
 from collections import Counter
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,6 +245,28 @@ def test_popular_pairs(spark, seed, heavy, buckets, largest):
     assert [tuple(x) for x in got.collect()] == pairs_by_hand(items, 15)
 
 
+@pytest.mark.parametrize("block,giant,hot", [(3, 1000, 1000), (3, 8, 5), (256, 8, 1), (2, 4, 1)])
+def test_popular_pairs_of_split_sales_and_items(spark, monkeypatch, block, giant, hot):
+    """Sales longer than a block, sales that are asked, items whose pairs go to several tasks, a few pairs in memory."""
+    for name, v in {"BLOCK": block, "GIANT": giant, "HOT": hot, "AT_ONCE": 50}.items():
+        monkeypatch.setattr(PA, name, v)
+    r = random.Random(block + giant)
+    items = [(0 if r.random() < 0.2 else r.randrange(60), f"i{int(r.random() ** 2 * 40)}") for _ in range(700)]
+    df = spark.createDataFrame(items, "s int, i string")
+    for args in [(), (3, 64, 1000), (3, 4, 2)]:
+        assert [tuple(x) for x in PA.top_pairs(df, "s", "i", 15, *args).collect()] == pairs_by_hand(items, 15)
+
+
+def test_pairs_are_sent_together(spark):
+    """Without useful bounds every pair is formed; what is shuffled for it is a few rows per task, not a row per pair."""
+    code = pa.array([list(range(i, i + 40)) for i in range(500)], pa.list_(pa.int32()))
+    batch = pa.record_batch({"two": pa.array([False] * 500), "code": code, "side": pa.array([[0] * 40] * 500, pa.list_(pa.int32()))})
+    sent = list(PA._send(iter([batch]), 10_000, 4, {}, []))
+    assert sum(b.num_rows for b in sent) == 4 and sum(b.nbytes for b in sent) < 4 * 500 * 780
+    got = {(r["a"], r["b"]): r["n"] for b in PA._count(iter(sent), 10_000, 1) for r in b.to_pylist()}
+    assert got == Counter(p for i in range(500) for p in combinations(range(i, i + 40), 2))
+
+
 def test_pairs_of_a_very_large_sale(spark):
     """100,000 items in one sale (5e9 pairs), three of them often together elsewhere; and sales that have no pair at all."""
     big = spark.range(100_000).select(F.lit(-1).cast("long").alias("s"), F.col("id").alias("i"))
