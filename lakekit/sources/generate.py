@@ -23,7 +23,7 @@ COUNTRIES = ["FR", "USA", "SPAIN"]
 # Shares of completed orders, of pending among the others, of members, of ready mixes, of items without notes.
 COMPLETED, PENDING, MEMBER, READY_MIX, NO_NOTES = 0.9, 0.7, 0.2, 0.7, 0.8
 MAX_MEMBER = 100
-STORE_DAYS_PER_TASK = 16  # about 10,000 orders
+STORE_DAYS_PER_TASK = 64  # about 40,000 orders
 
 
 def uniform(seed: int, tag: str, *keys) -> Column:
@@ -63,7 +63,10 @@ def gen_orders(
     days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day")
     slots = stores.select("store_id", "country", days)
     # the few rows here grow a thousandfold below: spread them first, by a number that AQE does not lower
-    slots = slots.repartition(-(-slots.count() // STORE_DAYS_PER_TASK) or 1, "store_id", "day")
+    # where stores are many, all days of one go to one task: counts per store or per store and time then need no shuffle of the orders
+    days_of_stores, n_stores = slots.count(), stores.count()
+    tasks = -(-days_of_stores // STORE_DAYS_PER_TASK) or 1
+    slots = slots.repartition(tasks, *(["store_id"] if n_stores >= 4 * tasks else ["store_id", "day"]))
     slots = slots.select("*", F.explode(F.sequence(F.lit(hours[0]), F.lit(hours[1]))).alias("hour"))
     slots = slots.select("*", F.explode(F.sequence(F.lit(0), F.lit(50), F.lit(10))).alias("minute"))
     if holidays is not None:
