@@ -78,12 +78,17 @@ class VersionedTable:
     # --- commit log ---------------------------------------------------------------------------------
 
     def _log(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT_DDL).json(f"{self.path}/commits")
+        return self.spark.read.schema(COMMIT_DDL + ", _v long").json(f"{self.path}/commits")
 
     def _commit(self, version: int | None = None, timestamp: str | datetime | None = None) -> Commit:
         log = self._log()
+        if version is None and timestamp is None:
+            # records list all parts: of many versions only the newest is read, by the number in its folder's name
+            files = log.inputFiles()
+            newest = max((int(f.rsplit("/_v=", 1)[1].split("/")[0]) for f in files), default=None)
+            log = log.where(F.col("_v") == newest) if newest is not None else log
         if version is not None:
-            log = log.where(F.col("version") == version)
+            log = log.where(F.col("_v") == version)
         if timestamp is not None:
             log = log.where(F.col("timestamp") <= F.lit(timestamp).cast("timestamp"))
         row = log.orderBy(F.desc("version")).first()

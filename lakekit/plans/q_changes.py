@@ -19,6 +19,7 @@ def change_log(spark, d):
 
 LOG_DDL = "user_id long, ts timestamp_ntz, event_id long, kind string, value double, _change_type string"
 CONTROL = ["event_id", "_change_type"]
+FILE_ROWS = 1_000_000
 
 LI_KEY = ["l_orderkey", "l_linenumber"]
 LI_REST = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -115,7 +116,9 @@ def _batches(spark, d, label, **kw):
     base = workdir(spark, label)
     log = change_log(spark, d)
     for i, types in enumerate([["purchase", "view"], ["error"], ["click", "signup"]]):
-        log.join(load(spark, d, "events").where(F.col("event_type").isin(types)).select("event_id"), "event_id", "left_semi").select(*log.columns).write.parquet(f"{base}/in/b{i}")
+        ids = load(spark, d, "events").where(F.col("event_type").isin(types)).select("event_id")
+        files = ids.count() // FILE_ROWS + 1  # and not as many as the join has partitions
+        log.join(ids, "event_id", "left_semi").select(*log.columns).repartition(files).write.parquet(f"{base}/in/b{i}")
     target = ChangeTarget(spark, f"{base}/target", "user_id", "ts", LOG_DDL, delete_when="_change_type = 'delete'", ignore_null_updates=True, tie_by="event_id", buckets=8, **kw)
     stream = spark.readStream.schema(LOG_DDL).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
     target.run(stream, f"{base}/checkpoint")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import scd
-from ..operators.versioned import VersionedTable
+from ..operators.versioned import Commit, VersionedTable
 
 BUCKET = "_bucket"
 
@@ -30,7 +30,9 @@ class ChangeTarget:
 
     Type 1 stores the mergeable state of ``scd1_state`` (deletes and column positions included), so late
     rows, late deletes and late NULL updates give the same result as the whole log at once. Type 2 keeps the
-    changes themselves and, beside them, the intervals; a batch recomputes the intervals of its own keys.
+    changes themselves and, beside them, the intervals. A batch adds its changes; whenever the log has doubled, and at the end of ``run``, the
+    intervals of the keys with new changes are computed anew, so the work over many batches follows the rows, not rows times
+    batches. ``read`` computes the keys that have changes since then.
     Batches are told by stream and number; a stream with a new checkpoint reads everything again, and a change that
     comes twice is one change.
     Both are split into buckets of keys, and only buckets that hold a key of the batch are rewritten. The
@@ -52,6 +54,9 @@ class ChangeTarget:
     def _has(self, table: VersionedTable, batch_id: int) -> bool:
         if not table.exists():
             return False
+        c = table._commit()
+        if c.params.get("stream", "") == self._stream() and "batch" in c.params:
+            return batch_id <= c.params["batch"]  # numbers of one stream rise
         mine = F.coalesce(F.get_json_object("params", "$.stream"), F.lit("")) == self._stream()
         done = table.history().where(mine).select(F.max(F.get_json_object("params", "$.batch").cast("long"))).first()[0]
         return done is not None and batch_id <= done
@@ -71,7 +76,7 @@ class ChangeTarget:
 
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         """For ``foreachBatch``."""
-        if self._has(self.table, batch_id):
+        if self._has(self.log if self.scd_type == 2 else self.table, batch_id):
             return
         batch = _bucket(batch, self.keys, self.buckets).persist()
         try:
@@ -89,31 +94,64 @@ class ChangeTarget:
         self._save(self.table, _bucket(state, self.keys, self.buckets), touched, batch_id)
 
     def _batch2(self, batch: DataFrame, touched: list[int], batch_id: int) -> None:
-        if not self._has(self.log, batch_id):
-            if self.log.exists():
-                self.log.append(batch, operation="BATCH", params=self._params(batch_id))
-            else:
-                VersionedTable.create(batch, self.log.path, partition_by=BUCKET, operation="BATCH", params=self._params(batch_id))
-        keys = batch.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys]).distinct()
-        log = self.log.read().where(F.col(BUCKET).isin(touched))
-        fresh = self._scd2(log.join(keys, _same(log, keys, self.keys), "left_semi").drop(BUCKET))
-        if self.table.exists():
+        if self.log.exists():
+            self.log.append(batch, operation="BATCH", params=self._params(batch_id))
+        else:
+            VersionedTable.create(batch, self.log.path, partition_by=BUCKET, operation="BATCH", params=self._params(batch_id))
+        log = self.log._commit()
+        if log.n_rows >= 2 * self._folded().get("log_rows", 0):
+            self._fold(log)
+
+    def _folded(self) -> dict:
+        """Up to which version of the log, of how many rows, the intervals go."""
+        return self.table._commit().params if self.table.exists() else {}
+
+    def _fresh(self, log: Commit) -> tuple[list[int], DataFrame, DataFrame] | None:
+        """(buckets, keys, intervals of these) of the changes that the intervals do not hold yet."""
+        upto = self._folded().get("log_version")
+        done = set() if upto is None else {p[:3] for p in self.log._commit(upto).parts}
+        new = [p for p in log.parts if p[:3] not in done]
+        if not new:
+            return None
+        touched = {p[2] for p in new}
+        keys = self.log._rows(log, new).select(*[F.col(k).alias(f"_k_{k}") for k in self.keys]).distinct()
+        rows = self.log._rows(log, [p for p in log.parts if p[2] in touched])
+        return [int(t.split("=", 1)[1]) for t in touched], keys, self._scd2(rows.join(keys, _same(rows, keys, self.keys), "left_semi").drop(BUCKET))
+
+    def _fold(self, log: Commit) -> None:
+        if got := self._fresh(log):
+            touched, keys, fresh = got
+            params = {"log_version": log.version, "log_rows": log.n_rows}
+            if not self.table.exists():
+                VersionedTable.create(_bucket(fresh, self.keys, self.buckets), self.table.path, partition_by=BUCKET, operation="BATCH", params=params)
+                return
             old = self.table.read().where(F.col(BUCKET).isin(touched)).drop(BUCKET)
             fresh = old.join(keys, _same(old, keys, self.keys), "left_anti").unionByName(fresh)
-        self._save(self.table, _bucket(fresh, self.keys, self.buckets), touched, batch_id)
+            self.table.replace_parts(_bucket(fresh, self.keys, self.buckets), touched, "BATCH", params)
+
+    def _intervals(self) -> DataFrame:
+        got = self._fresh(self.log._commit())
+        if got is None:
+            return self.table.read().drop(BUCKET)
+        if not self.table.exists():
+            return got[2]
+        old = self.table.read().drop(BUCKET)
+        return old.join(got[1], _same(old, got[1], self.keys), "left_anti").unionByName(got[2])
 
     def run(self, sdf: DataFrame, checkpoint: str):
         """Apply everything available in the stream and stop."""
         q = sdf.writeStream.foreachBatch(self.apply_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         q.awaitTermination()
+        if self.scd_type == 2 and self.log.exists():
+            self._fold(self.log._commit())
         return q
 
     def read(self) -> DataFrame:
         """The dimension as it stands."""
         empty = self.spark.createDataFrame([], self.schema)
-        if not self.table.exists():
+        if not (self.log if self.scd_type == 2 else self.table).exists():
             return scd.apply_changes(empty, self.keys, self.seq, self.delete_when, self.ignore_null, self.except_cols, self.scd_type, self.tie_by)
-        state = self.table.read().drop(BUCKET)
         if self.scd_type == 2:
-            return state
+            return self._intervals()
+        state = self.table.read().drop(BUCKET)
         return scd.scd1_view(state, [c for c in empty.columns if c not in self.except_cols])

@@ -115,6 +115,17 @@ def test_shuffled_micro_batches_equal_the_whole_log(spark, new_dir, scd_type):
     assert as_set(t.read()) == whole
 
 
+def test_intervals_are_not_made_anew_by_every_batch(spark, new_dir):
+    """Six batches of equal size: the intervals follow when the log has doubled; ``read`` knows the changes since."""
+    feed = random_feed(3, 60)
+    t = ChangeTarget(spark, new_dir("target"), "id", "_change_timestamp", DDL, delete_when="_change_type = 'delete'",
+                     ignore_null_updates=True, except_cols=CONTROL, scd_type=2, buckets=2)
+    for i in range(6):
+        t.apply_batch(spark.createDataFrame(feed[10 * i : 10 * i + 10], DDL), i)
+    assert t.table.version == 2 and t.log.version == 5
+    assert as_set(t.read()) == as_set(apply(spark.createDataFrame(feed, DDL), 2))
+
+
 @pytest.mark.parametrize("scd_type", [1, 2])
 def test_stream_with_a_new_checkpoint_goes_on(spark, new_dir, scd_type):
     src, out = new_dir("src"), new_dir("target")
