@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 
 from ..sources.files import key_share
 from . import ml
+from .cells import Trainer
 
 
 class Range(NamedTuple):
@@ -102,12 +103,16 @@ BOOSTED = {"maxDepth": Range(2, 6, True), "maxIter": Range(3, 12, True), "stepSi
 
 def search_boosted(train: DataFrame, valid: DataFrame, trials: int = 5, parallelism: int = 10, label: str = "label", seed: int = 42, space: Mapping[str, Range] = BOOSTED):
     """(best model, one row per trial: trial, auc and every parameter) by AUC on ``valid``; ``train`` should be kept in memory."""
-    models, lock = {}, threading.Lock()
+    models, lock, trainer = {}, threading.Lock(), Trainer(train, label).prepare()
+    counts = trainer.scored_counts(valid)
 
     def auc_of(p: dict) -> float:
         est = ml.boosted_trees(label)
-        model = est.copy({est.getParam(k): v for k, v in p.items()}).fit(train)
-        value = ml.auc(ml.score(model, valid), label)
+        model = trainer.fit(est.copy({est.getParam(k): v for k, v in p.items()}))
+        if counts is None:
+            value = ml.auc(ml.score(model, valid), label)
+        else:
+            value = ml.auc_frame(ml.score(model.model, counts), "label", "probability_1", weight="w").first()[0]
         with lock:
             best = max(models, default=None)
             if best is None or value > best:
@@ -116,6 +121,7 @@ def search_boosted(train: DataFrame, valid: DataFrame, trials: int = 5, parallel
         return value
 
     done = maximise(auc_of, space, trials, parallelism, seed)
+    trainer.unpersist()
     rows = [(t.number, t.value, *[float(t.parameters[k]) for k in space]) for t in done]
     schema = "trial int, auc double, " + ", ".join(f"{k} double" for k in space)
     return models[max(models)], train.sparkSession.createDataFrame(rows, schema)
@@ -133,12 +139,13 @@ def halving(train: DataFrame, valid: DataFrame, models: Mapping[str, object], ke
     late = lambda: time_limit is not None and time.monotonic() - begun > time_limit
     while True:
         part = train if share >= 1.0 else train.where(key_share(key) < share)
-        scores = {}
+        scores, trainer = {}, Trainer(part, label)
         for name in left:
             if late():
                 break
-            scores[name] = ml.auc(ml.score(models[name].fit(part), valid), label)
+            scores[name] = ml.auc(ml.score(trainer.fit(models[name]), valid), label)
             last[name] = (share, scores[name])
+        trainer.unpersist()
         if late() or (share >= 1.0 and len(left) == 1) or not scores:
             break
         order = sorted(scores, key=lambda n: (-scores[n], n))

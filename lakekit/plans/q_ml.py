@@ -237,7 +237,7 @@ def m08_metrics(spark, d):
 def m11_parzen(spark, d):
     """Every trial with its AUC and parameters."""
     _, tr, valid, _ = _prepared(spark, d)
-    trials = TU.search_boosted(tr, valid.select("features", "label").persist(), trials=8, parallelism=4)[1]
+    trials = TU.search_boosted(tr, valid.select("features", "label"), trials=8, parallelism=4)[1]
     tr.unpersist()
     return trials
 
