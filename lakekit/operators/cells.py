@@ -14,12 +14,13 @@ from math import ceil, isqrt
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
+from . import perceptron
 
 LEAST = 1_000_000
 WIDEST = 64
@@ -94,20 +95,24 @@ class CellModel:
 
 
 class Trainer:
-    """Fits models on one training table. Trees share its cells; other models get its rows."""
+    """Fits models on one training table. Trees share its cells, nets get its rows in blocks, other models as they are."""
 
     def __init__(self, df: DataFrame, label: str = "label", features: str = "features", least: int | None = None):
         self.df, self.label, self.features, self.least = df, label, features, LEAST if least is None else least
-        self.binning, self._cells, self._counted = None, None, False
+        self.binning, self._rows, self._cells, self._counted = None, None, None, False
+
+    def _many(self) -> bool:
+        if self._rows is None:
+            self._rows = self.df.count()
+        return self._rows >= max(1, self.least)
 
     def _count(self) -> None:
         if self._counted:
             return
         self._counted = True
-        rows = self.df.count()
-        first = self.df.select(self.features).first()
-        if rows < self.least or first[0].size > WIDEST:
+        if not self._many() or self.df.select(self.features).first()[0].size > WIDEST:
             return
+        rows = self._rows
         binning = Binning(self.df, rows, self.features)
         cells = materialize(binning.cells(self.df, self.label))
         n = cells.count()
@@ -123,6 +128,8 @@ class Trainer:
         return self
 
     def fit(self, est):
+        if isinstance(est, MultilayerPerceptronClassifier) and est.getSolver() == "l-bfgs" and self._many():
+            return perceptron.fit(est, self.df)
         if not isinstance(est, RandomForestClassifier | GBTClassifier):
             return est.fit(self.df)
         self._count()

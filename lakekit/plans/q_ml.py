@@ -6,7 +6,7 @@ The features of an order item stand in for the chemistry of a product; the label
 from __future__ import annotations
 
 from ..functions import udfs as D
-from ..operators import attribution as AT, ml as M, nets as NN, tuning as TU
+from ..operators import attribution as AT, cells as TR, ml as M, nets as NN, tuning as TU
 from ..session import materialize
 from .registry import F, W, load, query
 
@@ -128,8 +128,11 @@ REPORT_SQL = VALID_SQL + "select count(*) as n, sum(y)::bigint as positives, tru
 
 def _report(spark, d, make):
     """The rows are scored once, into counts per (label, prediction, probability); everything else comes from these."""
-    model, _, tr, valid, _ = _fitted(spark, d, make)
+    _, tr, valid, _ = _prepared(spark, d)
+    trainer = TR.Trainer(tr)
+    model = trainer.fit(make(tr))
     per = materialize(M.score(model, valid).groupBy("label", "prediction", "probability_1").agg(F.count(F.lit(1)).alias("w")))
+    trainer.unpersist()
     tr.unpersist()
     auc = M.auc_frame(per, "label", "probability_1", weight="w").first()[0]
     cell = lambda y, p: F.coalesce(F.sum(F.when((F.col("label") == y) & (F.col("prediction") == p), F.col("w"))), F.lit(0))
@@ -224,11 +227,12 @@ def m17(spark, d):
 def m08_metrics(spark, d):
     """Forest, boosted trees and net on one split: the whole confusion table, the rates made from it and the exact AUC."""
     _, tr, valid, _ = _prepared(spark, d)
-    out = None
+    out, trainer = None, TR.Trainer(tr)
     for name, est in {"boosted": M.boosted_trees(), "forest": M.random_forest(), "net": M.neural_net(tr.first().features.size)}.items():
-        scored = materialize(M.score(est.fit(tr), valid).select("label", "prediction", "probability_1"))
+        scored = materialize(M.score(trainer.fit(est), valid).select("label", "prediction", "probability_1"))
         one = M.classification_metrics(scored, "label").select(F.lit(name).alias("model"), "*", F.lit(M.auc(scored, "label")).alias("auc"))
         out = one if out is None else out.unionByName(one)
+    trainer.unpersist()
     tr.unpersist()
     return out
 
