@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.scalar import h_concentration, log_ratio
 from ..sources.files import key_share
+from .cells import Trainer
 from .skew import ordered_scan
 
 MISSING = "(missing)"  # the encoder refuses an empty category name
@@ -190,9 +192,22 @@ def search(train: DataFrame, trials: int = 5, parallelism: int = 10, label: str
         grid += b.build()
         table.append({k.name: v for k, v in p.items()})
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    model = TrainValidationSplit(estimator=gbt, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.75, parallelism=parallelism, seed=seed).fit(train)
-    rows = [(i, float(a), str(table[i])) for i, a in enumerate(model.validationMetrics)]
-    return model.bestModel, train.sparkSession.createDataFrame(rows, "trial int, auc double, params string")
+    rows = lambda metrics: train.sparkSession.createDataFrame([(i, float(a), str(table[i])) for i, a in enumerate(metrics)], "trial int, auc double, params string")
+    part, held = train.randomSplit([0.75, 0.25], seed)
+    trainer = Trainer(part.persist(), label).prepare()
+    counts = trainer.scored_counts(held)
+    part.unpersist()
+    if counts is None:
+        model = TrainValidationSplit(estimator=gbt, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.75, parallelism=parallelism, seed=seed).fit(train)
+        return model.bestModel, rows(model.validationMetrics)
+    ev.setLabelCol("label").setWeightCol("w")
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        metrics = list(pool.map(lambda p: ev.evaluate(trainer.fit(gbt.copy(p)).model.transform(counts)), grid))
+    trainer.unpersist()
+    whole = Trainer(train, label)
+    best = whole.fit(gbt.copy(grid[max(range(trials), key=lambda i: metrics[i])]))
+    whole.unpersist()
+    return best, rows(metrics)
 
 
 def compare(train: DataFrame, valid: DataFrame, models: Mapping[str, object], label: str = "label", time_limit: float | None = None) -> DataFrame:
@@ -202,13 +217,14 @@ def compare(train: DataFrame, valid: DataFrame, models: Mapping[str, object], la
     """
     import time
 
-    start, rows = time.monotonic(), []
+    start, rows, trainer = time.monotonic(), [], Trainer(train, label)
     for name, est in models.items():
         if time_limit is not None and time.monotonic() - start > time_limit:
             rows.append((name, None, "not fitted: time limit"))
             continue
-        m = est.fit(train)
+        m = trainer.fit(est)
         rows.append((name, auc(score(m, valid), label), "fitted"))
+    trainer.unpersist()
     df = train.sparkSession.createDataFrame(rows, "model string, auc double, status string")
     return df.orderBy(F.desc_nulls_last("auc"), "model")
 
