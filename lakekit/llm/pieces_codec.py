@@ -2,8 +2,8 @@
 
 A text is ``▁`` (the dummy prefix) and the text with ``▁`` for every space. No piece of the model holds ``▁`` after another character, so
 a text falls into words, each ``▁`` and what follows up to the next space. Words that a task has not met yet are encoded
-together: words of equal length form a matrix and advance position by position; hashes of the substrings that start there probe
-the sorted keys of the pieces and of their beginnings, and a vectorised maximum over the pieces stores the way back. Everything else is gathering ids.
+together: words of like length form a matrix and advance position by position; hashes of the substrings that start there probe
+a table of the pieces and of their beginnings, and a vectorised maximum over the pieces stores the way back. Everything else is gathering ids.
 
 Two kinds of models are served. In a unigram model a path's value is the sum of the scores of its pieces. In a merge (BPE) model a piece
 may follow another only if the merges would really leave the two side by side; this makes the path unique and equal to the merge
@@ -19,6 +19,7 @@ encoded alike. The table of words that a task keeps is emptied when it is full,
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import chain, repeat
 
@@ -63,10 +64,44 @@ def load_model(path: str = MODEL, file: bytes | None = None) -> dict:
     t["keys"], t["ids"] = keys[order], np.array(list(starts.values()))[order]
     if (t["keys"][1:] == t["keys"][:-1]).any():
         raise ValueError("two pieces share a key")
+    t["starts"] = slots_of(t["keys"])
     t["spaces"] = [_merge(SPACE * n, by_text, score)[0] if merges else None for n in range(65)]
     return t
 
 
+def slots_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """Distinct keys dealt over eight times as many slots or more; one whose slot is taken goes to the next: (keys, their places, shift)."""
+    bits = max(4, (8 * len(keys)).bit_length())
+    slots, place, shift = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32), np.uint64(64 - bits)
+    left = np.arange(len(keys), dtype=np.int32)
+    at = (keys * BASE >> shift).astype(np.int64)
+    while len(left):
+        free = place[at] < 0
+        place[at[free]] = left[free]
+        done = place[at] == left
+        slots[at[done]] = keys[left[done]]
+        left, at = left[~done], at[~done] + 1 & (1 << bits) - 1
+    return slots, place, shift
+
+
+def find(table: tuple[np.ndarray, np.ndarray, np.uint64], keys: np.ndarray) -> np.ndarray:
+    """The places of keys among those of ``slots_of``, -1 for others."""
+    slots, place, shift = table
+    at = (keys * BASE >> shift).astype(np.int64)
+    got = place[at]
+    other = slots[at] != keys
+    again = np.flatnonzero(other & (got >= 0))
+    got[other] = -1
+    at = at[again]
+    while len(again):
+        at = at + 1 & len(slots) - 1
+        near, same = place[at], slots[at] == keys[again]
+        got[again[same]] = near[same]
+        on = ~same & (near >= 0)
+        again, at = again[on], at[on]
+    return got
+
+
 def _key(piece: str) -> int:
     h = 0
     for c in piece:
@@ -107,7 +142,7 @@ def _merge_tables(t: dict, by_text: dict[str, int]) -> None:
                     pair.append(a * n + b)
                     merged.append(i)
     order = np.argsort(pair)
-    t["pairs"], t["merged_rank"] = np.array(pair, np.int64)[order], t["rank"][np.array(merged, int)][order]
+    t["pairs"], t["merged_rank"] = slots_of(np.array(pair, np.uint64)[order]), t["rank"][np.array(merged, int)][order]
 
 
 def side_by_side(t: dict, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -119,9 +154,9 @@ def side_by_side(t: dict, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     a, b = a.copy(), b.copy()
     while len(live):
         x, y = a[live], b[live]
-        key = x * n + y
-        at = np.minimum(np.searchsorted(t["pairs"], key), len(t["pairs"]) - 1)
-        earlier = (t["pairs"][at] == key) & (t["merged_rank"][at] < limit[live])
+        at = find(t["pairs"], (x * n + y).astype(np.uint64))
+        earlier = at >= 0
+        earlier[earlier] = t["merged_rank"][at[earlier]] < limit[live[earlier]]
         ok[live[earlier]] = False
         rx, ry = t["rank"][x], t["rank"][y]
         first, second = ~earlier & (rx > ry), ~earlier & (rx <= ry) & (ry >= 0)
@@ -134,45 +169,53 @@ def side_by_side(t: dict, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def viterbi(t: dict, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(piece ids of all words joined, number per word) for words of equal length; UNKNOWN for a character without a piece.
+    """(piece ids of all words joined, number per word) for words of falling length; UNKNOWN for a character without a piece.
 
-    From every position the substrings that begin some piece are followed; the others drop out of the arrays.
+    From every position the substrings that begin some piece are followed; the others drop out of the arrays, and so do words that have ended.
     """
-    n, size = len(words), len(words[0])
-    m = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size).T.astype(np.uint64) + np.uint64(1)
+    n, length = len(words), np.array([len(w) for w in words])
+    size = int(length[0])
+    longer = np.searchsorted(-length, -np.arange(size + 1))  # words longer than each position; they come first
+    m = np.zeros((n, size), np.uint64)
+    m[np.arange(size) < length[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    m = np.ascontiguousarray(m.T) + np.uint64(1)
     best = np.full((size + 1, n), -np.inf)
     best[0] = 0
     back, piece = np.zeros((size + 1, n), np.int32), np.full((size + 1, n), UNKNOWN, np.int64)
     low = t["score"].min() - 10
-    keys, end = t["keys"], len(t["keys"]) - 1
-
-    def reach(i: int, k: int, rows: np.ndarray, ids: np.ndarray) -> None:
-        if t["merges"]:
-            if i:
-                fits = side_by_side(t, piece[i][rows], ids)
-                rows, ids = rows[fits], ids[fits]
-            value = np.zeros(len(rows))
-        else:
-            value = best[i][rows] + np.where(ids >= 0, t["score"][ids], low)
-        better = value > best[i + k][rows]
-        rows, ids = rows[better], ids[better]
-        best[i + k][rows], back[i + k][rows], piece[i + k][rows] = value[better], k, ids
-
+    starts = t["starts"] if "starts" in t else slots_of(t["keys"])
     for i in range(size):
-        rows, h = np.arange(n), np.zeros(n, np.uint64)
+        rows, h = np.arange(longer[i]), np.zeros(longer[i], np.uint64)
+        found = []
         for k in range(1, min(t["longest"], size - i) + 1):
+            if k > 1 and (left := np.searchsorted(rows, longer[i + k - 1])) < len(rows):
+                rows, h = rows[:left], h[:left]
             h = h * BASE + m[i + k - 1][rows]
-            at = np.minimum(np.searchsorted(keys, h), end)
-            hit = keys[at] == h
+            at = find(starts, h)
+            hit = at >= 0
             ids = np.where(hit, t["ids"][at], UNKNOWN)
-            if k == 1 and (bare := ids < 0).any():
-                reach(i, 1, rows[bare], ids[bare])
-            if (full := ids >= 0).any():
-                reach(i, k, rows[full], ids[full])
+            real = ids >= 0
+            if k == 1:
+                found.append((rows, ids, k))
+            elif real.any():
+                found.append((rows[real], ids[real], k))
             rows, h = rows[hit], h[hit]
             if not len(rows):
                 break
-    at, steps, every = np.full(n, size), [], np.arange(n)
+        rows, ids = (np.concatenate([f[j] for f in found]) for j in (0, 1))
+        steps = np.repeat([f[2] for f in found], [len(f[0]) for f in found])
+        if t["merges"]:
+            if i:
+                fits = side_by_side(t, piece[i][rows], ids)
+                rows, ids, steps = rows[fits], ids[fits], steps[fits]
+            value = np.zeros(len(rows))
+        else:
+            value = best[i][rows] + np.where(ids >= 0, t["score"][ids], low)
+        better = value > best[i + steps, rows]
+        rows, ids, steps = rows[better], ids[better], steps[better]
+        to = i + steps
+        best[to, rows], back[to, rows], piece[to, rows] = value[better], steps, ids
+    at, steps, every = length.copy(), [], np.arange(n)
     while (on := at > 0).any():
         steps.append(np.where(on, piece[at, every], UNKNOWN - 1))
         at = at - np.where(on, back[at, every], 0)
@@ -229,15 +272,14 @@ class Encoder:
                 bodies.append(SPACE + rest if rest else "")
             else:
                 bodies.append(SPACE + (k[1:] if k[:1] == GUARD else k))
-        by_size: dict[int, list[str]] = {}
-        for w in dict.fromkeys(bodies):
-            if w:
-                by_size.setdefault(len(w), []).append(w)
+        words = sorted(dict.fromkeys(filter(None, bodies)), key=len, reverse=True)
         done = {"": []}
-        for size, ws in by_size.items():
-            step = max(1, 1_000_000 // (size + 1))
-            for i in range(0, len(ws), step):
-                done.update(zip(ws[i : i + step], self._ids(ws[i : i + step])))
+        i = 0
+        while i < len(words):  # words of like length: none is shorter than half the first
+            size = len(words[i])
+            upto = min(bisect_right(words, -(size // 2), i, key=lambda w: -len(w)), i + max(1, 1_000_000 // (size + 1)))
+            done.update(zip(words[i:upto], self._ids(words[i:upto])))
+            i = upto
         one = self.t["spaces"][1] if self.t["merges"] else None
         out = []
         for k, w in zip(keys, bodies):
@@ -297,8 +339,9 @@ class Encoder:
             self.clear()
         get = self.at.get
         idx = np.array(list(map(get, keys, repeat(-1))), np.int64)
-        if (idx < 0).any():
-            new = list(dict.fromkeys([keys[i] for i in np.flatnonzero(idx < 0).tolist()]))
+        if len(unmet := np.flatnonzero(idx < 0)):
+            asked = [keys[i] for i in unmet.tolist()]
+            new = list(dict.fromkeys(asked))
             ids = self._encode_new(new)
             size = np.array([len(x) for x in ids], np.int64)
             self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(size) - size])
@@ -306,7 +349,7 @@ class Encoder:
             self.pool = np.concatenate([self.pool, np.array(list(chain.from_iterable(ids)), np.int32)])
             first = len(self.at)
             self.at.update(zip(new, range(first, first + len(new))))
-            idx = np.array(list(map(get, keys)), np.int64)
+            idx[unmet] = list(map(get, asked))
         size = self.size[idx]
         upto = np.concatenate(([0], np.cumsum(size)))
         ids = self.pool[np.repeat(self.start[idx] - upto[:-1], size) + np.arange(upto[-1])] if len(idx) else np.zeros(0, np.int32)

@@ -82,6 +82,27 @@ def test_pieces_of_a_unigram_model():
         assert abs(score[part].sum() - best(w)) < 1e-9
 
 
+def test_words_of_unequal_length_advance_together(monkeypatch):
+    lib, tables, rnd = sentencepiece.SentencePieceProcessor(model_file=P.MODEL), P.load_model(), random.Random(8)
+    words = sorted({"".join(rnd.choice("abcdetheinron.,é日😀") for _ in range(n)) for n in range(1, 200)}, key=len, reverse=True)
+    calls, one = [], P.viterbi
+    monkeypatch.setattr(P, "viterbi", lambda t, ws: calls.append(len(ws)) or one(t, ws))
+    ids, off = P.Encoder(tables).encode(words)
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == lib.encode(words)
+    assert len(calls) < 12
+
+
+def test_keys_in_slots():
+    rnd = np.random.default_rng(4)
+    keys = np.unique(np.concatenate([np.arange(500), rnd.integers(0, 1 << 63, 5000)]).astype(np.uint64))
+    table = P.slots_of(keys)
+    assert P.find(table, keys).tolist() == list(range(len(keys)))
+    others = np.setdiff1d(rnd.integers(0, 1 << 63, 5000).astype(np.uint64), keys)
+    assert (P.find(table, others) == -1).all() and len(P.find(table, keys[:0])) == 0
+    full = (np.zeros(16, np.uint64), np.full(16, -1, np.int32), np.uint64(60))
+    assert P.find(full, np.zeros(1, np.uint64)).tolist() == [-1]
+
+
 def test_pieces_on_rows(edges, empty):
     rows = P.encode(edges, keep=("doc_id", "N_WORDS")).collect()
     assert len(rows) == 10 and all(r.round_trip for r in rows if r.ids is not None)
