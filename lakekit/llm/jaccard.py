@@ -14,7 +14,7 @@ two from 32 that leaves at most a million of them, so that they can be broadcast
 reached only by sets that consist almost wholly of such; they may be of any length and are never gathered.
 
 Only links that join groups matter for the result. So lists are first worked through by stars and chains (one or two candidates per
-entry), which joins the members of large groups of near copies; after that, candidates are the pairs of a list that are still in
+entry), then in up to two turns by two sets drawn from each group that has several in a list, against two of every other group there. This joins the members of large groups of near copies; after that, candidates are the pairs of a list that are still in
 different groups. Candidates whose places in the order, or whose sketches of 1024 parities, rule a link out are dropped; the others
 are checked exactly on their sets. No pair of a list is left out unless both are in one group by then.
 
@@ -54,6 +54,7 @@ LEAST_FREQUENT = 32
 BITS = 48  # of a hash, for counting
 BATCH = 1 << 20  # bytes of text whose sets are made together
 HELD = 1_000_000  # shingles that a task counts together
+TURNS = 2  # of drawing sets from the groups of a list, at most
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -443,21 +444,44 @@ class Join:
         star = hot.join(ends, F.col("h") == F.col("k")).select("node", "n", "place", F.explode(F.array("lo", "hi")).alias("e")).where(F.col("node") != F.col("e.node")).where(fits("n", "e.n", "place", "e.place", rule))
         star = star.select(F.least("node", "e.node").alias("a"), F.greatest("node", "e.node").alias("b"))
         links = stored(links.unionByName(self.check(first.unionByName(star))), "links")
-        rest = self._apart(cold.unionByName(hot), components(links))
-        return components(links.unionByName(self.verify(rest)))
-
-    def _apart(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
-        """The pairs of every list whose sets are not in one group yet and not ruled out by places or sketches; what is
-        ruled out never leaves the join."""
+        lists = self._open(cold.unionByName(hot), components(links))
+        for turn in range(TURNS):
+            met = self.verify(self._met(lists, turn))
+            if met.isEmpty():
+                break
+            links = stored(links.unionByName(met), "links")
+            lists = self._open(lists, components(links))
+        return components(links.unionByName(self.verify(self._apart(lists))))
+
+    def _open(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
+        """The entries, with group and sketch, of lists whose sets are not all in one group."""
         rule = self.rule
-        e = lists.join(roots.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select("h", "node", "n", "place", F.coalesce("root", "node").alias("root"))
+        e = lists.select("h", "node", "n", "place")
+        e = e.join(roots.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select("h", "node", "n", "place", F.coalesce("root", "node").alias("root"))
         e = stored(e, "lists")
         open_ = e.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("h").alias("k"))
         e = e.join(open_, F.col("h") == F.col("k")).select("h", "node", "n", "place", "root")
         # in a list, a set can meet another one only if it is near enough to its start for a partner of some size
         e = e.where(f"place <= n - div({rule.part} * n + {rule.whole - 1}, {rule.whole})")
         sketches = self.nodes.select(F.col("node").alias("v"), *lanes("x"))
-        e = stored(e.join(sketches, F.col("node") == F.col("v")).drop("v"), "lists")
+        return stored(e.join(sketches, F.col("node") == F.col("v")).drop("v"), "lists")
+
+    def _met(self, e: DataFrame, turn: int) -> DataFrame:
+        """Pairs between two sets of every group in a list and two of every other one, drawn by a hash; one of both groups has several
+        sets there. However many sets of two groups meet in a list, they make four pairs at most; other lists and turns draw others."""
+        rule = self.rule
+        own = F.struct(F.xxhash64(F.lit(turn), "h", "node").alias("d"), "node", "n", "place", *[f"x{k}" for k in range(LANES)])
+        drawn = e.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c"), F.min(own).alias("lo"), F.max(own).alias("hi"))
+        drawn = drawn.select("h", "root", "c", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("o")).select("h", "root", "c", "o.*").drop("d")
+        o = drawn.toDF("h2", "root2", "c2", "node2", "n2", "place2", *[f"y{k}" for k in range(LANES)])
+        several = (F.col("c") > 1) & ((F.col("c2") == 1) | (F.col("root") < F.col("root2")))
+        pairs = drawn.join(o, (F.col("h") == F.col("h2")) & (F.col("root") != F.col("root2")) & several & fits("n", "n2", "place", "place2", rule) & not_ruled_out("n", "n2", "x", "y", rule))
+        return pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
+
+    def _apart(self, e: DataFrame) -> DataFrame:
+        """The pairs of every list whose sets are not in one group yet and not ruled out by places or sketches; what is
+        ruled out never leaves the join."""
+        rule = self.rule
         o = e.toDF("h2", "node2", "n2", "place2", "root2", *[f"y{k}" for k in range(LANES)])
         pairs = e.join(o, (F.col("h") == F.col("h2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & fits("n", "n2", "place", "place2", rule) & not_ruled_out("n", "n2", "x", "y", rule))
         return pairs.select(F.col("node").alias("a"), F.col("node2").alias("b"))

@@ -421,3 +421,17 @@ def test_counts_beyond_two_bytes():
     g = jaccard._gaps([h], 32)
     got = jaccard._frequent(pa.Table.from_batches([g]).slice(0, 1), 2)
     assert got.to_pydict() == {"h": [3 << 24], "n": [200_000]}
+
+
+def test_large_groups_that_meet_in_a_list_make_few_pairs(spark):
+    """Two groups of forty sets and a single one, alike by sketch, in two lists: by turns four pairs of two groups at most, then all that is apart."""
+    e = spark.range(81).select(F.explode(F.array(F.lit(1), F.lit(2))).cast("long").alias("h"), F.col("id").alias("node"), F.lit(100).cast("long").alias("n"), F.lit(0).cast("long").alias("place"),
+                               F.floor(F.col("id") / 40).alias("root"), *[F.lit(0).cast("long").alias(f"x{k}") for k in range(jaccard.LANES)])
+    join = jaccard.Join.__new__(jaccard.Join)
+    join.rule = jaccard.RULE
+    group = lambda v: v // 40
+    for turn in range(2):
+        got = join._met(e, turn).collect()
+        assert {(group(r.a), group(r.b)) for r in got} == {(0, 1), (0, 2), (1, 2)}
+        assert len(got) <= 2 * (4 + 2 + 2)
+    assert join._apart(e).distinct().count() == 40 * 40 + 40 + 40
