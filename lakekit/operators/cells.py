@@ -99,7 +99,7 @@ class Trainer:
 
     def __init__(self, df: DataFrame, label: str = "label", features: str = "features", least: int | None = None):
         self.df, self.label, self.features, self.least = df, label, features, LEAST if least is None else least
-        self.binning, self._rows, self._cells, self._counted = None, None, None, False
+        self.binning, self._rows, self._cells, self._counted, self._valid = None, None, None, False, None
 
     def _many(self) -> bool:
         if self._rows is None:
@@ -151,8 +151,9 @@ class Trainer:
         self._count()
         if self._cells is None:
             return None
-        c = materialize(self.binning.cells(valid, self.label))
-        return c.select(self.binning.vector(F.col("a")), "label", "w")
+        if self._valid is None or self._valid[0] is not valid:
+            self._valid = valid, materialize(self.binning.cells(valid, self.label))
+        return self._valid[1].select(self.binning.vector(F.col("a")), "label", "w")
 
     def unpersist(self) -> None:
         if self._cells is not None:

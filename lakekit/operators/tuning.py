@@ -143,7 +143,7 @@ def halving(train: DataFrame, valid: DataFrame, models: Mapping[str, object], ke
         for name in left:
             if late():
                 break
-            scores[name] = ml.auc(ml.score(trainer.fit(models[name]), valid), label)
+            scores[name] = ml.auc_frame(ml.score_counted(trainer, trainer.fit(models[name]), valid), label, "probability_1", weight="w").first()[0]
             last[name] = (share, scores[name])
         trainer.unpersist()
         if late() or (share >= 1.0 and len(left) == 1) or not scores:

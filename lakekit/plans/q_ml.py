@@ -229,8 +229,9 @@ def m08_metrics(spark, d):
     _, tr, valid, _ = _prepared(spark, d)
     out, trainer = None, TR.Trainer(tr)
     for name, est in {"boosted": M.boosted_trees(), "forest": M.random_forest(), "net": M.neural_net(tr.first().features.size)}.items():
-        scored = materialize(M.score(trainer.fit(est), valid).select("label", "prediction", "probability_1"))
-        one = M.classification_metrics(scored, "label").select(F.lit(name).alias("model"), "*", F.lit(M.auc(scored, "label")).alias("auc"))
+        scored = materialize(M.score_counted(trainer, trainer.fit(est), valid))
+        auc = M.auc_frame(scored, "label", "probability_1", weight="w").first()[0]
+        one = M.classification_metrics(scored, "label", weight="w").select(F.lit(name).alias("model"), "*", F.lit(auc).alias("auc"))
         out = one if out is None else out.unionByName(one)
     trainer.unpersist()
     tr.unpersist()

@@ -425,7 +425,7 @@ def test_counts_beyond_two_bytes():
 
 def test_large_groups_that_meet_in_a_list_make_few_pairs(spark):
     """Two groups of forty sets and a single one, alike by sketch, in two lists: by turns four pairs of two groups at most, then all that is apart."""
-    e = spark.range(81).select(F.explode(F.array(F.lit(1), F.lit(2))).cast("long").alias("h"), F.col("id").alias("node"), F.lit(100).cast("long").alias("n"), F.lit(0).cast("long").alias("place"),
+    e = spark.range(81).select(F.explode(F.expr("array(1L, 2L)")).alias("h"), F.col("id").alias("node"), F.lit(100).cast("long").alias("n"), F.lit(0).cast("long").alias("place"),
                                F.floor(F.col("id") / 40).alias("root"), *[F.lit(0).cast("long").alias(f"x{k}") for k in range(jaccard.LANES)])
     join = jaccard.Join.__new__(jaccard.Join)
     join.rule = jaccard.RULE

@@ -74,3 +74,21 @@ def test_searches_and_halving_on_cells(rows, monkeypatch):
     assert isinstance(best, C.CellModel) and all(r.auc > 0.8 for r in trials.collect())
     got = TU.halving(rows, rows, {"forest": M.random_forest(trees=3, depth=3), "boosted": M.boosted_trees(iterations=2)}, ["id"], start=0.5).collect()
     assert got[0].share == 1.0 and all(r.auc > 0.8 for r in got)
+
+
+def test_reports_score_cells_once(rows, monkeypatch):
+    """Counts of cells give the metrics and the AUC of the rows; both models share one table of cells."""
+    train, valid = rows.where("id % 3 > 0"), rows.where("id % 3 = 0").drop("id")
+    trainer, made = C.Trainer(train, least=1), []
+    count = C.Binning.cells
+    monkeypatch.setattr(C.Binning, "cells", lambda *a: made.append(1) or count(*a))
+    for est in (M.random_forest(trees=5, depth=5), M.boosted_trees(iterations=4)):
+        model = trainer.fit(est)
+        got, want = M.score_counted(trainer, model, valid), M.score(model, valid)
+        assert got.count() < valid.count() / 2
+        assert M.classification_metrics(got, "label", weight="w").first() == M.classification_metrics(want, "label").first()
+        assert abs(M.auc_frame(got, "label", "probability_1", weight="w").first()[0] - M.auc(want, "label")) < 1e-12
+    assert len(made) == 2
+    spread = M.score_counted(trainer, M.logistic().fit(train), valid)
+    assert spread.agg(F.sum("w")).first()[0] == valid.count()
+    trainer.unpersist()
