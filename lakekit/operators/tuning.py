@@ -1,8 +1,9 @@
 """Parameter search by Parzen estimators, and comparison of models by successive halving.
 
-The search keeps ``parallelism`` trials running; whenever one ends, the next is proposed from all that have ended. The better quarter of
+The search keeps up to ``parallelism`` trials running. The first ``at_random`` trials are drawn at random, so only those beyond are proposed: trial n
+from the trials up to n - ``parallelism``, once these have ended, so that proposals do not depend on which trial ends first. The better quarter of
 these and the rest are both smoothed into densities, parameter by parameter; of some draws from the first density, the
-one where it stands highest against the second is tried. The first trials are drawn at random.
+one where it stands highest against the second is tried.
 
 Training runs as Spark jobs; the threads of the driver only wait for them.
 """
@@ -82,26 +83,32 @@ def propose(space: Mapping[str, Range], ended: list[Trial], rnd: random.Random,
 
 def maximise(objective: Callable[[dict], float], space: Mapping[str, Range], trials: int, parallelism: int = 1, seed: int = 42, at_random: int = 8) -> list[Trial]:
     """All trials by number. A trial that fails ends the search with its error."""
-    rnd, ended = random.Random(seed), []
+    rnd, ended = random.Random(seed), {}
     draw = lambda: {n: r.outer(rnd.random()) for n, r in space.items()}
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         running, started = {}, 0
         while started < trials or running:
             while started < trials and len(running) < parallelism:
-                p = draw() if started < at_random or not ended else propose(space, ended, rnd)
+                known = range(started - parallelism + 1)
+                if started < at_random or not known:
+                    p = draw()
+                elif all(n in ended for n in known):
+                    p = propose(space, [ended[n] for n in known], rnd)
+                else:
+                    break
                 running[pool.submit(objective, p)] = (started, p)
                 started += 1
             for f in wait(running, return_when=FIRST_COMPLETED).done:
                 number, p = running.pop(f)
-                ended.append(Trial(number, p, float(f.result())))
-    return sorted(ended)
+                ended[number] = Trial(number, p, float(f.result()))
+    return [ended[n] for n in sorted(ended)]
 
 
 #: Parameters of boosted trees.
 BOOSTED = {"maxDepth": Range(2, 6, True), "maxIter": Range(3, 12, True), "stepSize": Range(0.05, 0.5, scale="log"), "subsamplingRate": Range(0.5, 1.0)}
 
 
-def search_boosted(train: DataFrame, valid: DataFrame, trials: int = 5, parallelism: int = 10, label: str = "label", seed: int = 42, space: Mapping[str, Range] = BOOSTED):
+def search_boosted(train: DataFrame, valid: DataFrame, trials: int = 16, parallelism: int = 10, label: str = "label", seed: int = 42, space: Mapping[str, Range] = BOOSTED):
     """(best model, one row per trial: trial, auc and every parameter) by AUC on ``valid``; ``train`` should be kept in memory."""
     models, lock, trainer = {}, threading.Lock(), Trainer(train, label).prepare()
     counts = trainer.scored_counts(valid)

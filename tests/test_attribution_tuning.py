@@ -124,6 +124,43 @@ def test_all_trials_come_back_and_run_together():
         TU.maximise(lambda p: 1 / 0, SPACE, 3)
 
 
+def test_proposals_do_not_depend_on_which_trial_ends_first():
+    import time
+
+    def waits(of):
+        def value(p):
+            time.sleep(of(p))
+            return surface(p)
+
+        return TU.maximise(value, SPACE, 14, parallelism=4, seed=1)
+
+    quick, slow = waits(lambda p: 0.03 * p["a"]), waits(lambda p: 0.03 * (1 - p["a"]))
+    assert quick == slow and [t.number for t in quick] == list(range(14))
+
+
+def test_parzen_query_proposes_from_ended_trials(spark, monkeypatch, tmp_path):
+    """What the trials scored decides the parameters of later ones."""
+    from lakekit.plans import q_ml
+
+    rows = [(i // 4, i % 4, i % 50, float(1 + i % 9), float(1500 + (i * 7919) % 9000), 0.01 * (i % 7), 0.01 * (i % 5), "OF"[i % 2]) for i in range(600)]
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_linestatus string"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    known, proposed, whole = [], [], TU.propose
+
+    def watched(space, ended, rnd):
+        known.append([t.number for t in ended])
+        proposed.append(whole(space, ended, rnd))
+        return proposed[-1]
+
+    monkeypatch.setattr(TU, "propose", watched)
+    got = q_ml.m11_parzen(spark, str(tmp_path)).orderBy("trial").collect()
+    assert [r.trial for r in got] == list(range(16)) and all(0.5 < r.auc <= 1 for r in got)
+    assert known == [list(range(n - 3)) for n in range(8, 16)]
+    assert [[r[k] for k in TU.BOOSTED] for r in got[8:]] == [[float(p[k]) for k in TU.BOOSTED] for p in proposed]
+    one, other = (TU.maximise(f, SPACE, 16, parallelism=4) for f in (surface, lambda p: -surface(p)))
+    assert [t.parameters == u.parameters for t, u in zip(one, other)] == [True] * 8 + [False] * 8
+
+
 def test_search_and_halving_on_models(forest):
     _, x = forest
     keyed = x.withColumn("id", F.monotonically_increasing_id()).cache()
