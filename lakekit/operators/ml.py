@@ -82,7 +82,7 @@ class Preprocessor:
     Categories are counted exactly on the executors. The ``most`` most frequent of a column (ties by name) get an indicator each, and only
     they come to the driver. Where there are more, the others, and values never seen, share ``tail`` indicators by hash."""
 
-    def __init__(self, label: str | None = None, exclude: Sequence[str] = (), hashed: Mapping[str, int] | None = None, most: int = 10_000, tail: int = 256):
+    def __init__(self, label: str | None = None, exclude: Sequence[str] = (), hashed: Mapping[str, int] | None = None, most: int = 20_000, tail: int = 256):
         self.label, self.exclude, self.hashed = label, list(exclude), dict(hashed or {})
         self.most, self.tail = most, tail
 
